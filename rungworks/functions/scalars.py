@@ -18,7 +18,7 @@ def moment(as_of: datetime | str) -> Column:
 
 def whole(value: Column, dtype: str = "bigint") -> Column:
     """Exact whole number from text: ``7`` and ``7.0`` pass, ``7.5`` and ``x`` raise."""
-    return F.regexp_replace(value, r"\.0+$", "").cast(dtype)
+    return F.when(value.endswith(".0"), F.substring_index(value, ".", 1)).otherwise(value).cast(dtype)
 
 
 def epoch_seconds_to_ntz(seconds: Column) -> Column:

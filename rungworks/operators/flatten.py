@@ -3,6 +3,10 @@
 Every flattener is inner: a parent whose list is empty, missing or null gives no
 row.  Fields are read null-safely, so a half-filled document gives nulls.
 All work is row-local (``explode`` and struct access), with no exchange.
+
+What holds for a whole document is worked out before its lists are unrolled.  The
+lists are unrolled as fields of a struct: for a bare list column Spark derives a
+"not empty" filter and pushes it below the parsing step, parsing each text twice.
 """
 
 from __future__ import annotations
@@ -24,8 +28,11 @@ def parse_documents(df: DataFrame, text: str, schema: str) -> DataFrame:
 
 def league_divisions(docs: DataFrame) -> DataFrame:
     """One row per division; league key and tier fields repeat on each."""
-    tiers = docs.select("file_name", "key", F.explode("tier").alias("tier"))
-    rows = tiers.select("file_name", "key", "tier", F.explode("tier.division").alias("division"))
+    stamped = docs.select(
+        filenames.snapshot_ts("file_name").alias("snapshot_ts"), "key", F.struct("tier").alias("doc")
+    )
+    tiers = stamped.select("snapshot_ts", "key", F.explode("doc.tier").alias("tier"))
+    rows = tiers.select("snapshot_ts", "key", "tier", F.explode("tier.division").alias("division"))
     return rows.select(
         whole(F.col("key.season_id")).alias("season_id"),
         whole(F.col("key.queue_id")).alias("queue_id"),
@@ -37,14 +44,26 @@ def league_divisions(docs: DataFrame) -> DataFrame:
         whole(F.col("division.id")).alias("division_id"),
         whole(F.col("division.ladder_id")).alias("ladder_id"),
         whole(F.col("division.member_count")).alias("member_count"),
+        "snapshot_ts",
+    )
+
+
+_LADDER = ("league_id", "ladder_id", "snapshot_ts")
+
+
+def _ladder(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        filenames.league_id("file_name").cast("bigint").alias("league_id"),
+        whole(F.col("ladder_id")).alias("ladder_id"),
         filenames.snapshot_ts("file_name").alias("snapshot_ts"),
+        "data",
     )
 
 
 def modern_ladder_teams(docs: DataFrame) -> DataFrame:
     """One row per team member; team fields repeat, the first played race is the primary one."""
-    teams = docs.select("file_name", "ladder_id", F.explode("data.team").alias("team"))
-    rows = teams.select("file_name", "ladder_id", "team", F.explode("team.member").alias("member"))
+    teams = _ladder(docs).select(*_LADDER, F.explode("data.team").alias("team"))
+    rows = teams.select(*_LADDER, "team", F.explode("team.member").alias("member"))
     top = F.get("member.played_race_count", F.lit(0))
     numbers = (
         "rating", "wins", "losses", "ties", "points", "longest_win_streak", "current_win_streak",
@@ -52,8 +71,8 @@ def modern_ladder_teams(docs: DataFrame) -> DataFrame:
         "last_played_time_stamp",
     )
     return rows.select(
-        filenames.league_id("file_name").cast("bigint").alias("league_id"),
-        whole(F.col("ladder_id")).alias("ladder_id"),
+        "league_id",
+        "ladder_id",
         F.col("team.id").alias("team_id"),
         *[whole(F.col(f"team.{c}")).alias(c) for c in numbers],
         whole(F.col("member.legacy_link.id")).alias("character_id"),
@@ -62,20 +81,20 @@ def modern_ladder_teams(docs: DataFrame) -> DataFrame:
         F.col("member.character_link.battle_tag").alias("battle_tag"),
         top["race"]["en_US"].alias("primary_race"),
         whole(top["count"]).alias("primary_race_count"),
-        filenames.snapshot_ts("file_name").alias("snapshot_ts"),
+        "snapshot_ts",
     )
 
 
 def legacy_ladder_members(docs: DataFrame) -> DataFrame:
     """One row per ladder member, camel-case fields renamed."""
-    rows = docs.select("file_name", "ladder_id", F.explode("data.ladderMembers").alias("member"))
-    return _legacy_columns(rows)
+    members = F.explode("data.ladderMembers").alias("member")
+    return _legacy_columns(_ladder(docs).select(*_LADDER, members))
 
 
 def _legacy_columns(rows: DataFrame, *extra: str) -> DataFrame:
     return rows.select(
-        filenames.league_id("file_name").cast("bigint").alias("league_id"),
-        whole(F.col("ladder_id")).alias("ladder_id"),
+        "league_id",
+        "ladder_id",
         whole(F.col("member.character.id")).alias("character_id"),
         whole(F.col("member.character.realm")).alias("realm"),
         whole(F.col("member.character.region")).alias("region"),
@@ -90,38 +109,36 @@ def _legacy_columns(rows: DataFrame, *extra: str) -> DataFrame:
         whole(F.col("member.highestRank")).alias("highest_rank"),
         whole(F.col("member.previousRank")).alias("previous_rank"),
         F.col("member.favoriteRaceP1").alias("favorite_race"),
-        filenames.snapshot_ts("file_name").alias("snapshot_ts"),
+        "snapshot_ts",
         *extra,
     )
 
 
 def legacy_members_with_position(docs: DataFrame) -> DataFrame:
     """Ladder members with their place in the ladder, which ranks equal sightings."""
-    rows = docs.select(
-        "file_name", "ladder_id", F.posexplode("data.ladderMembers").alias("member_pos", "member")
-    )
-    return _legacy_columns(rows, "member_pos")
+    members = F.posexplode("data.ladderMembers").alias("member_pos", "member")
+    return _legacy_columns(_ladder(docs).select(*_LADDER, members), "member_pos")
 
 
 def match_history(docs: DataFrame) -> DataFrame:
     """One row per match and requested player; epoch seconds become UTC wall time."""
-    rows = docs.select(
-        "file_name",
-        "request_profile_id",
-        "request_realm_id",
-        "request_region_id",
-        F.explode("matches").alias("match"),
-    )
-    return rows.select(
+    requests = docs.select(
         whole(F.col("request_profile_id")).alias("profile_id"),
         whole(F.col("request_realm_id")).alias("realm_id"),
         whole(F.col("request_region_id")).alias("region_id"),
+        filenames.snapshot_date("file_name").alias("snapshot_date"),
+        F.struct("matches").alias("doc"),
+    )
+    ids = ("profile_id", "realm_id", "region_id")
+    rows = requests.select(*ids, "snapshot_date", F.explode("doc.matches").alias("match"))
+    return rows.select(
+        *ids,
         epoch_seconds_to_ntz(whole(F.col("match.date"))).alias("match_date"),
         F.col("match.map").alias("map"),
         F.col("match.type").alias("type"),
         F.col("match.decision").alias("decision"),
         F.col("match.speed").alias("speed"),
-        filenames.snapshot_date("file_name").alias("snapshot_date"),
+        "snapshot_date",
     )
 
 

@@ -177,13 +177,12 @@ def boost(inferred: DataFrame, evidence: DataFrame, tolerance: timedelta = SESSI
 
 
 def match_rows(inferred: DataFrame, key_separator: str = "") -> DataFrame:
-    """Shape inferred games as rows of the match table.
-
-    A game without a map has no key; it is left to :func:`games_without_key`.
-    """
-    keyed = inferred.where(F.col("map").isNotNull())
-    return keyed.select(
-        match_key(F.col("p1_id"), F.col("p2_id"), F.col("match_date"), F.col("map"), key_separator).alias("match_id"),
+    """Shape inferred games as rows of the match table; games need a map to have a key."""
+    key = match_key(
+        F.col("p1_id"), F.col("p2_id"), F.col("match_date"), F.col("map"), key_separator
+    )
+    return inferred.select(
+        key.alias("match_id"),
         "match_date",
         "map",
         "type",
@@ -196,8 +195,3 @@ def match_rows(inferred: DataFrame, key_separator: str = "") -> DataFrame:
         F.col("p2_race").alias("p2_race_inferred"),
         F.col("p2_confidence").alias("p2_race_confidence"),
     )
-
-
-def games_without_key(inferred: DataFrame) -> DataFrame:
-    """Games whose map is unknown, for the quarantine."""
-    return inferred.where(F.col("map").isNull())

@@ -17,21 +17,40 @@ from rungworks.operators.hotkeys import Split
 GAME = ("match_date", "map", "type")
 
 
-def player_games(history: DataFrame, in_window: Column) -> DataFrame:
+def _place() -> Column:
+    """Type and map as one text, the type marked off by its length; never null.
+
+    Reports without a map get a place of their own, keyed by player, instead of all
+    meeting in one null partition.  As the value is never null, Spark derives no
+    extra filter for one side of the self-join, and both sides read one shuffle.
+    """
+    kind = F.concat(F.length("type").cast("string"), F.lit(":"), F.col("type"))
+    somewhere = F.concat(kind, F.lit(" on "), F.col("map"))
+    nowhere = F.concat(kind, F.lit(" ? "), F.col("profile_id").cast("string"))
+    return F.coalesce(somewhere, nowhere, F.lit(""))
+
+
+def player_games(history: DataFrame, in_window: Column, split: Split | None = None) -> DataFrame:
     """One row per player and game: the range of its decisions, overall and in the window.
 
-    Partial aggregation merges repeated reports before the shuffle.
+    Rows without a player, time or type are no reports and are left out.
+
+    As a rule the reports are shuffled once, by game: the reduction, its order and
+    the pairing then all run on that one layout.  If ``split`` names crowded games,
+    repeated reports are merged before the shuffle instead, by player and game, so
+    that no task receives a crowded game whole.
     """
-    return (
-        history.select("profile_id", *GAME, "decision", in_window.alias("in_window"))
-        .groupBy("profile_id", *GAME)
-        .agg(
-            F.min("decision").alias("any_lo"),
-            F.max("decision").alias("any_hi"),
-            F.min(F.when(F.col("in_window"), F.col("decision"))).alias("win_lo"),
-            F.max(F.when(F.col("in_window"), F.col("decision"))).alias("win_hi"),
-            F.max("in_window").alias("in_window"),
-        )
+    reports = history.where(
+        F.col("profile_id").isNotNull() & F.col("match_date").isNotNull() & F.col("type").isNotNull()
+    ).select("profile_id", *GAME, _place().alias("place"), "decision", in_window.alias("in_window"))
+    if not (split and split.parts):
+        reports = reports.repartition("match_date", "place")
+    return reports.groupBy("match_date", "place", "profile_id", "map", "type").agg(
+        F.min("decision").alias("any_lo"),
+        F.max("decision").alias("any_hi"),
+        F.min(F.when(F.col("in_window"), F.col("decision"))).alias("win_lo"),
+        F.max(F.when(F.col("in_window"), F.col("decision"))).alias("win_hi"),
+        F.max("in_window").alias("in_window"),
     )
 
 
@@ -49,12 +68,12 @@ def games(players: DataFrame, split: Split | None = None) -> DataFrame:
     the whole history.  A player in the window who is in no pair of that game, on
     either side, stands alone.  Reports without a map never pair.
 
-    With ``split``, games with very many reports are cut into parts on the first
-    side and repeated on the second, so that one game's pairs are formed by many
-    tasks.  Which player shows up first does not depend on it.
+    With ``split``, crowded games are cut into parts on the first side and repeated
+    on the second, so that one game's pairs are formed by many tasks.  Which rows
+    come out does not depend on it.
     """
     first, second = players.where("in_window"), players
-    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in GAME]
+    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("match_date", "place")]
     if split and split.parts:
         first = first.withColumn("part", split.own_part("profile_id"))
         second = second.withColumn("part", F.explode(split.all_parts()))
@@ -62,20 +81,21 @@ def games(players: DataFrame, split: Split | None = None) -> DataFrame:
     a_id, b_id = F.col("a.profile_id"), F.col("b.profile_id")
     as_first = (a_id < b_id) & _differ("a", "win", "b", "any")
     as_second = (b_id < a_id) & F.col("b.in_window") & _differ("b", "win", "a", "any")
-    on.append(as_first | as_second)
     # Of several decisions a player reported, the rule takes a pair that differs.
     low_first = F.col("a.win_lo") != F.col("b.any_hi")
     alone = b_id.isNull()
+    p1_decision = F.when(alone | low_first, F.col("a.win_lo")).otherwise(F.col("a.win_hi"))
+    p2_decision = F.when(low_first, F.col("b.any_hi")).otherwise(F.col("b.any_lo"))
     return (
         first.alias("a")
-        .join(second.alias("b"), on, "left_outer")
+        .join(second.alias("b"), [*on, as_first | as_second], "left_outer")
         .where(alone | (a_id < b_id))
         .select(
             a_id.alias("p1_id"),
             b_id.alias("p2_id"),
             *[F.col(f"a.{c}").alias(c) for c in GAME],
-            F.when(alone | low_first, F.col("a.win_lo")).otherwise(F.col("a.win_hi")).alias("p1_decision"),
-            F.when(low_first, F.col("b.any_hi")).otherwise(F.col("b.any_lo")).alias("p2_decision"),
+            p1_decision.alias("p1_decision"),
+            p2_decision.alias("p2_decision"),
         )
     )
 
@@ -92,3 +112,8 @@ def participants(all_games: DataFrame) -> DataFrame:
     """One row per player of each game: (profile_id, match_date, map)."""
     player = F.explode(F.array_compact(F.array("p1_id", "p2_id"))).alias("profile_id")
     return all_games.select(player, "match_date", "map")
+
+
+def without_map(history: DataFrame) -> DataFrame:
+    """Reports that can have no match key, for the quarantine."""
+    return history.where(F.col("map").isNull())

@@ -110,8 +110,8 @@ def rebuilt_games(
 ) -> DataFrame:
     """Pairs and unmatched reports of one match type, seen in the last ``days``."""
     reports = history.where(F.col("type") == match_type)
-    players = pairs.player_games(reports, since_days_date(F.col("snapshot_date"), as_of, days))
-    return pairs.games(players, split)
+    in_window = since_days_date(F.col("snapshot_date"), as_of, days)
+    return pairs.games(pairs.player_games(reports, in_window, split), split)
 
 
 def inferred_games(
@@ -143,8 +143,13 @@ def match_facts(
     tolerance: timedelta = inference.SESSION,
     split: Split | None = None,
 ) -> DataFrame:
-    """Match rows of the window, ready to be merged into the match table."""
-    games = rebuilt_games(history, as_of, days, match_type, split)
+    """Match rows of the window, ready to be merged into the match table.
+
+    Reports without a map are left to :func:`pairs.without_map`: they pair with
+    nothing and have no key.
+    """
+    placed = history.where(F.col("map").isNotNull())
+    games = rebuilt_games(placed, as_of, days, match_type, split)
     return inference.match_rows(inferred_games(games, track, players, evidence, tolerance))
 
 
