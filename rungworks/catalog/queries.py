@@ -16,8 +16,10 @@ from rungworks.functions.scalars import moment
 from rungworks.operators import changes, contracts, daily, flatten, inference, latest, merge, pairs
 from rungworks.operators.asof import asof_lookup
 from rungworks.operators.hotkeys import heavy_groups
-from rungworks.plans import gold, worklists
-from rungworks.sources import documents, listing
+from rungworks.plans import gold, silver, worklists
+from rungworks.session import scratch_path
+from rungworks.sources import documents, listing, tables
+from rungworks.streaming import ingest as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -223,29 +225,36 @@ def overwrite_upsert(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("q14_partial_upsert")
-def partial_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    orders = read(spark, sf, "orders")
-    nobody = F.lit(None).cast("bigint")
-
-    def facts(df: DataFrame, race: Column, confidence: str, shift: int) -> DataFrame:
-        return df.select(
-            F.col("o_orderkey").cast("string").alias("match_id"),
-            (F.col("o_orderdate") + F.make_dt_interval(days=F.lit(shift))).alias("match_date"),
-            F.col("o_orderpriority").alias("map"),
-            F.col("o_custkey").alias("p1_character_id"),
-            race.alias("p1_race_inferred"),
-            F.lit(confidence).alias("p1_race_confidence"),
-            nobody.alias("p2_character_id"),
-            F.lit(None).cast("string").alias("p2_race_inferred"),
-            F.lit(None).cast("string").alias("p2_race_confidence"),
-        )
+def _facts(orders: DataFrame, race: Column, confidence: str, shift: int) -> DataFrame:
+    """Orders as match rows without an opponent."""
+    none = F.lit(None).cast("string")
+    return orders.select(
+        F.col("o_orderkey").cast("string").alias("match_id"),
+        (F.col("o_orderdate") + F.make_dt_interval(days=F.lit(shift))).alias("match_date"),
+        F.col("o_orderpriority").alias("map"),
+        F.col("o_custkey").alias("p1_character_id"),
+        race.alias("p1_race_inferred"),
+        F.lit(confidence).alias("p1_race_confidence"),
+        F.lit(None).cast("bigint").alias("p2_character_id"),
+        none.alias("p2_race_inferred"),
+        none.alias("p2_race_confidence"),
+    )
 
+
+def _held_facts(orders: DataFrame) -> DataFrame:
     held = orders.where(F.col("o_orderdate") < _day("2000-01-01 00:00:00"))
+    return _facts(held, F.col("o_orderstatus"), "LOW", 0)
+
+
+def _new_facts(orders: DataFrame) -> DataFrame:
     came = orders.where(F.col("o_orderdate") >= _day("1998-01-01 00:00:00"))
-    return gold.merge_matches(
-        facts(held, F.col("o_orderstatus"), "LOW", 0), facts(came, F.lower("o_orderstatus"), "HIGH", 1)
-    )
+    return _facts(came, F.lower("o_orderstatus"), "HIGH", 1)
+
+
+@query("q14_partial_upsert")
+def partial_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    orders = read(spark, sf, "orders")
+    return gold.merge_matches(_held_facts(orders), _new_facts(orders))
 
 
 def _player_dimension(spark: SparkSession, sf: str) -> DataFrame:
@@ -414,18 +423,28 @@ def match_inference_boosted(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_LOOKUP = {
+    "key": "user_id",
+    "probe_ts": "ts",
+    "evidence_ts": "seen",
+    "value": "value",
+    "tolerance": inference.SESSION,
+}
+
+
+def _clicks(events: DataFrame) -> DataFrame:
+    return events.where(F.col("event_type") == "click").select("user_id", "ts")
+
+
+def _purchases(spark: SparkSession, sf: str) -> DataFrame:
+    events = read(spark, sf, "events").where(F.col("event_type") == "purchase")
+    return events.select("user_id", F.col("ts").alias("seen"), "value")
+
+
 @query("q25_asof_lookup")
 def asof(spark: SparkSession, sf: str) -> DataFrame:
-    events = read(spark, sf, "events").select("user_id", "ts", "event_type", "value")
-    return asof_lookup(
-        events.where(F.col("event_type") == "click").select("user_id", "ts"),
-        events.where(F.col("event_type") == "purchase").select("user_id", F.col("ts").alias("seen"), "value"),
-        key="user_id",
-        probe_ts="ts",
-        evidence_ts="seen",
-        value="value",
-        tolerance=inference.SESSION,
-    )
+    clicks = _clicks(read(spark, sf, "events"))
+    return asof_lookup(clicks, _purchases(spark, sf), **_LOOKUP)
 
 
 @query("q26_player_stats_daily")
@@ -516,3 +535,112 @@ def request_wrapping(spark: SparkSession, sf: str) -> DataFrame:
     schema = "event_id BIGINT, data STRUCT<request_profile_id BIGINT, k INT>"
     parsed = wrapped.select(F.from_json("payload", schema).alias("d"))
     return parsed.select("d.event_id", "d.data.request_profile_id", "d.data.k")
+
+
+# ------------------------------------------------------- landing and streaming
+
+
+def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """One of the given tables as a stream of its files."""
+    reader = spark.readStream.schema(read(spark, sf, name).schema)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+
+
+def _collector(path: str) -> Callable[[DataFrame, int], None]:
+    return lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+
+@query("q30_land_and_flatten")
+def land_and_flatten(spark: SparkSession, sf: str) -> DataFrame:
+    """Structure documents landed below league and time folders, read back and flattened."""
+    root = scratch_path(spark, "landed")
+    docs = roles.league_documents(spark, sf).withColumns(
+        {
+            "league": filenames.league_id("file_name"),
+            "taken": F.expr("TIMESTAMP_NTZ'2020-01-01 04:40:00'"),
+        }
+    )
+    documents.land(docs, root, silver.LEAGUE.kind, "payload", "taken", "league")
+    landed = documents.read_landed(spark, root, silver.LEAGUE.kind, silver.LEAGUE.document)
+    return silver.LEAGUE.transform(landed)
+
+
+@query("q30_stream_ingest")
+def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Match documents landed by day, worked off as a stream and inserted by key."""
+    root = scratch_path(spark, "stream-ingest")
+    flow = silver.MATCHES
+    docs = roles.match_documents(spark, sf).withColumn("day", F.date_trunc("day", F.col("ts")))
+    documents.land(docs, f"{root}/bronze", flow.kind, "payload", "day")
+    stream = documents.stream_landed(spark, f"{root}/bronze", flow.kind, flow.document)
+    streams.ingest(stream, flow, f"{root}/silver", f"{root}/progress", EVENTS_AS_OF).awaitTermination()
+    return tables.read_table(spark, f"{root}/silver/{flow.table.name}", flow.table)
+
+
+@query("q31_stream_first_sightings")
+def stream_first_sightings(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_path(spark, "first-sightings")
+    seen = streams.first_sightings(
+        _stream(spark, sf, "orders").select("o_custkey", "o_orderpriority", "o_orderdate"),
+        ["o_custkey", "o_orderpriority", "o_orderdate"],
+        "o_orderdate",
+    )
+    streams.run(seen, _collector(f"{root}/out"), f"{root}/progress").awaitTermination()
+    written = "o_custkey BIGINT, o_orderpriority STRING, o_orderdate TIMESTAMP_NTZ"
+    return spark.read.schema(written).parquet(f"{root}/out").drop("batch")
+
+
+@query("q32_stream_changes")
+def stream_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Counters of arriving ladder documents against the state; the state afterwards."""
+    root = scratch_path(spark, "stream-changes")
+    flow = silver.LEGACY
+    docs = roles.legacy_documents(spark, sf).withColumns(
+        {
+            "league": filenames.league_id("file_name"),
+            "taken": F.expr("TIMESTAMP_NTZ'2020-01-01 04:40:00'"),
+        }
+    )
+    documents.land(docs, f"{root}/bronze", flow.kind, "payload", "taken", "league")
+    stream = documents.stream_landed(spark, f"{root}/bronze", flow.kind, flow.document)
+    streams.detect_changes(
+        stream,
+        lambda batch: changes.current_counters(flatten.legacy_members_with_position(batch)),
+        f"{root}/state",
+        _collector(f"{root}/changed"),
+        f"{root}/progress",
+        AS_OF,
+    ).awaitTermination()
+    return tables.read_version(spark, f"{root}/state", schemas.MATCH_HISTORY_CHECKPOINT)
+
+
+@query("q33_stream_upsert")
+def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Arriving inferences merged into a table that already holds earlier ones."""
+    root = scratch_path(spark, "stream-upsert")
+    held = _held_facts(read(spark, sf, "orders"))
+    table = schemas.Table("facts", held.schema.simpleString()[7:-1], ("match_id",), ("match_id",))
+    tables.write_version(held, f"{root}/facts")
+    streams.upsert_batches(
+        _new_facts(_stream(spark, sf, "orders")),
+        table,
+        f"{root}/facts",
+        {c: merge.INCOMING for c in gold.INFERRED_COLUMNS},
+        f"{root}/progress",
+    ).awaitTermination()
+    return tables.read_version(spark, f"{root}/facts", table)
+
+
+@query("q34_stream_lookup")
+def stream_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Arriving clicks, each looked up among the purchases of the 90 minutes before."""
+    root = scratch_path(spark, "stream-lookup")
+    streams.lookup_batches(
+        _clicks(_stream(spark, sf, "events")),
+        lambda session: _purchases(session, sf),
+        _collector(f"{root}/out"),
+        f"{root}/progress",
+        **_LOOKUP,
+    ).awaitTermination()
+    written = "user_id BIGINT, ts TIMESTAMP_NTZ, value DOUBLE, evidence_ts TIMESTAMP_NTZ"
+    return spark.read.schema(written).parquet(f"{root}/out").drop("batch")

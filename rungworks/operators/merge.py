@@ -81,7 +81,7 @@ def upsert(
     keep the target's, take the incoming value unless null, or compute it from
     :func:`old` and :func:`new`.  Columns without a rule keep the target's value.
     Inserted rows take the incoming values; columns the incoming rows lack are
-    filled from ``defaults``.
+    filled from ``defaults``.  The target's column types stay.
     """
     defaults = defaults or {}
     left = target.withColumn("_held", F.lit(True)).alias("target")
@@ -89,10 +89,11 @@ def upsert(
     on = [old(k) == new(k) for k in keys]
     joined = left.join(right, on, "full_outer")
     held, came = F.col("_held").isNotNull(), F.col("_came").isNotNull()
+    types = {f.name: f.dataType for f in target.schema.fields}
 
-    def column(name: str) -> Column:
+    def value(name: str) -> Column:
         if name in keys:
-            return F.coalesce(old(name), new(name)).alias(name)
+            return F.coalesce(old(name), new(name))
         inserted = new(name) if name in incoming.columns else defaults.get(name, F.lit(None))
         rule = rules.get(name, TARGET)
         if rule == TARGET:
@@ -103,11 +104,9 @@ def upsert(
             updated = F.coalesce(new(name), old(name))
         else:
             updated = rule(name)
-        return (
-            F.when(held & came, updated).when(held, old(name)).otherwise(inserted).alias(name)
-        )
+        return F.when(held & came, updated).when(held, old(name)).otherwise(inserted)
 
-    return joined.select(*[column(c) for c in target.columns])
+    return joined.select(*[value(c).cast(types[c]).alias(c) for c in target.columns])
 
 
 def remember_previous(

@@ -23,6 +23,14 @@ from rungworks.operators.merge import (
 WINDOW_DAYS = 3
 MATCH_TYPE = "1v1"
 
+# What a later run may correct in a match already known.
+INFERRED_COLUMNS = (
+    "p1_race_inferred",
+    "p1_race_confidence",
+    "p2_race_inferred",
+    "p2_race_confidence",
+)
+
 
 def current_players(modern: DataFrame, legacy: DataFrame) -> DataFrame:
     """Newest tags and names of each (character, race); legacy names win over modern ones."""
@@ -155,8 +163,7 @@ def match_facts(
 
 def merge_matches(facts: DataFrame, current: DataFrame) -> DataFrame:
     """The match table after a run: on a known match only races and confidence change."""
-    inferred = ("p1_race_inferred", "p1_race_confidence", "p2_race_inferred", "p2_race_confidence")
-    return upsert(facts, current, ["match_id"], {c: INCOMING for c in inferred})
+    return upsert(facts, current, ["match_id"], {c: INCOMING for c in INFERRED_COLUMNS})
 
 
 player_stats_daily = daily.player_stats_daily

@@ -26,10 +26,24 @@ def read_documents(
 
 def read_landed(spark: SparkSession, root: str, kind: str, schema: str) -> DataFrame:
     """Documents written by :func:`land`, typed, with the file name they stand for."""
-    docs = spark.read.schema(f"{schema}, league_id STRING, snapshot STRING").json(f"{root}/kind={kind}")
+    docs = spark.read.schema(_landed(schema)).json(f"{root}/kind={kind}")
     return _with_file_name(docs, F.lit(kind))
 
 
+def stream_landed(
+    spark: SparkSession, root: str, kind: str, schema: str, max_files: int | None = None
+) -> DataFrame:
+    """The same as a stream of the files as they arrive, at most ``max_files`` per batch."""
+    reader = spark.readStream.schema(_landed(schema))
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return _with_file_name(reader.json(f"{root}/kind={kind}"), F.lit(kind))
+
+
+def _landed(schema: str) -> str:
+    return f"{schema}, league_id STRING, snapshot STRING"
+
+
 def _with_file_name(docs: DataFrame, kind: Column) -> DataFrame:
     name = F.concat_ws("_", kind, F.nullif("league_id", F.lit("none")), "snapshot")
     return docs.withColumn("file_name", F.concat(name, F.lit(".json"))).drop("league_id", "snapshot")

@@ -23,12 +23,10 @@ from rungworks.sources import tables
 
 
 def document_stream(
-    spark: SparkSession, source: str, schema: str, max_files: int | None = None, whole_files: bool = True
+    spark: SparkSession, source: str, schema: str, glob: str, max_files: int | None = None
 ) -> DataFrame:
-    """New documents below ``source`` with their ``file_name``, at most ``max_files`` per batch."""
-    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
-    if whole_files:
-        reader = reader.option("multiLine", True)
+    """New whole-file documents in ``source`` with their ``file_name``, ``max_files`` per batch."""
+    reader = spark.readStream.schema(schema).option("multiLine", True).option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.json(source).select("*", "_metadata.file_name")
@@ -45,27 +43,28 @@ def run(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: s
 
 
 def ingest(
-    spark: SparkSession,
-    flow: Flow,
-    source: str,
-    silver: str,
-    checkpoint: str,
-    as_of: str,
-    max_files: int | None = None,
+    documents: DataFrame, flow: Flow, silver: str, checkpoint: str, as_of: str
 ) -> StreamingQuery:
-    """Flatten arriving documents and insert the rows whose key the table lacks."""
+    """Flatten arriving documents and insert the rows whose key the table lacks.
+
+    ``documents`` is :func:`document_stream` or ``stream_landed``.
+    """
     path = f"{silver}/{flow.table.name}"
 
     def insert(batch: DataFrame, _: int) -> None:
         target = tables.read_table(batch.sparkSession, path, flow.table)
         tables.append(load(flow, target, batch, as_of), path)
 
-    return run(document_stream(spark, source, flow.document, max_files), insert, checkpoint)
+    return run(documents, insert, checkpoint)
 
 
 def first_sightings(stream: DataFrame, keys: list[str], ts: str, late: str = "3 days") -> DataFrame:
-    """Rows of a stream, each key once, for rows that are at most ``late`` behind."""
-    return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
+    """Rows of a stream, each key once, for rows that are at most ``late`` behind.
+
+    ``ts`` may be zone-less; watermarks are not, so a copy with a zone carries it.
+    """
+    timed = stream.withColumn("_event_time", F.col(ts).cast("timestamp"))
+    return timed.withWatermark("_event_time", late).dropDuplicatesWithinWatermark(keys).drop("_event_time")
 
 
 def detect_changes(
