@@ -95,18 +95,15 @@ CONTRACTS: dict[str, Callable[[Column], Column]] = {
 
 
 def without_empty_results(df: DataFrame, payload: str, list_name: str) -> DataFrame:
-    """Leave out answers that hold nothing: no payload, or a missing, null or empty value.
+    """Leave out objects whose list is missing, null or empty: answers that hold nothing.
 
-    This runs before the contract, so an absent list is an empty answer there,
-    while a value of another type reaches the contract and is reported.
+    This runs before the contract, which would call a missing list a violation.  What
+    is no object, or holds something else in place of the list, stays to be reported.
     """
-    held = F.try_variant_get(F.try_parse_json(payload), f"$.{list_name}", "variant")
-    empty = (
-        held.isNull()
-        | F.is_variant_null(held)
-        | F.coalesce(F.to_json(held).isin("[]", "{}", '""', "0", "false"), F.lit(False))
-    )
-    return df.where(~empty | ~F.coalesce(_object(F.try_parse_json(payload)).isNotNull(), F.lit(False)))
+    value = F.try_parse_json(payload)
+    held = F.try_variant_get(value, f"$.{list_name}", "variant")
+    nothing = F.coalesce(F.to_json(held), F.lit("null")).isin("null", "[]", "{}", '""', "0", "false")
+    return df.where(_object(value).isNull() | ~nothing)
 
 
 def check_payloads(df: DataFrame, payload: str, contract: str) -> DataFrame:

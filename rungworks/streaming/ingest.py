@@ -19,6 +19,7 @@ from rungworks.operators.asof import asof_lookup
 from rungworks.operators.changes import advance_state, changed_keys
 from rungworks.operators.merge import upsert
 from rungworks.plans.silver import Flow, load
+from rungworks.session import stage
 from rungworks.sources import tables
 
 
@@ -83,7 +84,7 @@ def detect_changes(
 
     def each(batch: DataFrame, number: int) -> None:
         state = tables.read_version(batch.sparkSession, state_root, schemas.MATCH_HISTORY_CHECKPOINT)
-        seen = counters(batch)
+        seen = stage(counters(batch), "counters")
         handle(changed_keys(seen, state), number)
         landed = seen.where(F.col("current_games") > 0)
         tables.write_version(advance_state(state, landed, as_of), state_root)

@@ -1,0 +1,83 @@
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from conftest import rows
+
+from rungworks.operators.asof import asof_lookup
+
+START = datetime(2026, 1, 1)
+PROBE, KNOWN = "k INT, t TIMESTAMP_NTZ", "k INT, s TIMESTAMP_NTZ, v STRING"
+
+
+def lookup(spark, probes, evidence, tolerance=timedelta(minutes=90)):
+    found = asof_lookup(
+        spark.createDataFrame(probes, PROBE),
+        spark.createDataFrame(evidence, KNOWN),
+        key="k", probe_ts="t", evidence_ts="s", value="v", tolerance=tolerance,
+    )
+    assert found.columns == ["k", "t", "v", "evidence_ts"]
+    return rows(found)
+
+
+def brute_force(probes, evidence, tolerance):
+    out = {}
+    for k, t in probes:
+        hits = [(s, v) for ek, s, v in evidence if ek == k and k is not None and v is not None and t - tolerance <= s < t]
+        if hits:
+            s, v = max(hits)
+            out[k, t] = (k, t, v, s)
+    return sorted(out.values(), key=repr)
+
+
+@pytest.mark.parametrize(
+    "age, found",
+    [
+        (timedelta(minutes=90), True),
+        (timedelta(minutes=90, microseconds=1), False),
+        (timedelta(0), False),
+        (timedelta(microseconds=1), True),
+        (-timedelta(minutes=1), False),
+    ],
+)
+@pytest.mark.parametrize("at", [START, START + timedelta(minutes=45), START + timedelta(minutes=89, seconds=59)])
+def test_bounds(spark, age, found, at):
+    assert bool(lookup(spark, [(1, at)], [(1, at - age, "Zerg")])) is found
+
+
+def test_newest_evidence_wins_and_repeats_are_merged(spark):
+    at = START + timedelta(hours=3)
+    probes = [(1, at), (1, at), (2, at), (None, at)]
+    evidence = [
+        (1, at - timedelta(minutes=50), "Terran"),
+        (1, at - timedelta(minutes=10), "Protoss"),
+        (1, at - timedelta(minutes=10), "Zerg"),
+        (1, at - timedelta(minutes=5), None),
+        (3, at - timedelta(minutes=1), "Zerg"),
+        (None, at - timedelta(minutes=1), "Zerg"),
+    ]
+    assert lookup(spark, probes, evidence) == [(1, at, "Zerg", at - timedelta(minutes=10))]
+
+
+def test_against_brute_force_with_a_hot_key(spark):
+    rng = random.Random(11)
+
+    def point():
+        key = 0 if rng.random() < 0.4 else rng.randrange(1, 6)
+        return key, START + timedelta(seconds=rng.randrange(4 * 3600))
+
+    probes = [point() for _ in range(900)]
+    evidence = [(*point(), rng.choice("ZTP")) for _ in range(500)]
+    for tolerance in (timedelta(seconds=40), timedelta(minutes=17)):
+        assert lookup(spark, probes, evidence, tolerance) == brute_force(probes, evidence, tolerance)
+
+
+def test_no_task_holds_a_whole_key(spark):
+    probes = spark.createDataFrame([(1, START)], PROBE)
+    evidence = spark.createDataFrame([(1, START, "x")], KNOWN)
+    found = asof_lookup(
+        probes, evidence, key="k", probe_ts="t", evidence_ts="s", value="v", tolerance=timedelta(minutes=90)
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_key" in plan and "_slice" in plan
+    assert "Join" not in plan and "Cartesian" not in plan

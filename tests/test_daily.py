@@ -1,0 +1,43 @@
+from datetime import date, datetime
+
+from conftest import rows
+
+from rungworks.operators import daily
+from rungworks.plans import gold
+
+DAY = date(2026, 1, 1)
+
+
+def at(hour, day=1):
+    return datetime(2026, 1, day, hour)
+
+
+def test_player_stats_daily(spark):
+    df = spark.createDataFrame(
+        [(1, at(1), "WIN"), (1, at(2), "LOSS"), (1, at(3), "TIE"), (1, at(3), None), (1, at(4, 2), "WIN"), (2, at(5), "TIE")],
+        "profile_id INT, match_date TIMESTAMP_NTZ, decision STRING",
+    )
+    assert rows(daily.player_stats_daily(df)) == [
+        (1, DAY, 4, 1, 1, 0.25), (1, date(2026, 1, 2), 1, 1, 0, 1.0), (2, DAY, 1, 0, 0, 0.0),
+    ]
+
+
+def test_player_mmr_daily(spark):
+    modern = spark.createDataFrame(
+        [(1, at(1), 3000, "a#1"), (1, at(9), 2900, "a#2"), (1, at(5), None, "x"), (2, at(1), None, "b")],
+        "character_id INT, snapshot_ts TIMESTAMP_NTZ, rating INT, battle_tag STRING",
+    )
+    legacy = spark.createDataFrame(
+        [(1, at(2), "OLD"), (1, at(3), "NEW")], "character_id INT, snapshot_ts TIMESTAMP_NTZ, clan_tag STRING"
+    )
+    assert rows(gold.player_mmr_daily(modern, legacy)) == [
+        (1, DAY, 3000, 2900, "a#2", "NEW"), (2, DAY, None, None, "b", None),
+    ]
+
+
+def test_mmr_checkpoints_are_unique_in_their_key(spark):
+    df = spark.createDataFrame(
+        [(5, 1, at(1), 30), (5, 1, at(1), 20), (5, 1, at(2), 20), (6, 1, at(1), 10)],
+        "ladder_id INT, profile_id INT, snapshot_ts TIMESTAMP_NTZ, rating INT",
+    )
+    assert rows(daily.mmr_checkpoints(df), "ladder_id", "rating") == [(5, 20), (5, 20), (6, 10)]
