@@ -31,8 +31,12 @@ def epoch_seconds_to_ntz(seconds: Column) -> Column:
 
 
 def micros(ts: Column) -> Column:
-    """Microseconds since 1970 of a zone-less timestamp, whatever the session zone."""
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), ts)
+    """Microseconds since 1970 of a zone-less timestamp, whatever the session zone.
+
+    ``timestampdiff`` would go through the session's zone and its daylight saving.
+    """
+    seconds = (ts - F.expr(_EPOCH)).cast("interval second").cast("decimal(24,6)")
+    return (seconds * 1_000_000).cast("bigint")
 
 
 def truthy_number(value: Column) -> Column:

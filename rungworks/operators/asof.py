@@ -36,7 +36,7 @@ def asof_lookup(
     Result columns: ``key``, ``probe_ts``, ``value``, ``evidence_ts`` (the evidence's time).
     """
     length = tolerance // timedelta(microseconds=1)
-    slice_of = F.floor(F.col("_at") / F.lit(length)).cast("bigint")
+    slice_of = F.expr(f"(_at - pmod(_at, {length})) div {length}")
 
     asked = (
         probes.where(F.col(key).isNotNull() & F.col(probe_ts).isNotNull())

@@ -16,17 +16,20 @@ from rungworks.operators.hotkeys import Split
 
 GAME = ("match_date", "map", "type")
 
+# The same as join key: a hash to sort by, and what the hash stands for.
+SAME_GAME = ("game", "match_date", "place")
+
 
 def _place() -> Column:
-    """Type and map as one text, the type marked off by its length; never null.
+    """Map and type as one text, never null; its end tells how long the type in it is.
 
     Reports without a map get a place of their own, keyed by player, instead of all
     meeting in one null partition.  As the value is never null, Spark derives no
     extra filter for one side of the self-join, and both sides read one shuffle.
     """
-    kind = F.concat(F.length("type").cast("string"), F.lit(":"), F.col("type"))
-    somewhere = F.concat(kind, F.lit(" on "), F.col("map"))
-    nowhere = F.concat(kind, F.lit(" ? "), F.col("profile_id").cast("string"))
+    kind = F.concat(F.col("type"), F.lit(":"), F.length("type").cast("string"))
+    somewhere = F.concat(F.col("map"), F.lit("@"), kind)
+    nowhere = F.concat(F.col("profile_id").cast("string"), F.lit("?"), kind)
     return F.coalesce(somewhere, nowhere, F.lit(""))
 
 
@@ -35,17 +38,20 @@ def player_games(history: DataFrame, in_window: Column, split: Split | None = No
 
     Rows without a player, time or type are no reports and are left out.
 
-    As a rule the reports are shuffled once, by game: the reduction, its order and
-    the pairing then all run on that one layout.  If ``split`` names crowded games,
+    As a rule the reports are shuffled and sorted once, by game: the reduction and
+    the pairing both run on that layout.  The leading hash gives the sort a number to
+    compare before it looks at texts.  If ``split`` names crowded games,
     repeated reports are merged before the shuffle instead, by player and game, so
     that no task receives a crowded game whole.
     """
     reports = history.where(
         F.col("profile_id").isNotNull() & F.col("match_date").isNotNull() & F.col("type").isNotNull()
     ).select("profile_id", *GAME, _place().alias("place"), "decision", in_window.alias("in_window"))
+    reports = reports.withColumn("game", F.xxhash64("match_date", "place"))
     if not (split and split.parts):
-        reports = reports.repartition("match_date", "place")
-    return reports.groupBy("match_date", "place", "profile_id", "map", "type").agg(
+        reports = reports.repartition(*SAME_GAME)
+    return reports.groupBy(*SAME_GAME, "profile_id", "map").agg(
+        F.first("type").alias("type"),
         F.min("decision").alias("any_lo"),
         F.max("decision").alias("any_hi"),
         F.min(F.when(F.col("in_window"), F.col("decision"))).alias("win_lo"),
@@ -73,7 +79,7 @@ def games(players: DataFrame, split: Split | None = None) -> DataFrame:
     come out does not depend on it.
     """
     first, second = players.where("in_window"), players
-    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("match_date", "place")]
+    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in SAME_GAME]
     if split and split.parts:
         first = first.withColumn("part", split.own_part("profile_id"))
         second = second.withColumn("part", F.explode(split.all_parts()))
@@ -93,7 +99,10 @@ def games(players: DataFrame, split: Split | None = None) -> DataFrame:
         .select(
             a_id.alias("p1_id"),
             b_id.alias("p2_id"),
-            *[F.col(f"a.{c}").alias(c) for c in GAME],
+            F.col("a.match_date").alias("match_date"),
+            F.col("a.map").alias("map"),
+            # Equal on both sides; naming both keeps the sides' plans, and so their shuffle, one.
+            F.coalesce("a.type", "b.type").alias("type"),
             p1_decision.alias("p1_decision"),
             p2_decision.alias("p2_decision"),
         )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -109,15 +109,31 @@ def rating_track_rows(track: DataFrame, modern: DataFrame, as_of: str, days: int
     return rows_to_insert(held, recent, ["character_id", "race", "snapshot_ts"])
 
 
+def earliest_match(history: DataFrame, as_of: str, days: int = WINDOW_DAYS) -> datetime | None:
+    """The earliest match reported in the window; no partner's report is older.
+
+    For :func:`match_facts`' ``history_since``, when the history is kept by match time:
+    one aggregate over the window spares the scan of everything before.
+    """
+    recent = history.where(since_days_date(F.col("snapshot_date"), as_of, days))
+    return recent.agg(F.min("match_date")).first()[0]
+
+
 def rebuilt_games(
     history: DataFrame,
     as_of: str,
     days: int = WINDOW_DAYS,
     match_type: str = MATCH_TYPE,
     split: Split | None = None,
+    history_since: datetime | None = None,
 ) -> DataFrame:
-    """Pairs and unmatched reports of one match type, seen in the last ``days``."""
+    """Pairs and unmatched reports of one match type, seen in the last ``days``.
+
+    Partners may come from the whole history, or from ``history_since`` on.
+    """
     reports = history.where(F.col("type") == match_type)
+    if history_since:
+        reports = reports.where(F.col("match_date") >= F.lit(history_since).cast("timestamp_ntz"))
     in_window = since_days_date(F.col("snapshot_date"), as_of, days)
     return pairs.games(pairs.player_games(reports, in_window, split), split)
 
@@ -150,6 +166,7 @@ def match_facts(
     evidence: DataFrame | None = None,
     tolerance: timedelta = inference.SESSION,
     split: Split | None = None,
+    history_since: datetime | None = None,
 ) -> DataFrame:
     """Match rows of the window, ready to be merged into the match table.
 
@@ -157,7 +174,7 @@ def match_facts(
     nothing and have no key.
     """
     placed = history.where(F.col("map").isNotNull())
-    games = rebuilt_games(placed, as_of, days, match_type, split)
+    games = rebuilt_games(placed, as_of, days, match_type, split, history_since)
     return inference.match_rows(inferred_games(games, track, players, evidence, tolerance))
 
 

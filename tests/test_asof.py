@@ -72,6 +72,13 @@ def test_against_brute_force_with_a_hot_key(spark):
         assert lookup(spark, probes, evidence, tolerance) == brute_force(probes, evidence, tolerance)
 
 
+def test_times_before_1970(spark):
+    at = datetime(1969, 12, 31, 23, 30)
+    assert lookup(spark, [(1, at)], [(1, at - timedelta(minutes=89), "Zerg")]) == [
+        (1, at, "Zerg", at - timedelta(minutes=89))
+    ]
+
+
 def test_no_task_holds_a_whole_key(spark):
     probes = spark.createDataFrame([(1, START)], PROBE)
     evidence = spark.createDataFrame([(1, START, "x")], KNOWN)

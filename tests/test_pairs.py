@@ -85,6 +85,19 @@ def test_reports_without_map_stand_alone_and_are_quarantined(spark):
     assert pairs.without_map(spark.createDataFrame(reports, REPORT)).count() == 2
 
 
+def test_reading_only_since_the_earliest_match_changes_nothing(spark):
+    old_game = AT - timedelta(days=30)
+    reports = [
+        report(1, "WIN", at=AT - timedelta(days=2)), report(2, "LOSS", at=AT - timedelta(days=2), seen=OLD),
+        report(1, "WIN", at=old_game, seen=OLD), report(2, "LOSS", at=old_game, seen=OLD), report(3, "WIN"),
+    ]
+    history = spark.createDataFrame(reports, REPORT)
+    since = gold.earliest_match(history, AS_OF)
+    assert since == AT - timedelta(days=2)
+    assert rows(games(spark, reports, history_since=since)) == rows(games(spark, reports))
+    assert gold.earliest_match(history.where("false"), AS_OF) is None
+
+
 def test_several_reports_of_one_player(spark):
     reports = [report(1, "WIN"), report(1, "LOSS"), report(1, "WIN"), report(2, "WIN")]
     assert ids(games(spark, reports)) == [(1, 2, "Dusk", "LOSS", "WIN")]
