@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rungworks.operators.merge import unique_by_key
-
 
 def player_stats_daily(matches: DataFrame, win: str = "WIN", loss: str = "LOSS") -> DataFrame:
     """Games, wins, losses and win rate per player and day."""
@@ -19,16 +17,16 @@ def player_stats_daily(matches: DataFrame, win: str = "WIN", loss: str = "LOSS")
 
 
 def mmr_checkpoints(snapshots: DataFrame) -> DataFrame:
-    """Rating snapshots per ladder, player and time."""
-    rows = snapshots.select("ladder_id", "profile_id", "snapshot_ts", "rating")
-    return unique_by_key(rows, ["ladder_id", "profile_id", "snapshot_ts"])
+    """Rating snapshots per ladder, player and time; of several ratings the lowest stays."""
+    return snapshots.groupBy("ladder_id", "profile_id", "snapshot_ts").agg(
+        F.min("rating").alias("rating")
+    )
 
 
 def player_mmr_daily(snapshots: DataFrame) -> DataFrame:
-    """Highest and last rating of the day, with the tags of the last snapshot."""
+    """Highest and last rating of the day, with the battle tag of the last snapshot."""
     last = F.max_by(
-        F.struct("rating", "battle_tag", "clan_tag"),
-        F.struct("snapshot_ts", "rating", "battle_tag", "clan_tag"),
+        F.struct("rating", "battle_tag"), F.struct("snapshot_ts", "rating", "battle_tag")
     )
     daily = snapshots.groupBy("profile_id", F.to_date("snapshot_ts").alias("snapshot_date")).agg(
         F.max("rating").alias("max_rating"), last.alias("_last")
@@ -39,5 +37,11 @@ def player_mmr_daily(snapshots: DataFrame) -> DataFrame:
         "max_rating",
         F.col("_last.rating").alias("current_rating"),
         F.col("_last.battle_tag").alias("battle_tag"),
-        F.col("_last.clan_tag").alias("clan_tag"),
     )
+
+
+def last_clan_daily(members: DataFrame) -> DataFrame:
+    """The clan tag last seen on each day."""
+    return members.groupBy(
+        F.col("character_id").alias("profile_id"), F.to_date("snapshot_ts").alias("snapshot_date")
+    ).agg(F.max_by("clan_tag", F.struct("snapshot_ts", "clan_tag")).alias("clan_tag"))

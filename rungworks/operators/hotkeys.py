@@ -47,11 +47,15 @@ class Split:
 def heavy_groups(
     df: DataFrame,
     keys: Sequence[str],
-    rows_per_part: int = 20_000,
+    pairs_per_part: int = 100_000_000,
     limit: int = 64,
     max_parts: int = 512,
 ) -> Split:
-    """Find the groups holding more than ``rows_per_part`` rows and how to cut them."""
+    """Find the groups too large to be paired within themselves by one task.
+
+    A group of n rows asks for n x n comparisons; it is cut into as many parts as
+    keep those of each part near ``pairs_per_part``.
+    """
     found = (
         df.dropna(subset=list(keys))
         .select(F.xxhash64(*keys).alias("g"))
@@ -59,8 +63,8 @@ def heavy_groups(
         .first()["top"]
     )
     parts = {
-        row["item"]: min(max_parts, -(-row["count"] // rows_per_part))
+        row["item"]: min(max_parts, -(-row["count"] ** 2 // pairs_per_part))
         for row in found or []
-        if row["count"] > rows_per_part
+        if row["count"] ** 2 > pairs_per_part
     }
     return Split(tuple(keys), parts)

@@ -188,16 +188,11 @@ mmr_checkpoints = daily.mmr_checkpoints
 
 
 def player_mmr_daily(modern: DataFrame, legacy: DataFrame) -> DataFrame:
-    """Daily ratings from ladder snapshots, with the clan known at the end of each day."""
-    clans = legacy.groupBy("character_id", F.to_date("snapshot_ts").alias("_day")).agg(
-        F.max_by("clan_tag", F.struct("snapshot_ts", "clan_tag")).alias("clan_tag")
-    )
-    snapshots = modern.select(
-        F.col("character_id").alias("profile_id"), "snapshot_ts", "rating", "battle_tag"
-    )
-    rows = (
-        snapshots.withColumn("_day", F.to_date("snapshot_ts"))
-        .join(clans.withColumnRenamed("character_id", "profile_id"), ["profile_id", "_day"], "left")
-        .drop("_day")
+    """Daily ratings from ladder snapshots, with the clan known at the end of each day.
+
+    Both sides are reduced to one row per player and day before they meet.
+    """
+    snapshots = modern.withColumnRenamed("character_id", "profile_id")
+    return daily.player_mmr_daily(snapshots).join(
+        daily.last_clan_daily(legacy), ["profile_id", "snapshot_date"], "left"
     )
-    return daily.player_mmr_daily(rows)

@@ -12,10 +12,10 @@ from rungworks import schemas
 from rungworks.functions.scalars import moment
 from rungworks.operators import flatten
 from rungworks.operators.contracts import row_violation, split
-from rungworks.operators.merge import load_summary, rows_to_insert
+from rungworks.operators.merge import rows_to_insert
+from rungworks.session import stage
 from rungworks.sources import listing, tables
 from rungworks.sources.documents import read_documents
-from rungworks.session import stage
 
 
 @dataclass(frozen=True)
@@ -42,26 +42,49 @@ MATCHES = Flow(
 FLOWS = (LEAGUE, MODERN, LEGACY, MATCHES)
 
 
-def prepare(flow: Flow, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows fit for the table, quarantined rows).
+def checked_rows(flow: Flow, docs: DataFrame) -> DataFrame:
+    """Flattened rows with a ``violation`` column, null for rows fit for the table.
 
     Rows without the parts of the key that make them meaningful are left out, as
-    for players the source reports without an id; other broken rows are set aside.
+    for players the source reports without an id.
     """
     rows = docs.transform(flow.transform)
     if flow.table.drop_if_null:
         rows = rows.dropna(subset=list(flow.table.drop_if_null))
-    sound, broken = split(row_violation(rows, flow.table))
+    return row_violation(rows, flow.table)
+
+
+def prepare(flow: Flow, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows fit for the table, in its types; quarantined rows)."""
+    sound, broken = split(checked_rows(flow, docs))
     return flow.table.conform(sound), broken
 
 
-def load(flow: Flow, target: DataFrame, docs: DataFrame, as_of: str) -> DataFrame:
-    """Rows to append to the table: sound, new in their key, stamped with ``as_of``."""
-    sound, _ = prepare(flow, docs)
-    fresh = rows_to_insert(target, sound, flow.table.key)
-    if flow.table.audit:
-        fresh = fresh.withColumn(flow.table.audit, moment(as_of))
-    return fresh.select(flow.table.schema.names)
+def load(flow: Flow, docs: DataFrame, silver: str, as_of: str) -> tuple[int, int]:
+    """Insert the sound rows of ``docs`` whose key the table lacks: (processed, inserted).
+
+    The documents are parsed once, into a staged table.  Only the target's keys of
+    the days in it are read; rows are counted from those days' file footers.  Broken
+    rows go to the quarantine table, as text.
+    """
+    spark, table = docs.sparkSession, flow.table
+    path = f"{silver}/{table.name}"
+    sound, broken = split(stage(checked_rows(flow, docs), f"load-{table.name}"))
+    sound = table.conform(sound)
+    days = tables.touched_days(sound, table.time)
+    target = tables.read_table(spark, path, table, days)
+    before = target.count()
+    fresh = rows_to_insert(target, sound, table.key).withColumn(table.audit, moment(as_of))
+    tables.append(fresh, path, table)
+    if not broken.isEmpty():
+        aside = broken.select(
+            F.lit(table.name).alias("source"),
+            "violation",
+            F.to_json(F.struct(*table.payload)).alias("content"),
+            moment(as_of).alias("loaded_at"),
+        )
+        tables.append(aside, f"{silver}/{schemas.QUARANTINE.name}", schemas.QUARANTINE)
+    return sound.count(), tables.read_table(spark, path, table, days).count() - before
 
 
 def ingest_window(
@@ -74,28 +97,29 @@ def ingest_window(
 ) -> DataFrame:
     """Load the not yet processed files among the newest ``window`` per league.
 
-    Returns the load summary.  The driver handles file *names* only, at most
-    ``window`` per league; use the streaming ingest to work off everything.
-    The ledger is written last, so a run that dies is simply repeated.
+    Returns the load summary: rows processed, inserted, skipped.  The driver handles
+    file *names* only, at most ``window`` per league; use the streaming ingest to work
+    off everything.  The ledger is written last, so a run that dies is simply repeated.
     """
-    path, ledger_path = f"{silver}/{flow.table.name}", f"{silver}/{schemas.PROCESSED_FILES.name}"
+    ledger_path = f"{silver}/{schemas.PROCESSED_FILES.name}"
     ledger = tables.read_table(spark, ledger_path, schemas.PROCESSED_FILES)
     files = listing.list_files(spark, bronze, f"{flow.kind}_*.json")
     wanted = listing.unprocessed(listing.last_files(files, window), ledger)
     names = [r["path"] for r in wanted.select("path").collect()]
-    target = tables.read_table(spark, path, flow.table)
-    if not names:
-        nothing = flow.table.empty(spark)
-        return load_summary(nothing, nothing)
-    docs = read_documents(spark, names, flow.document)
-    fresh = stage(load(flow, target, docs, as_of), f"load-{flow.table.name}")
-    sound, _ = prepare(flow, docs)
-    tables.append(fresh, path)
-    done = spark.createDataFrame([(n.rsplit("/", 1)[-1],) for n in names], "file_name STRING")
-    tables.append(listing.ledger_entries(done, ledger, as_of), ledger_path)
-    return load_summary(sound, fresh)
-
-
-def ingest_all(spark: SparkSession, bronze: str, silver: str, as_of: str, window: int = listing.DEFAULT_WINDOW) -> dict[str, DataFrame]:
+    processed = inserted = 0
+    if names:
+        docs = read_documents(spark, names, flow.document)
+        processed, inserted = load(flow, docs, silver, as_of)
+        done = spark.createDataFrame([(n.rsplit("/", 1)[-1],) for n in names], "file_name STRING")
+        entries = listing.ledger_entries(done, ledger, as_of)
+        tables.append(entries, ledger_path, schemas.PROCESSED_FILES)
+    return spark.createDataFrame(
+        [(processed, inserted, processed - inserted)], "processed BIGINT, inserted BIGINT, skipped BIGINT"
+    )
+
+
+def ingest_all(
+    spark: SparkSession, bronze: str, silver: str, as_of: str, window: int = listing.DEFAULT_WINDOW
+) -> dict[str, DataFrame]:
     """All four flows, one after the other; they share nothing but the ledger."""
     return {f.table.name: ingest_window(spark, f, bronze, silver, as_of, window) for f in FLOWS}

@@ -8,7 +8,7 @@ are accepted, and text that is no number raises under ANSI casts, where a
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +59,8 @@ class Table:
 
     ``drop_if_null`` names the key parts whose absence makes a row meaningless
     rather than wrong: such rows are left out before the other checks run.
+    ``time`` is the column by whose day the table is kept in folders.  The key holds
+    or, for matches, is made from it, so rows of one key always share a folder.
     """
 
     name: str
@@ -67,7 +69,7 @@ class Table:
     required: tuple[str, ...]
     drop_if_null: tuple[str, ...] = ()
     audit: str | None = None
-    partition_by: tuple[str, ...] = field(default=())
+    time: str | None = None
 
     @property
     def schema(self) -> T.StructType:
@@ -100,6 +102,7 @@ LEAGUE_DIVISIONS = Table(
     key=("ladder_id", "snapshot_ts"),
     required=("ladder_id", "snapshot_ts"),
     audit="loaded_at",
+    time="snapshot_ts",
 )
 
 MODERN_LADDER_TEAMS = Table(
@@ -116,6 +119,7 @@ MODERN_LADDER_TEAMS = Table(
     required=("ladder_id", "character_id", "snapshot_ts"),
     drop_if_null=("character_id",),
     audit="loaded_at",
+    time="snapshot_ts",
 )
 
 LEGACY_LADDER_MEMBERS = Table(
@@ -130,6 +134,7 @@ LEGACY_LADDER_MEMBERS = Table(
     required=("ladder_id", "character_id", "snapshot_ts"),
     drop_if_null=("character_id",),
     audit="loaded_at",
+    time="snapshot_ts",
 )
 
 MATCH_HISTORY = Table(
@@ -143,6 +148,7 @@ MATCH_HISTORY = Table(
     required=("profile_id", "realm_id", "region_id", "match_date", "snapshot_date"),
     drop_if_null=("profile_id", "match_date"),
     audit="loaded_at",
+    time="match_date",
 )
 
 PROCESSED_FILES = Table(
@@ -161,6 +167,14 @@ MATCH_HISTORY_CHECKPOINT = Table(
     audit="updated_at",
 )
 
+QUARANTINE = Table(
+    name="quarantine",
+    columns="source STRING, violation STRING, content STRING, loaded_at TIMESTAMP_NTZ",
+    key=(),
+    required=("source", "violation"),
+    audit="loaded_at",
+)
+
 DIM_PLAYERS = Table(
     name="dim_players",
     columns="""
@@ -182,6 +196,7 @@ FACT_MMR_TRACK = Table(
     """,
     key=("character_id", "race", "snapshot_ts"),
     required=("character_id", "race", "snapshot_ts"),
+    time="snapshot_ts",
 )
 
 FACT_MATCHES = Table(
@@ -193,6 +208,7 @@ FACT_MATCHES = Table(
     """,
     key=("match_id",),
     required=("match_id", "match_date", "p1_character_id"),
+    time="match_date",
 )
 
 PLAYER_STATS_DAILY = Table(
@@ -202,6 +218,7 @@ PLAYER_STATS_DAILY = Table(
     """,
     key=("profile_id", "match_date"),
     required=("profile_id", "match_date"),
+    time="match_date",
 )
 
 MMR_CHECKPOINTS = Table(
@@ -209,6 +226,7 @@ MMR_CHECKPOINTS = Table(
     columns="ladder_id INT, profile_id INT, snapshot_ts TIMESTAMP_NTZ, rating INT",
     key=("ladder_id", "profile_id", "snapshot_ts"),
     required=("ladder_id", "profile_id", "snapshot_ts"),
+    time="snapshot_ts",
 )
 
 PLAYER_MMR_DAILY = Table(
@@ -219,6 +237,7 @@ PLAYER_MMR_DAILY = Table(
     """,
     key=("profile_id", "snapshot_date"),
     required=("profile_id", "snapshot_date"),
+    time="snapshot_date",
 )
 
 SILVER = (
@@ -228,6 +247,7 @@ SILVER = (
     MATCH_HISTORY,
     PROCESSED_FILES,
     MATCH_HISTORY_CHECKPOINT,
+    QUARANTINE,
 )
 GOLD = (
     DIM_PLAYERS,

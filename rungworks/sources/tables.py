@@ -1,20 +1,25 @@
 """Tables as Parquet folders.
 
-Insert-only tables grow by appending files.  Tables that are rewritten by a merge
-are kept as numbered versions: a merge reads the newest complete version and
-writes the next, so a job that dies half-way leaves the last good one in place.
-A partitioned table whose merge touches few partitions replaces just those.
+Tables with a time column are kept in one folder per day.  Inserts add files;
+merges replace the folders of the days they touch, so their cost follows the batch
+and not the table.  Small tables that a merge rewrites whole are kept as numbered
+versions: a merge reads the newest complete version and writes the next, so a job
+that dies half-way leaves the last good one in place.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rungworks.schemas import Table
 from rungworks.session import stage
 
+DAY = "day"
+
 
 def _folder(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -27,22 +32,68 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(folder)
 
 
-def read_table(spark: SparkSession, path: str, table: Table) -> DataFrame:
-    """The table at ``path``, or an empty frame of its schema if nothing was written yet."""
+def read_table(
+    spark: SparkSession,
+    path: str,
+    table: Table,
+    days: Sequence[date] | None = None,
+    since: date | None = None,
+) -> DataFrame:
+    """The table at ``path``, or an empty frame of its schema if nothing was written yet.
+
+    ``days`` and ``since`` pick day folders; the others are not listed as input.
+    """
     if not exists(spark, path):
         return table.empty(spark)
-    return spark.read.schema(table.schema).parquet(path)
+    if not table.time:
+        return spark.read.schema(table.schema).parquet(path)
+    stored = spark.read.schema(table.schema.add(DAY, "date")).parquet(path)
+    if days is not None:
+        stored = stored.where(F.col(DAY).isin(list(days)) if days else F.lit(False))
+    if since is not None:
+        stored = stored.where(F.col(DAY) >= F.lit(since))
+    return stored.select(table.schema.names)
 
 
 def ensure_table(spark: SparkSession, path: str, table: Table) -> None:
     """Write the empty table if there is none; does nothing otherwise."""
     if not exists(spark, path):
-        table.empty(spark).write.mode("ignore").parquet(path)
+        append(table.empty(spark), path, table)
+
+
+def touched_days(df: DataFrame, time: str) -> list[date]:
+    """The days in a time column: one value per day reaches the driver."""
+    found = df.select(F.to_date(time).alias(DAY)).where(F.col(DAY).isNotNull()).distinct()
+    return sorted(r[DAY] for r in found.collect())
+
+
+def _by_day(df: DataFrame, table: Table) -> DataFrame:
+    """Rows with their day, laid out so that a day is written by few but enough tasks."""
+    return df.withColumn(DAY, F.to_date(table.time)).hint("rebalance", DAY)
+
 
+def append(df: DataFrame, path: str, table: Table) -> None:
+    df = df.select(table.schema.names)
+    if table.time:
+        _by_day(df, table).write.mode("append").partitionBy(DAY).parquet(path)
+    else:
+        df.write.mode("append").parquet(path)
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    writer = df.hint("rebalance", *partition_by).write if partition_by else df.write
-    writer.mode("append").partitionBy(*partition_by).parquet(path)
+
+def replace_days(df: DataFrame, path: str, table: Table) -> None:
+    """Replace the day folders that ``df`` has rows in.
+
+    ``df`` is staged first, since it was usually computed from the very files that
+    are replaced; a run that dies while replacing can be finished from there.
+    """
+    staged = stage(df.select(table.schema.names), f"replace-{table.name}")
+    (
+        _by_day(staged, table)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DAY)
+        .parquet(path)
+    )
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
@@ -72,19 +123,3 @@ def write_version(df: DataFrame, root: str) -> str:
     path = f"{root}/v{(known[-1] if known else 0) + 1:06d}"
     df.write.mode("overwrite").parquet(path)
     return path
-
-
-def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace exactly the partitions that ``df`` has rows in.
-
-    ``df`` is staged first, since it was usually computed from the very files that
-    are replaced; a run that dies while replacing can be finished from there.
-    """
-    staged = stage(df, "replace")
-    (
-        staged.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )

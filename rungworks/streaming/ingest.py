@@ -50,11 +50,9 @@ def ingest(
 
     ``documents`` is :func:`document_stream` or ``stream_landed``.
     """
-    path = f"{silver}/{flow.table.name}"
 
     def insert(batch: DataFrame, _: int) -> None:
-        target = tables.read_table(batch.sparkSession, path, flow.table)
-        tables.append(load(flow, target, batch, as_of), path)
+        load(flow, batch, silver, as_of)
 
     return run(documents, insert, checkpoint)
 

@@ -133,7 +133,7 @@ def test_a_crowded_game_is_split_and_gives_the_same_rows(spark):
     crowd = [report(i, rng.choice(["WIN", "LOSS"]), map_="Arena") for i in range(120)]
     rest = [report(rng.randrange(200), rng.choice(["WIN", "LOSS"]), map_=f"M{rng.randrange(60)}") for _ in range(240)]
     history = spark.createDataFrame(crowd + rest, REPORT)
-    split = hotkeys.heavy_groups(history, ["map"], rows_per_part=30)
+    split = hotkeys.heavy_groups(history, ["map"], pairs_per_part=60**2)
     assert list(split.parts.values()) == [4]
     got = games(spark, crowd + rest, split)
     assert {tuple(r) for r in got.select("p1_id", "p2_id", "match_date", "map").collect()} == expected(crowd + rest)

@@ -1,6 +1,6 @@
 import os
 import shutil
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from conftest import rows
@@ -39,13 +39,21 @@ def test_versions_skip_half_written_ones(spark, tmp_path):
     assert rows(tables.read_version(spark, root, STATE), "total_games") == [(3,)]
 
 
-def test_replacing_partitions_leaves_the_others(spark, tmp_path):
-    path = str(tmp_path / "t")
-    ddl = "day INT, v STRING"
-    tables.append(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], ddl), path, ["day"])
-    read = spark.read.schema(ddl).parquet(path)
-    tables.replace_partitions(read.where("day = 2").selectExpr("day", "upper(v) AS v"), path, ["day"])
-    assert rows(spark.read.schema(ddl).parquet(path), "day", "v") == [(1, "a"), (2, "B"), (3, "c")]
+def test_replacing_days_leaves_the_others(spark, tmp_path):
+    path, table = str(tmp_path / "t"), schemas.PLAYER_STATS_DAILY
+
+    def stats(*days):
+        return spark.createDataFrame([(1, date(2026, 1, d), g, 0, 0, 0.0) for d, g in days], table.schema)
+
+    tables.append(stats((1, 1), (2, 2), (3, 3)), path, table)
+    one = tables.read_table(spark, path, table, days=[date(2026, 1, 2)])
+    assert rows(one, "games") == [(2,)] and one.columns == table.schema.names
+    tables.replace_days(one.selectExpr("profile_id", "match_date", "games * 10 AS games", "wins", "losses", "win_rate"), path, table)
+    assert rows(tables.read_table(spark, path, table), "games") == [(1,), (20,), (3,)]
+    assert rows(tables.read_table(spark, path, table, since=date(2026, 1, 2)), "games") == [(20,), (3,)]
+    assert tables.read_table(spark, path, table, days=[]).isEmpty()
+    plan = tables.read_table(spark, path, table, days=[date(2026, 1, 2)])._jdf.queryExecution().executedPlan()
+    assert "PartitionFilters: [isnotnull(day" in plan.toString()
 
 
 def test_staged_rows_live_in_the_shared_folder(spark):
@@ -93,7 +101,7 @@ def test_all_flows_share_the_ledger(spark, write_json, tmp_path):
     }
 
 
-def test_broken_rows_are_set_aside(spark, write_json):
+def test_broken_rows_are_set_aside(spark, write_json, tmp_path):
     document = sample.league()
     document["tier"][0]["division"][0]["member_count"] = 70000
     del document["tier"][1]["division"][0]["ladder_id"]
@@ -103,6 +111,13 @@ def test_broken_rows_are_set_aside(spark, write_json):
     sound, broken = silver.prepare(silver.LEAGUE, docs)
     assert rows(sound, "ladder_id") == [(102,)]
     assert rows(broken, "violation") == [("ladder_id: null",), ("member_count: out of range",)]
+    target = str(tmp_path / "silver")
+    assert silver.load(silver.LEAGUE, docs, target, "2026-03-08 00:00:00") == (1, 1)
+    aside = tables.read_table(spark, f"{target}/quarantine", schemas.QUARANTINE)
+    assert rows(aside, "source", "violation") == [
+        ("league_divisions", "ladder_id: null"), ("league_divisions", "member_count: out of range"),
+    ]
+    assert any('"member_count":70000' in r.content for r in aside.collect())
 
 
 def test_landed_documents_read_back(spark, tmp_path):
