@@ -15,7 +15,7 @@ from rungworks.functions import filenames
 from rungworks.functions.scalars import moment
 from rungworks.operators import changes, contracts, daily, flatten, inference, latest, merge, pairs
 from rungworks.operators.asof import asof_lookup
-from rungworks.operators.hotkeys import heavy_groups
+from rungworks.operators.hotkeys import heavy_groups, heavy_keys
 from rungworks.plans import gold, silver, worklists
 from rungworks.session import scratch_path
 from rungworks.sources import documents, listing, tables
@@ -443,8 +443,9 @@ def _purchases(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("q25_asof_lookup")
 def asof(spark: SparkSession, sf: str) -> DataFrame:
-    clicks = _clicks(read(spark, sf, "events"))
-    return asof_lookup(clicks, _purchases(spark, sf), **_LOOKUP)
+    events = read(spark, sf, "events")
+    dense = heavy_keys(events, "user_id")
+    return asof_lookup(_clicks(events), _purchases(spark, sf), **_LOOKUP, dense_keys=dense)
 
 
 @query("q26_player_stats_daily")

@@ -1,23 +1,30 @@
 """Latest earlier evidence within a tolerance (backward as-of lookup).
 
 A range join would emit every (probe, evidence) pair inside the tolerance before
-keeping one.  Here both sides are laid on one time line per key and a running
-maximum is read off it, which is linear.  The time line is cut into slices as
-long as the tolerance, and evidence is also placed in the following slice, so the
-unit of work is (key, slice): a key holding a third of all rows still spreads over
-as many tasks as it has slices.  Rows of one instant are merged before the
-shuffle, so a slice holds no more rows than it has distinct instants.
+keeping one.  Here both sides are laid on one time line per key and the last
+evidence before each probe is read off it, which is linear; whether it is recent
+enough is checked at the end.
+
+The time line of a key is cut into slices, the unit of work.  A slice is as long as
+the tolerance, so evidence is also placed in the next slice.  Rows of one instant
+are merged before the shuffle, so a slice holds at most one row per instant.  Keys
+that are dense even then (a third of all rows, at microsecond times) get short
+slices, of which only the last evidence is handed on to those within reach.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import timedelta
+from typing import Any
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rungworks.functions.scalars import micros
 
+SHORT_SLICE = timedelta(minutes=1)
+
 
 def asof_lookup(
     probes: DataFrame,
@@ -28,37 +35,61 @@ def asof_lookup(
     evidence_ts: str,
     value: str,
     tolerance: timedelta,
+    dense_keys: Sequence[Any] = (),
+    short_slice: timedelta = SHORT_SLICE,
 ) -> DataFrame:
     """For each distinct (key, probe time): the newest ``value`` strictly before it.
 
     Evidence exactly ``tolerance`` old counts, older does not.  Of several values at
     one instant the greatest is taken.  Probes without evidence give no row.
     Result columns: ``key``, ``probe_ts``, ``value``, ``evidence_ts`` (the evidence's time).
+
+    ``dense_keys`` (see ``hotkeys.heavy_keys``) and ``short_slice`` only affect how
+    the work is cut.
     """
-    length = tolerance // timedelta(microseconds=1)
-    slice_of = F.expr(f"(_at - pmod(_at, {length})) div {length}")
+    microsecond = timedelta(microseconds=1)
+    length = tolerance // microsecond
+    short = min(short_slice // microsecond, length)
+    dense = F.col("_key").isin(list(dense_keys)) if dense_keys else F.lit(False)
+    width = F.when(dense, F.lit(short)).otherwise(F.lit(length))
 
-    asked = (
-        probes.where(F.col(key).isNotNull() & F.col(probe_ts).isNotNull())
-        .select(F.col(key).alias("_key"), F.col(probe_ts).alias("_ts"))
-        .withColumn("_at", micros(F.col("_ts")))
-        .select("_key", slice_of.alias("_slice"), "_at", "_ts", F.lit(True).alias("_asked"))
-    )
-    known = (
+    def sliced(df: DataFrame) -> DataFrame:
+        placed = df.withColumn("_at", micros(F.col("_ts"))).withColumn("_width", width)
+        return placed.withColumn("_slice", F.expr("(_at - pmod(_at, _width)) div _width"))
+
+    asked = sliced(
+        probes.where(F.col(key).isNotNull() & F.col(probe_ts).isNotNull()).select(
+            F.col(key).alias("_key"), F.col(probe_ts).alias("_ts")
+        )
+    ).select("_key", "_slice", "_at", "_ts", F.lit(True).alias("_asked"))
+    known = sliced(
         evidence.where(
             F.col(key).isNotNull() & F.col(evidence_ts).isNotNull() & F.col(value).isNotNull()
-        )
-        .select(
+        ).select(
             F.col(key).alias("_key"), F.col(evidence_ts).alias("_ts"), F.col(value).alias("_value")
         )
-        .withColumn("_at", micros(F.col("_ts")))
-        .withColumn("_slice", F.explode(F.array(slice_of, slice_of + 1)))
-        .select("_key", "_slice", "_at", "_ts", "_value")
+    ).select("_key", "_slice", "_at", "_ts", "_value")
+
+    places = F.when(dense, F.array("_slice")).otherwise(F.array("_slice", F.col("_slice") + 1))
+    rows = asked.unionByName(
+        known.withColumn("_slice", F.explode(places)), allowMissingColumns=True
     )
-    line = (
-        asked.unionByName(known, allowMissingColumns=True)
-        .groupBy("_key", "_slice", "_at", "_ts")
-        .agg(F.max("_value").alias("_value"), F.max("_asked").alias("_asked"))
+    if dense_keys:
+        reach = -(-length // short)
+        handed_on = (
+            known.where(dense)
+            .groupBy("_key", "_slice")
+            .agg(F.max(F.struct("_at", "_ts", "_value")).alias("_last"))
+            .select(
+                "_key",
+                F.explode(F.sequence(F.col("_slice") + 1, F.col("_slice") + reach)).alias("_slice"),
+                "_last.*",
+            )
+        )
+        rows = rows.unionByName(handed_on, allowMissingColumns=True)
+
+    line = rows.groupBy("_key", "_slice", "_at", "_ts").agg(
+        F.max("_value").alias("_value"), F.max("_asked").alias("_asked")
     )
     earlier = (
         Window.partitionBy("_key", "_slice")

@@ -1,15 +1,16 @@
-"""Splitting the few groups that hold a large share of the rows.
+"""Finding and splitting the few keys that hold a large share of the rows.
 
-``heavy_groups`` finds them with one sketch aggregate: a scan of the key columns
-whose partial results are merged map-side, no shuffle of rows, and an answer of at
-most ``limit`` entries whatever the input's size.  The answer only decides where
-rows are *placed*; no result depends on how well the sketch estimated.
+They are found with one sketch aggregate: a scan of the key columns whose partial
+results are merged map-side, no shuffle of rows, and an answer of at most ``limit``
+entries whatever the input's size.  The answer only decides where rows are
+*placed*; no result depends on how well the sketch estimated.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +45,21 @@ class Split:
         return F.sequence(F.lit(0), self.count() - 1)
 
 
+def _top(df: DataFrame, value: Column, limit: int) -> list[tuple[Any, int]]:
+    found = (
+        df.select(value.alias("g"))
+        .where(F.col("g").isNotNull())
+        .agg(F.expr(f"approx_top_k(g, {limit}, {TRACKED})").alias("top"))
+        .first()["top"]
+    )
+    return [(row["item"], row["count"]) for row in found or []]
+
+
+def heavy_keys(df: DataFrame, key: str, rows: int = 10_000_000, limit: int = 64) -> list[Any]:
+    """Keys holding more than ``rows`` rows: at most ``limit``, the heaviest first."""
+    return [item for item, count in _top(df, F.col(key), limit) if count > rows]
+
+
 def heavy_groups(
     df: DataFrame,
     keys: Sequence[str],
@@ -56,15 +72,10 @@ def heavy_groups(
     A group of n rows asks for n x n comparisons; it is cut into as many parts as
     keep those of each part near ``pairs_per_part``.
     """
-    found = (
-        df.dropna(subset=list(keys))
-        .select(F.xxhash64(*keys).alias("g"))
-        .agg(F.expr(f"approx_top_k(g, {limit}, {TRACKED})").alias("top"))
-        .first()["top"]
-    )
+    found = _top(df.dropna(subset=list(keys)), F.xxhash64(*keys), limit)
     parts = {
-        row["item"]: min(max_parts, -(-row["count"] ** 2 // pairs_per_part))
-        for row in found or []
-        if row["count"] ** 2 > pairs_per_part
+        item: min(max_parts, -(-(count**2) // pairs_per_part))
+        for item, count in found
+        if count**2 > pairs_per_part
     }
     return Split(tuple(keys), parts)

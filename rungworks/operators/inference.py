@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from rungworks.functions.scalars import match_key, or_zero
 from rungworks.operators.asof import asof_lookup
+from rungworks.operators.hotkeys import heavy_keys
 from rungworks.operators.latest import latest_per_key
 from rungworks.session import stage
 
@@ -152,6 +153,7 @@ def boost(inferred: DataFrame, evidence: DataFrame, tolerance: timedelta = SESSI
         evidence_ts="seen_at",
         value="race",
         tolerance=tolerance,
+        dense_keys=heavy_keys(evidence, "character_id"),
     ).select("character_id", "match_date", "race")
     out = games
     for p in ("p1", "p2"):

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rungworks import schemas
 from rungworks.operators.asof import asof_lookup
 from rungworks.operators.changes import advance_state, changed_keys
+from rungworks.operators.hotkeys import heavy_keys
 from rungworks.operators.merge import upsert
 from rungworks.plans.silver import Flow, load
 from rungworks.session import stage
@@ -130,7 +131,14 @@ def lookup_batches(
         known = evidence(batch.sparkSession)
         near = known.where(F.col(evidence_ts).between(F.lit(first - tolerance), F.lit(last)))
         found = asof_lookup(
-            batch, near, key=key, probe_ts=probe_ts, evidence_ts=evidence_ts, value=value, tolerance=tolerance
+            batch,
+            near,
+            key=key,
+            probe_ts=probe_ts,
+            evidence_ts=evidence_ts,
+            value=value,
+            tolerance=tolerance,
+            dense_keys=heavy_keys(near, key),
         )
         handle(found, number)
 

@@ -4,17 +4,18 @@ from datetime import datetime, timedelta
 import pytest
 from conftest import rows
 
+from rungworks.operators import hotkeys
 from rungworks.operators.asof import asof_lookup
 
 START = datetime(2026, 1, 1)
 PROBE, KNOWN = "k INT, t TIMESTAMP_NTZ", "k INT, s TIMESTAMP_NTZ, v STRING"
 
 
-def lookup(spark, probes, evidence, tolerance=timedelta(minutes=90)):
+def lookup(spark, probes, evidence, tolerance=timedelta(minutes=90), **cut):
     found = asof_lookup(
         spark.createDataFrame(probes, PROBE),
         spark.createDataFrame(evidence, KNOWN),
-        key="k", probe_ts="t", evidence_ts="s", value="v", tolerance=tolerance,
+        key="k", probe_ts="t", evidence_ts="s", value="v", tolerance=tolerance, **cut,
     )
     assert found.columns == ["k", "t", "v", "evidence_ts"]
     return rows(found)
@@ -40,9 +41,10 @@ def brute_force(probes, evidence, tolerance):
         (-timedelta(minutes=1), False),
     ],
 )
+@pytest.mark.parametrize("dense", [[], [1]], ids=["even", "dense"])
 @pytest.mark.parametrize("at", [START, START + timedelta(minutes=45), START + timedelta(minutes=89, seconds=59)])
-def test_bounds(spark, age, found, at):
-    assert bool(lookup(spark, [(1, at)], [(1, at - age, "Zerg")])) is found
+def test_bounds(spark, age, found, at, dense):
+    assert bool(lookup(spark, [(1, at)], [(1, at - age, "Zerg")], dense_keys=dense)) is found
 
 
 def test_newest_evidence_wins_and_repeats_are_merged(spark):
@@ -69,7 +71,16 @@ def test_against_brute_force_with_a_hot_key(spark):
     probes = [point() for _ in range(900)]
     evidence = [(*point(), rng.choice("ZTP")) for _ in range(500)]
     for tolerance in (timedelta(seconds=40), timedelta(minutes=17)):
-        assert lookup(spark, probes, evidence, tolerance) == brute_force(probes, evidence, tolerance)
+        want = brute_force(probes, evidence, tolerance)
+        assert lookup(spark, probes, evidence, tolerance) == want
+        for short in (timedelta(seconds=1), timedelta(seconds=7), timedelta(hours=1)):
+            assert lookup(spark, probes, evidence, tolerance, dense_keys=[0, 3], short_slice=short) == want
+
+
+def test_heavy_keys_are_found(spark):
+    df = spark.createDataFrame([(7,)] * 50 + [(i,) for i in range(100)] + [(None,)] * 80, "k INT")
+    assert hotkeys.heavy_keys(df, "k", rows=20) == [7]
+    assert hotkeys.heavy_keys(df, "k") == hotkeys.heavy_keys(df.where("false"), "k") == []
 
 
 def test_times_before_1970(spark):
@@ -87,4 +98,4 @@ def test_no_task_holds_a_whole_key(spark):
     )
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(_key" in plan and "_slice" in plan
-    assert "Join" not in plan and "Cartesian" not in plan
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
