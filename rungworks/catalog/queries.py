@@ -196,9 +196,10 @@ def load_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("q12_table_constraints")
 def table_constraints(spark: SparkSession, sf: str) -> DataFrame:
+    day = F.date_trunc("day", F.col("ts")).cast("timestamp_ntz")
     rows = read(spark, sf, "events").select(
         F.col("user_id").alias("ladder_id"),
-        F.when(F.col("event_type") != "error", F.date_trunc("day", F.col("ts"))).cast("timestamp_ntz").alias("snapshot_ts"),
+        F.when(F.col("event_type") != "error", day).alias("snapshot_ts"),
         F.floor(F.col("value") * 300).cast("bigint").alias("member_count"),
         *[
             F.lit(None).cast("bigint").alias(c)
@@ -345,11 +346,10 @@ def changed_players(spark: SparkSession, sf: str) -> DataFrame:
     docs = flatten.parse_documents(
         roles.legacy_documents(spark, sf), "payload", schemas.LEGACY_LADDER_DOCUMENT
     )
+    losses = F.when(F.col("c_acctbal") > 2000, F.length("c_mktsegment")).otherwise(0)
+    games = (F.floor(F.abs("c_acctbal") / 100) + losses).cast("int")
     known = read(spark, sf, "customer").select(
-        F.col("c_custkey").alias("character_id"),
-        (F.floor(F.abs("c_acctbal") / 100) + F.when(F.col("c_acctbal") > 2000, F.length("c_mktsegment")).otherwise(0))
-        .cast("int")
-        .alias("total_games"),
+        F.col("c_custkey").alias("character_id"), games.alias("total_games")
     )
     return worklists.changed_players(docs, known)
 
@@ -451,7 +451,9 @@ def asof(spark: SparkSession, sf: str) -> DataFrame:
 @query("q26_player_stats_daily")
 def stats_daily(spark: SparkSession, sf: str) -> DataFrame:
     matches = read(spark, sf, "events").select(
-        F.col("user_id").alias("profile_id"), F.col("ts").alias("match_date"), F.col("event_type").alias("decision")
+        F.col("user_id").alias("profile_id"),
+        F.col("ts").alias("match_date"),
+        F.col("event_type").alias("decision"),
     )
     return daily.player_stats_daily(matches, win="purchase", loss="error")
 
@@ -482,12 +484,9 @@ def league_contract(spark: SparkSession, sf: str) -> DataFrame:
     urgent = F.col("o_orderpriority")
     number = F.col("o_orderkey").cast("string")
     key = '"key": {"season_id": 66, "queue_id": 201, "league_id": null, "team_type": 0}'
-    sound = F.concat(
-        F.lit("{" + key + ', "tier": [{"division": []}, {"division": [{"ladder_id": '), number, F.lit("}]}]}")
-    )
-    no_id = F.concat(
-        F.lit("{" + key + ', "tier": [{"division": []}, {"division": [{"ladder_id": null}, {"id": '), number, F.lit("}]}]}")
-    )
+    start, end = "{" + key + ', "tier": [{"division": []}, {"division": [', F.lit("}]}]}")
+    sound = F.concat(F.lit(start + '{"ladder_id": '), number, end)
+    no_id = F.concat(F.lit(start + '{"ladder_id": null}, {"id": '), number, end)
     payload = (
         F.when(urgent == "1-URGENT", sound)
         .when(urgent == "2-HIGH", no_id)
@@ -501,22 +500,28 @@ def league_contract(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("o_orderstatus") == "O", F.lit('{"key": [], "tier": []}'))
         .otherwise(F.lit("not json"))
     )
-    docs = read(spark, sf, "orders").select("o_orderkey", payload.alias("payload"))
+    orders = read(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    docs = roles.spread(orders).select("o_orderkey", payload.alias("payload"))
     return contracts.check_payloads(docs, "payload", "league").select("o_orderkey", "violation")
 
 
 @query("q29_list_contracts")
 def list_contracts(spark: SparkSession, sf: str) -> DataFrame:
     """The three list contracts over event properties used as payloads."""
-    props = F.col("props")
+    event, props = F.col("event_type"), F.col("props")
+
+    def instead(content: str) -> Column:
+        return F.regexp_replace(props, '"k": (\\d+)', content)
+
     damaged = (
-        F.when(F.col("event_type") == "view", F.regexp_replace(props, '"k": (\\d+)', '"team": [$1]'))
-        .when(F.col("event_type") == "click", F.regexp_replace(props, '"k": (\\d+)', '"ladderMembers": []'))
-        .when(F.col("event_type") == "purchase", F.regexp_replace(props, '"k": (\\d+)', '"matches": [{"date": $1}]'))
-        .when(F.col("event_type") == "signup", F.regexp_replace(props, '"k": (\\d+)', '"team": null, "matches": $1'))
+        F.when(event == "view", instead('"team": [$1]'))
+        .when(event == "click", instead('"ladderMembers": []'))
+        .when(event == "purchase", instead('"matches": [{"date": $1}]'))
+        .when(event == "signup", instead('"team": null, "matches": $1'))
         .otherwise(F.concat(F.lit("["), props, F.lit("]")))
     )
-    docs = read(spark, sf, "events").select("event_id", damaged.alias("payload"))
+    events = read(spark, sf, "events").select("event_id", "event_type", "props")
+    docs = roles.spread(events).select("event_id", damaged.alias("payload"))
     return docs.select(
         "event_id",
         contracts.modern_ladder_violation(F.col("payload")).alias("modern"),
@@ -531,7 +536,7 @@ def request_wrapping(spark: SparkSession, sf: str) -> DataFrame:
     events = read(spark, sf, "events").select(
         "event_id", F.col("user_id").alias("profile_id"), F.col("props").alias("payload")
     )
-    with_ids = documents.with_request_ids(events, ["profile_id"], "payload")
+    with_ids = documents.with_request_ids(roles.spread(events), ["profile_id"], "payload")
     wrapped = documents.with_key(with_ids, "event_id", "payload")
     schema = "event_id BIGINT, data STRUCT<request_profile_id BIGINT, k INT>"
     parsed = wrapped.select(F.from_json("payload", schema).alias("d"))

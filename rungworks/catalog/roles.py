@@ -25,6 +25,16 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of an input that comes in fewer pieces than there are cores.
+
+    Building and parsing JSON is the expensive part of the document queries.  A large
+    input comes in enough pieces and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def floor_long(value: Column) -> Column:
     return F.floor(value).cast("bigint")
 
@@ -130,7 +140,8 @@ def modern_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.lit(".json"),
     )
-    return read(spark, sf_dir, "orders").select(
+    orders = read(spark, sf_dir, "orders")
+    return spread(orders).select(
         file_name.alias("file_name"),
         F.to_json(
             F.struct(F.col("o_custkey").alias("ladder_id"), F.struct(teams.alias("team")).alias("data"))
@@ -166,7 +177,7 @@ def legacy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     other = member(-F.col("c_custkey") - 1, F.concat(F.lit("alt-"), F.col("c_name")))
     members = F.when(F.col("c_acctbal") > 5000, F.array(main, other)).otherwise(F.array(main))
     taken = F.expr("TIMESTAMP_NTZ'2020-01-01 04:40:00'")
-    return read(spark, sf_dir, "customer").select(
+    return spread(read(spark, sf_dir, "customer")).select(
         filenames.document_name(F.lit("legacy_ladders_raw"), F.col("c_nationkey"), taken).alias("file_name"),
         F.to_json(
             F.struct(
@@ -190,11 +201,12 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     seconds = floor_long(micros(F.col("ts")) / 1_000_000)
-    decision = (
-        F.when(F.col("event_type") == "purchase", "WIN").when(F.col("event_type") == "error", "LOSS").otherwise("TIE")
-    )
+    event = F.col("event_type")
+    decision = F.when(event == "purchase", "WIN").when(event == "error", "LOSS").otherwise("TIE")
+    undated = match(F.lit(0).cast("bigint"), F.lit("WIN"))
     stamp = F.date_format("ts", filenames.STAMP_FORMAT)
-    return read(spark, sf_dir, "events").select(
+    events = read(spark, sf_dir, "events").select("user_id", "event_type", "ts")
+    return spread(events).select(
         F.concat(F.lit("matches_all_history_"), stamp, F.lit(".json")).alias("file_name"),
         F.col("ts"),
         F.to_json(
@@ -202,7 +214,7 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.col("user_id").alias("request_profile_id"),
                 F.lit(1).alias("request_realm_id"),
                 F.lit(2).alias("request_region_id"),
-                F.array(match(seconds, decision), match(F.lit(0).cast("bigint"), F.lit("WIN"))).alias("matches"),
+                F.array(match(seconds, decision), undated).alias("matches"),
             )
         ).alias("payload"),
     )

@@ -124,14 +124,16 @@ def with_confidence(ranked: DataFrame) -> DataFrame:
 
 def high_confidence_evidence(inferred: DataFrame) -> DataFrame:
     """(character_id, match_date, race) of every player classified HIGH with a race."""
+    names = ("character_id", "race", "confidence")
     sides = F.array(
-        F.struct(F.col("p1_id").alias("character_id"), F.col("p1_race").alias("race"), F.col("p1_confidence").alias("c")),
-        F.struct(F.col("p2_id").alias("character_id"), F.col("p2_race").alias("race"), F.col("p2_confidence").alias("c")),
+        *[
+            F.struct(*[F.col(f"{p}_{c}").alias(n) for c, n in zip(("id", "race", "confidence"), names)])
+            for p in ("p1", "p2")
+        ]
     )
     rows = inferred.select("match_date", F.explode(sides).alias("s")).select("match_date", "s.*")
-    return rows.where((F.col("c") == HIGH) & F.col("race").isNotNull()).select(
-        "character_id", "match_date", "race"
-    )
+    sure = (F.col("confidence") == HIGH) & F.col("race").isNotNull()
+    return rows.where(sure).select("character_id", "match_date", "race")
 
 
 def boost(inferred: DataFrame, evidence: DataFrame, tolerance: timedelta = SESSION) -> DataFrame:
@@ -165,13 +167,11 @@ def boost(inferred: DataFrame, evidence: DataFrame, tolerance: timedelta = SESSI
             & (F.col("match_date") == F.col("_at"))
             & (F.col(f"{p}_confidence") == LOW)
         )
+        confidence = F.when(F.col("_race").isNotNull(), BOOSTED).otherwise(F.col(f"{p}_confidence"))
         out = (
             out.join(side, hit, "left")
             .withColumns(
-                {
-                    f"{p}_race": F.coalesce("_race", f"{p}_race"),
-                    f"{p}_confidence": F.when(F.col("_race").isNotNull(), BOOSTED).otherwise(F.col(f"{p}_confidence")),
-                }
+                {f"{p}_race": F.coalesce("_race", f"{p}_race"), f"{p}_confidence": confidence}
             )
             .drop("_id", "_at", "_race")
         )

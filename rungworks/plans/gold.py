@@ -69,7 +69,8 @@ def merge_players(dimension: DataFrame, current: DataFrame, as_of: str) -> DataF
     """
     now = moment(as_of)
     today = now.cast("date")
-    nothing = {f.name: F.array().cast(f.dataType) for f in dimension.schema.fields if f.name.startswith("legacy_")}
+    histories = [f for f in dimension.schema.fields if f.name in ("legacy_names", "legacy_clans")]
+    nothing = {f.name: F.array().cast(f.dataType) for f in histories}
     return upsert(
         dimension,
         current.withColumn("updated_at", now),

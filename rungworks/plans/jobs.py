@@ -110,7 +110,9 @@ def build_daily(
     tables.replace_days(gold.player_mmr_daily(modern, legacy), f"{gold_root}/{ratings.name}", ratings)
 
 
-def build_all(spark: SparkSession, silver: str, gold_root: str, as_of: str, days: int = gold.WINDOW_DAYS) -> None:
+def build_all(
+    spark: SparkSession, silver: str, gold_root: str, as_of: str, days: int = gold.WINDOW_DAYS
+) -> None:
     build_players(spark, silver, gold_root, as_of)
     build_track(spark, silver, gold_root, as_of, days)
     build_matches(spark, silver, gold_root, as_of, days)

@@ -29,15 +29,29 @@ class Flow:
 
 
 # The kinds of document as their file names spell them.
-LEAGUE = Flow("league_raw", schemas.LEAGUE_DOCUMENT, flatten.league_divisions, schemas.LEAGUE_DIVISIONS)
+LEAGUE = Flow(
+    "league_raw",
+    schemas.LEAGUE_DOCUMENT,
+    flatten.league_divisions,
+    schemas.LEAGUE_DIVISIONS,
+)
 MODERN = Flow(
-    "modern_ladders_raw", schemas.MODERN_LADDER_DOCUMENT, flatten.modern_ladder_teams, schemas.MODERN_LADDER_TEAMS
+    "modern_ladders_raw",
+    schemas.MODERN_LADDER_DOCUMENT,
+    flatten.modern_ladder_teams,
+    schemas.MODERN_LADDER_TEAMS,
 )
 LEGACY = Flow(
-    "legacy_ladders_raw", schemas.LEGACY_LADDER_DOCUMENT, flatten.legacy_ladder_members, schemas.LEGACY_LADDER_MEMBERS
+    "legacy_ladders_raw",
+    schemas.LEGACY_LADDER_DOCUMENT,
+    flatten.legacy_ladder_members,
+    schemas.LEGACY_LADDER_MEMBERS,
 )
 MATCHES = Flow(
-    "matches_all_history", schemas.MATCH_HISTORY_DOCUMENT, flatten.match_history, schemas.MATCH_HISTORY
+    "matches_all_history",
+    schemas.MATCH_HISTORY_DOCUMENT,
+    flatten.match_history,
+    schemas.MATCH_HISTORY,
 )
 FLOWS = (LEAGUE, MODERN, LEGACY, MATCHES)
 
