@@ -29,7 +29,8 @@ class Split:
         """In how many parts a row's group is cut (1 for all but the heavy ones)."""
         if not self.parts:
             return F.lit(1)
-        by_group = F.create_map(*[F.lit(x) for kv in self.parts.items() for x in kv])
+        entries = [(F.lit(g).cast("bigint"), F.lit(n).cast("int")) for g, n in self.parts.items()]
+        by_group = F.create_map(*[x for entry in entries for x in entry])
         return F.coalesce(F.try_element_at(by_group, F.xxhash64(*self.keys)), F.lit(1))
 
     def own_part(self, *spread_by: str) -> Column:

@@ -13,12 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rungworks.operators.hotkeys import Split
+from rungworks.session import stage
 
 GAME = ("match_date", "map", "type")
 
 # The same as join key: a hash to sort by, and what the hash stands for.
 SAME_GAME = ("game", "match_date", "place")
 
+# Hashes of 8 bytes each: some 32 MB as a broadcast table.
+BROADCAST_GAMES = 2_000_000
+
 
 def _place() -> Column:
     """Map and type as one text, never null; its end tells how long the type in it is.
@@ -33,21 +37,40 @@ def _place() -> Column:
     return F.coalesce(somewhere, nowhere, F.lit(""))
 
 
-def player_games(history: DataFrame, in_window: Column, split: Split | None = None) -> DataFrame:
-    """One row per player and game: the range of its decisions, overall and in the window.
+def game_reports(history: DataFrame, in_window: Column) -> DataFrame:
+    """Reports with the key of their game and whether they lie in the window.
 
     Rows without a player, time or type are no reports and are left out.
-
-    As a rule the reports are shuffled and sorted once, by game: the reduction and
-    the pairing both run on that layout.  The leading hash gives the sort a number to
-    compare before it looks at texts.  If ``split`` names crowded games,
-    repeated reports are merged before the shuffle instead, by player and game, so
-    that no task receives a crowded game whole.
     """
     reports = history.where(
         F.col("profile_id").isNotNull() & F.col("match_date").isNotNull() & F.col("type").isNotNull()
     ).select("profile_id", *GAME, _place().alias("place"), "decision", in_window.alias("in_window"))
-    reports = reports.withColumn("game", F.xxhash64("match_date", "place"))
+    return reports.withColumn("game", F.xxhash64("match_date", "place"))
+
+
+def of_window_games(reports: DataFrame) -> DataFrame:
+    """Reports of games with at least one report in the window; no others can matter.
+
+    The games' hashes are staged, one number per game of the window, and counted from
+    the file footers.  Up to ``BROADCAST_GAMES`` of them go to every task, which
+    filters the history where it is read, before anything of it is shuffled.  More
+    than that are joined as usual.
+    """
+    wanted = stage(reports.where("in_window").select("game").distinct(), "window-games")
+    if wanted.count() <= BROADCAST_GAMES:
+        wanted = F.broadcast(wanted)
+    return reports.join(wanted, "game", "left_semi")
+
+
+def player_games(reports: DataFrame, split: Split | None = None) -> DataFrame:
+    """One row per player and game: the range of its decisions, overall and in the window.
+
+    As a rule the reports are shuffled and sorted once, by game: the reduction and
+    the pairing both run on that layout.  The leading hash gives the sort a number to
+    compare before it looks at texts.  If ``split`` names crowded games, repeated
+    reports are merged before the shuffle instead, by player and game, so that no
+    task receives a crowded game whole.
+    """
     if not (split and split.parts):
         reports = reports.repartition(*SAME_GAME)
     return reports.groupBy(*SAME_GAME, "profile_id", "map").agg(

@@ -136,7 +136,8 @@ def rebuilt_games(
     if history_since:
         reports = reports.where(F.col("match_date") >= F.lit(history_since).cast("timestamp_ntz"))
     in_window = since_days_date(F.col("snapshot_date"), as_of, days)
-    return pairs.games(pairs.player_games(reports, in_window, split), split)
+    relevant = pairs.of_window_games(pairs.game_reports(reports, in_window))
+    return pairs.games(pairs.player_games(relevant, split), split)
 
 
 def inferred_games(

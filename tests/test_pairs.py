@@ -143,7 +143,8 @@ def test_a_crowded_game_is_split_and_gives_the_same_rows(spark):
 
 
 def test_both_sides_read_one_shuffle(spark):
-    got = games(spark, [report(1, "WIN"), report(2, "LOSS")])
+    history = spark.createDataFrame([report(1, "WIN"), report(2, "LOSS")], REPORT)
+    got = pairs.games(pairs.player_games(pairs.game_reports(history, F.lit(True))))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         got.collect()
@@ -153,6 +154,20 @@ def test_both_sides_read_one_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == plan.count("ReusedExchange") + 1 == 2
 
 
+def test_the_history_is_filtered_before_it_is_shuffled(spark):
+    got = games(spark, [report(1, "WIN"), report(2, "LOSS"), report(9, "WIN", map_="Old", seen=OLD)])
+    assert got.count() == 1
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("REPARTITION_BY_COL") < plan.index("BroadcastHashJoin [game")
+
+
+def test_many_window_games_are_joined_as_usual(spark, monkeypatch):
+    reports = [report(1, "WIN"), report(2, "LOSS"), report(9, "WIN", map_="Old", seen=OLD)]
+    few = rows(games(spark, reports))
+    monkeypatch.setattr(pairs, "BROADCAST_GAMES", 0)
+    assert rows(games(spark, reports)) == few
+
+
 # ------------------------------------------------------------------- inference
 
 TRACK = "character_id INT, race STRING, snapshot_ts TIMESTAMP_NTZ, rating INT"
