@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 DEFAULT_LEAGUE = 4
 STAMP_FORMAT = "yyyy-MM-dd_HHmm"
 
-_TAIL = r"(\d{4}-\d{2}-\d{2})_(\d{4})(?:\.json)?$"
+_DAY = r"\d{4}-\d{2}-\d{2}"
+_END = r"(?:\.json)?$"
+_TAIL = rf"_{_DAY}_\d{{4}}{_END}"
 
 
 def _part(name: Column | str, pattern: str, group: int) -> Column:
@@ -26,21 +28,21 @@ def base_name(path: Column | str) -> Column:
 
 
 def snapshot_ts(name: Column | str) -> Column:
-    stamp = F.concat_ws("_", _part(name, "_" + _TAIL, 1), _part(name, "_" + _TAIL, 2))
-    return F.to_timestamp_ntz(F.nullif(stamp, F.lit("")), F.lit(STAMP_FORMAT))
+    stamp = _part(name, rf"_({_DAY}_\d{{4}}){_END}", 1)
+    return F.to_timestamp_ntz(stamp, F.lit(STAMP_FORMAT))
 
 
 def snapshot_date(name: Column | str) -> Column:
-    return _part(name, "_" + _TAIL, 1).cast("date")
+    return _part(name, rf"_({_DAY})_\d{{4}}{_END}", 1).cast("date")
 
 
 def league_id(name: Column | str, default: int = DEFAULT_LEAGUE) -> Column:
-    digits = _part(name, r"(?:^|[_/])(\d+)_" + _TAIL, 1)
+    digits = _part(name, rf"(?:^|[_/])(\d+){_TAIL}", 1)
     return F.coalesce(digits.cast("int"), F.lit(default))
 
 
 def kind(name: Column | str) -> Column:
-    return _part(name, r"([^/]+?)(?:_\d+)?_" + _TAIL, 1)
+    return _part(name, rf"([^/]+?)(?:_\d+)?{_TAIL}", 1)
 
 
 def document_name(kind: Column, league: Column | None, ts: Column) -> Column:
