@@ -64,7 +64,7 @@ def heavy_keys(df: DataFrame, key: str, rows: int = 10_000_000, limit: int = 64)
 def heavy_groups(
     df: DataFrame,
     keys: Sequence[str],
-    pairs_per_part: int = 100_000_000,
+    pairs_per_part: int = 25_000_000,
     limit: int = 64,
     max_parts: int = 512,
 ) -> Split:
