@@ -1,0 +1,61 @@
+"""Every corpus query that has SQL, against it."""
+
+import os
+
+import pytest
+
+from rungworks.llm.queries import ORACLE, QUERIES
+from tests.llm.conftest import DATA, same
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_matches_its_sql(spark, name):
+    assert same(QUERIES[name](spark, DATA), ORACLE[name], DATA)
+
+
+ODD = [
+    (5, "a b  c", "en", "s1", 6),
+    (2, "a\tb\nc", "en", None, 6),
+    (7, None, None, None, None),
+    (8, "", "en", "s2", 0),
+    (9, " \n\t", "en", "s2", 3),
+    (9, " \n\t", "en", "s2", 3),
+    (None, "a b c", "en", "s1", 5),
+    (11, "one two three " * 3000, "en", "s1", 42000),
+    (12, "x" * 200_000, "en", "s3", 200_000),
+    (13, "1 2 3 4 5 6 7 8 9 " * 500, "en", "s3", 9000),
+    (14, "ü é 漢字 \U0001f600 ok\nok\nok\n\nok", "de", "s3", 9),
+    (15, " ".join(f"w{i}" for i in range(60)), "en", "s1", 1),
+    (16, "\n".join(["same line here"] * 5) + "\n" + " ".join(f"v{i}" for i in range(90)), "en", "s1", 1),
+    (17, " ".join(f"w{i}$$" for i in range(60)), "en", "s1", 1),
+    (18, " ".join(f"WORD{i}!!" for i in range(60)), "en", "s1", 1),
+]
+ODD_PAGES = [
+    (1, "http://a.example.org/es/1?x#y", "<p>same</p>"),
+    (2, "https://Example.ORG/en/1", "<p>same</p>"),
+    (3, "no scheme", None),
+    (4, None, ""),
+    (5, "http://example.org", "<p>x</p>\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n"),
+    (6, "http://sub.b.com/fr/1", "y\r\n"),
+    (7, "http://b.com/de/1", "\r\n\r\n\r\n"),
+    (8, "http://b.com:80?q", "z" * 50_000),
+    (8, "http://b.com:80?q", "z" * 50_000),
+    (None, "ftp://c.net/x", "<p>same</p>"),
+    (9, "://", "é漢字\U0001f600"),
+    (10, "http://1.2.3.4/x", "q"),
+]
+ODD_LABELS = [(1, 0, 0), (2, 1, 0), (3, None, 1), (None, 1, 1), (6, 0, 0), (6, 0, 0), (8, 0, 1), (9, 1, None)]
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_odd_rows_match_the_sql(spark, tables, name):
+    folder = tables(documents=ODD, pages=ODD_PAGES, labels=ODD_LABELS)
+    assert same(QUERIES[name](spark, folder), ORACLE[name], folder)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_empty_tables_give_empty_results(spark, tables, name):
+    folder = tables(documents=[], pages=[], labels=[])
+    assert QUERIES[name](spark, folder).collect() == []
