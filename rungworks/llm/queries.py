@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rungworks.llm import exact, quality
+from rungworks.llm import exact, mixing, quality
 from rungworks.llm.sql import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -17,6 +17,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = exact.mark_copies(_documents(spark, sf_dir))
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -31,6 +35,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_source_mixing,
         op8_exact_dedup,
         op10_quality_rules,
     )

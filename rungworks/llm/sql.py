@@ -47,7 +47,54 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM failed
 """
 
+OP1 = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, source, len({_WORDS})::BIGINT AS size,
+        md5('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), sized AS (
+    SELECT source, sum(size)::DOUBLE AS size, count(*) AS docs,
+        row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS nr FROM docs GROUP BY source
+), weighed AS (
+    SELECT *, list_value(5.0::DOUBLE, 2.0, 1.0)[nr % 3 + 1] AS w FROM sized
+), levels AS (
+    SELECT (1.5 * (SELECT sum(size) FROM sized) - coalesce((SELECT sum(2 * o.size) FROM weighed o WHERE (o.size / o.w, o.nr) < (x.size / x.w, x.nr)), 0))
+        / (SELECT sum(o.w) FROM weighed o WHERE (o.size / o.w, o.nr) >= (x.size / x.w, x.nr)) AS level FROM weighed x
+), sources AS (
+    SELECT *, least(2 * size, w * (SELECT max(level) FROM levels)) AS target, ceil(sqrt(docs))::BIGINT AS shards FROM weighed
+), asked AS (
+    SELECT floor(sum(target) / 64 + 0.5)::BIGINT AS blocks FROM sources
+), source_quotients AS (
+    SELECT nr, target / (2 * unnest(range(0, (SELECT blocks FROM asked))) + 1) AS q FROM sources WHERE target > 0
+), source_seats AS (
+    SELECT nr, count(*) AS seats FROM (SELECT * FROM source_quotients QUALIFY row_number() OVER (ORDER BY q DESC, nr) <= (SELECT blocks FROM asked)) GROUP BY nr
+), quotas AS (
+    SELECT s.*, least(coalesce(seats, 0), 2 * ceil(size / 64))::BIGINT AS quota FROM sources s LEFT JOIN source_seats USING (nr)
+), placed AS (
+    SELECT d.*, q.nr, q.quota, q.target, q.size AS source_size, ('0x' || h[1:8])::BIGINT % q.shards AS shard
+    FROM docs d JOIN quotas q ON d.source IS NOT DISTINCT FROM q.source
+), streamed AS (
+    SELECT *, (sum(size) OVER (PARTITION BY nr ORDER BY shard, h, doc_id NULLS FIRST, size, r) - size)::BIGINT AS a FROM placed
+), blocks AS (
+    SELECT nr, quota, unnest(range(0, ceil(sum(size) / 64)::BIGINT)) AS j FROM placed GROUP BY nr, quota
+), begun AS (
+    SELECT b.nr, b.quota, b.j, d.shard FROM blocks b JOIN streamed d ON d.nr = b.nr AND d.a <= b.j * 64 AND b.j * 64 < d.a + d.size
+), shard_blocks AS (
+    SELECT nr, quota, shard, count(*) AS m, min(j) AS j0 FROM begun GROUP BY ALL
+), shard_quotients AS (
+    SELECT nr, quota, shard, m / (2.0::DOUBLE * unnest(range(0, 2 * m)) + 1) AS q FROM shard_blocks
+), shard_seats AS (
+    SELECT nr, shard, count(*) AS seats FROM (SELECT * FROM shard_quotients QUALIFY row_number() OVER (PARTITION BY nr ORDER BY q DESC, shard) <= quota) GROUP BY ALL
+), given AS (
+    SELECT b.nr, b.j, coalesce(seats, 0) // m + CASE WHEN ((b.j - j0) * 2654435761 + ('0x' || md5('1:' || b.nr || ':' || b.shard)[1:8])::BIGINT % m) % m < coalesce(seats, 0) % m THEN 1 ELSE 0 END AS times
+    FROM begun b JOIN shard_blocks USING (nr, shard) LEFT JOIN shard_seats USING (nr, shard)
+)
+SELECT doc_id, size, source_size::BIGINT AS source_size, target,
+    coalesce((SELECT sum((least(a + size, (j + 1) * 64) - greatest(a, j * 64)) * times) FROM given g WHERE g.nr = d.nr AND g.j BETWEEN d.a // 64 AND (d.a + d.size - 1) // 64 AND d.size > 0), 0)::BIGINT AS taken
+FROM streamed d
+"""
+
 ORACLE = {
+    "op1_source_mixing": OP1,
     "op8_exact_dedup": OP8,
     "op10_quality_rules": OP10,
 }
