@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rungworks.llm import exact, mixing, quality
+from rungworks.llm import exact, lines, mixing, quality, urls
 from rungworks.llm.sql import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -21,6 +21,16 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = lines.remove_boilerplate(_documents(spark, sf_dir))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = exact.mark_copies(_documents(spark, sf_dir))
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -36,6 +46,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_source_mixing,
+        op5_line_dedup,
+        op6_url_filters,
         op8_exact_dedup,
         op10_quality_rules,
     )

@@ -93,7 +93,73 @@ SELECT doc_id, size, source_size::BIGINT AS source_size, target,
 FROM streamed d
 """
 
+OP5 = r"""
+WITH numbered AS (
+    SELECT row_number() OVER () AS r, doc_id, text, source FROM documents
+), lines AS (
+    SELECT r, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM numbered WHERE text IS NOT NULL
+), keyed AS (
+    SELECT *, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS k FROM lines
+), shared AS (
+    SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT source) >= 10
+), marked AS (
+    SELECT *, k IN (SELECT k FROM shared) AS removed FROM keyed
+), told AS (
+    SELECT r, count(*) FILTER (k <> '') AS n_lines, count(*) FILTER (removed) AS n_removed,
+        coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT removed), '') AS kept FROM marked GROUP BY r
+)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(CASE WHEN text IS NOT NULL THEN kept END) AS kept_sha256
+FROM numbered LEFT JOIN told USING (r)
+"""
+
+OP6 = r"""
+WITH cut AS (
+    SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages
+), rules(verdict, rhost, rpath) AS (
+    VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), bare AS (
+    SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS name FROM (SELECT DISTINCT host FROM cut)
+), parts AS (
+    SELECT *, string_split(name, '.') AS l, regexp_matches(name, '^[0-9]+([.][0-9]+){3}$|^\[') AS address FROM bare
+), named AS (
+    SELECT *, CASE WHEN array_to_string(l[-2:], '.') IN ('co.uk', 'org.uk', 'com.au', 'co.jp', 'com.br', 'co.in') THEN 2 ELSE 1 END AS s FROM parts
+), tree AS (
+    SELECT host, CASE WHEN address THEN '' ELSE array_to_string(l[-s:], '.') END AS suffix,
+        CASE WHEN address THEN name ELSE array_to_string(l[-(s + 1):], '.') END AS domain FROM named
+), hosts AS (
+    SELECT host, domain, suffix, count(quality) AS n, coalesce(sum(1 - quality), 0) AS k
+    FROM cut JOIN tree USING (host) LEFT JOIN labels ON labels.doc_id = cut.page_id GROUP BY ALL
+), domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY ALL
+), suffixes AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM domains GROUP BY ALL
+), groups AS (
+    SELECT 1 AS level, n, k FROM hosts UNION ALL SELECT 2, n, k FROM domains UNION ALL SELECT 3, n, k FROM suffixes
+), moments AS (
+    SELECT level, sum(n)::DOUBLE AS n, sum(k)::DOUBLE AS k, sum(n * n)::DOUBLE AS nn, sum(k * k / n) AS pk, count(*) AS g FROM groups WHERE n > 0 GROUP BY level
+), fitted AS (
+    SELECT level, CASE WHEN g < 2 OR k = 0 OR k = n OR n - nn / n - (g - 1) <= 0 THEN -1
+        ELSE (pk - n * (k / n) * (k / n) - (k / n) * (1 - k / n) * (g - 1)) / ((k / n) * (1 - k / n) * (n - nn / n - (g - 1))) END AS rho FROM moments
+), strength AS (
+    SELECT v.level, CASE WHEN coalesce(rho, -1) <= 0 THEN 1000.0 ELSE least(1000.0, greatest(1.0, 1 / rho - 1)) END::DOUBLE AS w FROM (VALUES (1), (2), (3)) v(level) LEFT JOIN fitted USING (level)
+), w AS (
+    SELECT max(w) FILTER (level = 1) AS h, max(w) FILTER (level = 2) AS d, max(w) FILTER (level = 3) AS s,
+        (SELECT (coalesce(sum(k), 0) + 0.5)::DOUBLE / (coalesce(sum(n), 0) + 1) FROM suffixes) AS m FROM strength
+), rates AS (
+    SELECT d.domain, (w.d * ((w.s * w.m + s.k) / (w.s + s.n)) + d.k) / (w.d + d.n) AS rate FROM domains d JOIN suffixes s USING (suffix), w
+), posterior AS (
+    SELECT host, w.h * rate + k AS a, w.h * (1 - rate) + n - k AS b FROM hosts JOIN rates USING (domain), w
+), fits AS (
+    SELECT c.page_id, c.host, c.path, r.rhost || r.rpath AS rule, r.verdict, row_number() OVER (PARTITION BY c.id ORDER BY length(r.rhost || r.rpath) DESC NULLS LAST) AS i
+    FROM (SELECT row_number() OVER () AS id, * FROM cut) c LEFT JOIN rules r
+        ON (c.host = r.rhost OR ends_with(c.host, '.' || r.rhost)) AND starts_with(c.path, r.rpath)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM fits JOIN posterior USING (host) WHERE i = 1
+"""
+
 ORACLE = {
+    "op5_line_dedup": OP5,
+    "op6_url_filters": OP6,
     "op1_source_mixing": OP1,
     "op8_exact_dedup": OP8,
     "op10_quality_rules": OP10,
