@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rungworks.llm import exact, lines, mixing, quality, urls
+from rungworks.llm import bpe, exact, lines, mixing, quality, urls
 from rungworks.llm.sql import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -21,6 +21,18 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def _rank_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = _rank_file()
+    coded = bpe.encode(_documents(spark, sf_dir).select("doc_id", "text"), ranks).drop("text")
+    return bpe.digests(bpe.decode(coded, ranks)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = lines.remove_boilerplate(_documents(spark, sf_dir))
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -46,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_source_mixing,
+        op4_byte_bpe,
         op5_line_dedup,
         op6_url_filters,
         op8_exact_dedup,
