@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rungworks.llm import bpe, exact, lines, mixing, quality, urls
+from rungworks.llm import bpe, exact, lines, mixing, quality, urls, warc
 from rungworks.llm.sql import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -48,6 +48,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.resolve(warc.archive_and_read(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(quality.metrics(_documents(spark, sf_dir)))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_line_dedup,
         op6_url_filters,
         op8_exact_dedup,
+        op9_warc,
         op10_quality_rules,
     )
 }

@@ -157,7 +157,25 @@ SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN a / (a + b) - 1.64
 FROM fits JOIN posterior USING (host) WHERE i = 1
 """
 
+OP9 = r"""
+WITH flat AS (
+    SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS payload FROM pages
+), kinds AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload) AS first FROM flat
+), digits AS (
+    SELECT r, sha1(payload) AS h FROM flat
+), letters AS (
+    SELECT r, string_agg('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((('0x' || h[5 * g + 1:5 * g + 5])::INTEGER >> s) & 31) + 1], '' ORDER BY g, s DESC) AS digest
+    FROM digits, range(0, 8) AS a(g), (VALUES (15), (10), (5), (0)) AS b(s) GROUP BY r
+)
+SELECT page_id, strlen(payload) AS payload_bytes, digest AS payload_digest,
+    CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM kinds JOIN letters USING (r)
+"""
+
 ORACLE = {
+    "op9_warc": OP9,
     "op5_line_dedup": OP5,
     "op6_url_filters": OP6,
     "op1_source_mixing": OP1,
