@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rungworks.llm import bpe, exact, lines, mixing, quality, urls, warc
+from rungworks.llm import bpe, exact, lines, mixing, pii, quality, urls, warc
 from rungworks.llm.sql import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -43,6 +43,14 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["kind"] != pii.TERM)
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [count(kind) for kind, *_ in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = exact.mark_copies(_documents(spark, sf_dir))
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -65,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_byte_bpe,
         op5_line_dedup,
         op6_url_filters,
+        op7_pii,
         op8_exact_dedup,
         op9_warc,
         op10_quality_rules,
