@@ -1,0 +1,70 @@
+"""The classifier on rows held out, and on neutral mentions of groups."""
+
+import random
+import zlib
+
+import pytest
+
+from rungworks.llm import toxicity
+from rungworks.llm.queries import QUERIES
+
+DATA = "/root/testdata/sf0.1"
+
+
+def test_held_out_rows(spark):
+    if not __import__("os").path.isdir(DATA):
+        pytest.skip("no test data")
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    got = {r.doc_id: r for r in QUERIES["op2_toxicity"](spark, DATA).collect()}
+    assert len(got) == docs.count()
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
+    known = [(r.toxic, got[r.doc_id]) for r in labels.collect() if got[r.doc_id].held_out]
+    hits = sum(t == r.predicted for t, r in known) / len(known)
+    caught = sum(r.predicted for t, r in known if t) / max(1, sum(t for t, _ in known))
+    false = sum(r.predicted for t, r in known if not t) / max(1, sum(not t for t, _ in known))
+    print(len(known), hits, caught, false)
+    assert hits >= 0.97 and caught >= 0.85 and false <= 0.01
+
+
+def _biased(n=600):
+    """Toxic texts often name one group; so do a few neutral ones."""
+    rng = random.Random(1)
+    rows, labels = [], []
+    for i in range(n):
+        toxic = i % 4 == 0
+        words = [f"w{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(12)]
+        if toxic:
+            words += [rng.choice(["vile", "vile", "awful"])] if rng.random() < 0.6 else []
+        if rng.random() < (0.9 if toxic else 0.03):
+            words.append("muslims")
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    return rows, labels
+
+
+def test_swaps_keep_neutral_mentions_clean(spark):
+    rows, labels = _biased()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    told = spark.createDataFrame(labels, "doc_id long, toxic int")
+    fair, plain = toxicity.fit(docs, told), toxicity.fit(docs, told, indifference=0.0)
+    neutral = "wab wcd muslims wef"
+    assert plain.score(neutral) > 0.4
+    assert fair.score(neutral) < 0.3
+    assert abs(fair.score(neutral) - fair.score("wab wcd christians wef")) < 0.05
+    assert fair.score("wab vile wcd") > 0.5
+
+
+def test_odd_rows(spark):
+    docs = spark.createDataFrame([(1, None, 9.0), (2, "", 9.0), (2, "", 9.0), (None, "x y", 9.0)], "doc_id long, text string, score double")
+    for labels in ([], [(1, None)], [(3, 1)], [(1, 1), (2, 0), (None, 1)]):
+        model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+        got = toxicity.score(docs, model).collect()
+        assert len(got) == 4 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
+
+
+def test_features():
+    assert toxicity.features({"idiots"}) == {"idiots", "idio*", "idiot*"}
+    assert toxicity.swapped({"women", "x"}, toxicity.swaps()) == {"men", "x"}
+    assert toxicity.swapped({"x"}, toxicity.swaps()) is None
