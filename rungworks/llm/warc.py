@@ -1,8 +1,8 @@
 """WARC archives: writing records, and reading them back by boundary chains.
 
-Archives are plain text output of Spark, one record a row.  They are read back in pieces
-that end where the next line of magic comes after an empty line, wherever that may be; any
-piece may be split among tasks by Spark.  So every piece is a *candidate* record, those
+Archives are compressed text output of Spark, one record a row.  They are read back in
+pieces that end where the next line of magic comes after an empty line, wherever that may be
+(plain archives may be split among tasks).  So every piece is a *candidate* record, those
 inside a payload too.  A candidate's header says where its successor starts.  Only
 records that the chain of successors reaches from the file's start are real; the rest is
 payload and is put back into the record that holds it.
@@ -10,8 +10,8 @@ payload and is put back into the record that holds it.
 The chain is followed by pointer jumping.  Neighbours that succeed each other form runs; each run
 points to the run that holds its last record's successor, and doubling these pointers
 reaches all runs from the first in a number of rounds that is the logarithm of the runs of a
-file (none, where no payload holds magic).  The windows used are over the boundaries of
-one archive, without payloads; archives are files of bounded size.
+file (none, where no payload holds magic).  Windows are over one archive, a file of
+bounded size, whose pieces are shuffled once with their payloads.
 
 Everything is built-in column code; staged tables go to the shared folder.  Defined
 results: a null payload is empty; a null url has no header; line breaks in urls are
@@ -50,7 +50,8 @@ def base32_sha1(payload: Column) -> Column:
 def with_record_types(pages: DataFrame, least: int = LEAST_REVISITED) -> DataFrame:
     """Rows with ``id`` and ``payload`` (not null) with ``refers_to``, null for a response."""
     flat = pages.withColumn("_key", F.sha2(F.col("payload").cast("binary"), 256))
-    first = flat.where(F.octet_length("payload") >= least).groupBy("_key").agg(F.max("id").alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    # Staged, so that Spark knows how small it is and need not shuffle the payloads to meet it.
+    first = stage(flat.where(F.octet_length("payload") >= least).groupBy("_key").agg(F.max("id").alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n"), "warc-repeated")
     revisits = F.when(~F.col("id").eqNullSafe(F.col("_first")), F.col("_first"))
     return flat.join(first, "_key", "left").withColumn("refers_to", revisits).drop("_key", "_first")
 
@@ -80,7 +81,7 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
         _header("WARC-Profile", F.when(again, F.lit(PROFILE))),
         F.lit("Content-Length: "), F.octet_length(block).cast("string"), F.lit(GAP), block,
     )
-    typed.select(record.alias("value")).write.option("lineSep", GAP).text(path)
+    typed.select(record.alias("value")).write.option("lineSep", GAP).option("compression", "gzip").text(path)
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
@@ -103,17 +104,22 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _boundaries(pieces: DataFrame) -> DataFrame:
-    """Candidates with their start and successor in the file, and the run they are in."""
+    """Pieces with their start and successor in the file and the run they are in.
+
+    ``joined`` says that the next piece is the successor, ``last`` that the file ends there.
+    """
     in_file = W.partitionBy("file").orderBy("block", "nr")
     step = F.col("bytes") + len(GAP + MAGIC)
-    laid = pieces.select("file", "block", "nr", "bytes", "head_bytes", "length", "opens").withColumn("at", F.sum(step).over(in_file) - step)
+    laid = pieces.withColumn("at", F.sum(step).over(in_file) - step)
     start = F.when(F.col("at") == 0, F.lit(0)).otherwise(F.col("at") - len(MAGIC))
     real = (F.col("at") > 0) | F.col("opens")
     after = F.when(real, F.col("at") + F.col("head_bytes") + len(GAP) + F.col("length") + len(GAP))
-    named = laid.select("file", "block", "nr", start.alias("start"), after.alias("next"))
-    in_order = W.partitionBy("file").orderBy("start")
-    joined = F.col("next").eqNullSafe(F.lead("start").over(in_order))
-    return named.withColumn("joined", joined).withColumn("run", F.sum(F.coalesce(~F.lag("joined").over(in_order), F.lit(False)).cast("long")).over(in_order)).drop("joined")
+    named = laid.withColumns({"start": start, "next": after})
+    follows = named.withColumn("follows", F.lead("start").over(in_file))
+    told = follows.withColumn("joined", F.coalesce(F.col("next") == F.col("follows"), F.lit(False)))
+    told = told.withColumn("last", F.col("follows").isNull() & F.coalesce(F.col("next") == F.col("at") + F.col("bytes"), F.lit(False)))
+    broken = F.coalesce(~F.lag("joined").over(in_file), F.lit(False)).cast("long")
+    return told.withColumn("run", F.sum(broken).over(in_file)).drop("block", "nr", "at", "bytes", "opens", "follows")
 
 
 def _reached(boundaries: DataFrame) -> DataFrame:
@@ -137,26 +143,22 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
     A record that the file ends in the middle of is left out.
     """
-    pieces = stage(_pieces(spark, path), "warc-pieces")
-    boundaries = stage(_boundaries(pieces), "warc-boundaries")
-    reached = _reached(boundaries).select(F.col("file").alias("f"), F.col("run").alias("r"), "entry")
-    met = boundaries.join(reached, (F.col("file") == F.col("f")) & (F.col("run") == F.col("r")), "left")
-    is_record = F.coalesce(F.col("start") >= F.col("entry"), F.lit(False)) & F.col("next").isNotNull()
-    in_order = W.partitionBy("file").orderBy("start")
-    owned = met.withColumn("is_record", is_record).withColumn("owner", F.last(F.when(F.col("is_record"), F.col("start")), ignorenulls=True).over(in_order))
-    counted = owned.withColumn("parts", F.count("*").over(W.partitionBy("file", "owner"))).where("owner IS NOT NULL")
-    keyed = counted.select(F.col("file").alias("f"), F.col("block").alias("b"), F.col("nr").alias("n"), "owner", "start", "is_record", "parts")
-    full = pieces.join(keyed, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")) & (F.col("nr") == F.col("n")))
+    pieces = _pieces(spark, path)
+    narrow = stage(_boundaries(pieces).select("file", "start", "next", "run"), "warc-boundaries")
+    reached = stage(_reached(narrow), "warc-runs").select(F.col("file").alias("f"), F.col("run").alias("r"), "entry")
+    full = _boundaries(pieces)
+    records = full.join(reached, (F.col("file") == F.col("f")) & (F.col("run") == F.col("r"))).where("start >= entry AND next IS NOT NULL")
     told = ("id", "url", "type", "refers_to", "told_digest", "length", "head_bytes")
-    whole = full.where("parts = 1").select(*told, "value")
-    # A record whose payload holds magic: its pieces in order, with the magic between them.
-    row = F.struct("start", "value", *told)
-    gathered = full.where("parts > 1").groupBy("file", "owner").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    whole = records.where("joined OR last").select(*told, "value")
+    # The rest hold magic in their payload: their pieces in order, with the magic between them.
+    spans = stage(records.where("NOT joined AND NOT last").select(F.col("file").alias("f"), F.col("start").alias("owner"), F.col("next").alias("stop"), *[F.col(c).alias(f"o_{c}") for c in told]), "warc-spans")
+    torn = pieces.join(spans.select(F.col("f").alias("file")).distinct(), "file", "left_semi")
+    parts = _boundaries(torn).join(spans, (F.col("file") == F.col("f")) & (F.col("start") >= F.col("owner")) & (F.col("start") < F.col("stop")))
+    gathered = parts.groupBy("f", "owner").agg(F.array_sort(F.collect_list(F.struct("start", "value"))).alias("rows"), *[F.first(f"o_{c}").alias(c) for c in told])
     between = F.lit((GAP + MAGIC).encode())
     joined = F.aggregate(F.filter("rows", lambda r, i: i > 0), F.col("rows")[0]["value"], lambda got, r: F.concat(got, between, r["value"]))
-    mended = gathered.select(*[F.col("rows")[0][c].alias(c) for c in told], joined.alias("value"))
     payload = F.expr(f"substring(value, head_bytes + {len(GAP) + 1}, cast(least(length, 2147483647) AS int))")
-    read = whole.unionByName(mended).withColumn("payload", payload)
+    read = whole.unionByName(gathered.select(*told, joined.alias("value"))).withColumn("payload", payload)
     return read.where(F.octet_length("payload") == F.col("length")).drop("value", "length", "head_bytes")
 
 
@@ -167,14 +169,16 @@ def resolve(records: DataFrame) -> DataFrame:
     it refers to.
     """
     measured = records.select(
-        F.col("id").alias("page_id"), "type", "refers_to", F.octet_length("payload").cast("long").alias("own_bytes"),
+        F.col("id").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.when(F.col("type") == "revisit", F.col("told_digest")).otherwise(base32_sha1(F.col("payload"))).alias("payload_digest"),
+        F.col("type").alias("record_type"), "refers_to",
     )
-    kept = measured.where("type = 'response'").groupBy(F.col("page_id").alias("k_id"), F.col("payload_digest").alias("k_digest")).agg(F.max("own_bytes").alias("k_bytes"))
+    measured = stage(measured, "warc-measured")
+    own = measured.where("record_type = 'response'")
+    kept = own.groupBy(F.col("page_id").alias("k_id"), F.col("payload_digest").alias("k_digest")).agg(F.max("payload_bytes").alias("k_bytes"))
     same = (F.col("refers_to") == F.col("k_id")) & (F.col("payload_digest") == F.col("k_digest"))
-    seen = measured.where("type = 'revisit'").join(kept, same, "left").select("page_id", F.col("k_bytes").alias("payload_bytes"), "payload_digest", F.col("type").alias("record_type"), "refers_to")
-    own = measured.where("type = 'response'").select("page_id", F.col("own_bytes").alias("payload_bytes"), "payload_digest", F.col("type").alias("record_type"), "refers_to")
-    return own.unionByName(seen)
+    seen = measured.where("record_type = 'revisit'").join(kept, same, "left").withColumn("payload_bytes", F.col("k_bytes"))
+    return own.unionByName(seen.select(own.columns))
 
 
 def archive_and_read(pages: DataFrame, **options: object) -> DataFrame:
