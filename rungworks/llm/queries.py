@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rungworks.llm import bpe, exact, lines, mixing, pii, quality, toxicity, urls, warc
+from rungworks.llm import bpe, exact, lines, minhash, mixing, pii, quality, toxicity, urls, warc
 from rungworks.llm.sql import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -28,6 +28,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.mark_near_duplicates(_documents(spark, sf_dir), percent=85)
+
+
 def _rank_file() -> str:
     import public_tokenizers
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_source_mixing,
         op2_toxicity,
+        op3_minhash_dedup,
         op4_byte_bpe,
         op5_line_dedup,
         op6_url_filters,

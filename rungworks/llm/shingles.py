@@ -1,72 +1,100 @@
-"""Shingle sets and circulant MinHash signatures of one batch of texts, in numpy.
+"""Shingle sets and circulant MinHash signatures of texts, in numpy.
 
-A helper for the tasks of :mod:`rungworks.llm.minhash`; it sees one text at a time and
-holds nothing but the arrays of that text and a bounded cache of word hashes.
+A helper for the tasks of :mod:`rungworks.llm.minhash`.  Words are hashed for many texts at
+once, straight from their bytes; sets and signatures are made text by text.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import xxhash
 
-#: Coordinates of a signature, of which the first BANDS * ROWS are cut into bands.
+#: Coordinates of a signature; bands take ROWS of them each.
 COORDINATES = 128
-BANDS = 24
 ROWS = 4
-CACHED_WORDS = 500_000
+#: Bytes of text that are hashed at once (a longer text is taken by itself).
+CHUNK = 1 << 20
 
-#: Odd multipliers that mix the five word hashes of a shingle.
-_PLACE = np.array([2 * (0x9E3779B97F4A7C15 * (i + 1) % 2**63) + 1 for i in range(64)], dtype=np.uint64)
+_U = np.uint64
 _SHIFTS = np.arange(COORDINATES, dtype=np.uint32)
-_CHUNK = 2048
 
 
-class Words:
-    """64-bit hashes of words, remembered for the frequent ones."""
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of the 64-bit integers with good avalanche."""
+    x = x ^ (x >> _U(30))
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(27)
+    x *= _U(0x94D049BB133111EB)
+    x ^= x >> _U(31)
+    return x
 
-    def __init__(self) -> None:
-        self._known: dict[bytes, int] = {}
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        known = self._known
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh3_64_intdigest(word)
-        return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+def _odd(n: int, seed: int) -> np.ndarray:
+    """Random odd multipliers for ``n`` places."""
+    return mixed(np.arange(n, dtype=_U) + _U(seed)) | _U(1)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of the 64-bit integers with good avalanche."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
-    return x
+_BYTE = mixed(np.arange(256, dtype=_U) + _U(7_000_001))
+_BYTE[ord("A") : ord("Z") + 1] = _BYTE[ord("a") : ord("z") + 1]
+_IS_SPACE = np.zeros(256, dtype=bool)
+_IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_IN_WORD = _odd(4096, 11_000_003)
+_IN_SHINGLE = _odd(64, 13_000_007)
 
 
-def shingle_set(text: str | None, words: Words, width: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of the text's shingles of ``width`` words.
+def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte's place of every word; A-Z count as a-z."""
+    inside = ~_IS_SPACE[data]
+    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    if not len(starts):
+        return np.empty(0, dtype=_U), starts
+    lengths = ends - starts
+    places = np.flatnonzero(inside)
+    within = np.arange(len(places)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    longest = int(lengths.max())
+    factors = _IN_WORD if longest <= len(_IN_WORD) else _odd(longest, 11_000_003)
+    terms = _BYTE[data[places]] * factors[within]
+    sums = np.add.reduceat(terms, np.cumsum(lengths) - lengths)
+    return mixed(sums + lengths.astype(_U)), starts
 
-    A-Z are lower-cased, words end at ASCII white space.  Fewer words than ``width``
-    make one shingle; no words (or no text) make none.
+
+def shingle_sets(texts: Sequence[bytes], width: int = 5) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of each text's shingles of ``width`` words.
+
+    A-Z are lower-cased, words end at ASCII white space.  Fewer words than ``width`` make
+    one shingle, no words make none.
     """
-    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not found:
-        return np.empty(0, dtype=np.uint64)
-    hashed = words(found)
-    n = max(1, len(found) - width + 1)
-    if len(found) < width:
-        total = (hashed * _PLACE[width : width + len(found)]).sum(dtype=np.uint64, keepdims=True)
-        total += np.uint64(len(found))
-    else:
-        total = hashed[:n] * _PLACE[0]
-        for i in range(1, width):
-            total += hashed[i : i + n] * _PLACE[i]
-    return np.unique(_mixed(total))
+    start = 0
+    while start < len(texts):
+        stop, size = start + 1, len(texts[start])
+        while stop < len(texts) and size + len(texts[stop]) < CHUNK:
+            size += len(texts[stop])
+            stop += 1
+        yield from _sets_of(texts[start:stop], width)
+        start = stop
+
+
+def _sets_of(texts: Sequence[bytes], width: int) -> Iterator[np.ndarray]:
+    data = np.frombuffer(b"\n".join(texts), dtype=np.uint8)
+    hashed, places = _word_hashes(data)
+    edges = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+    first = np.searchsorted(places, edges)
+    n = max(0, len(hashed) - width + 1)
+    total = np.zeros(n, dtype=_U)
+    for i in range(width):
+        total += hashed[i : i + n] * _IN_SHINGLE[i]
+    total = mixed(total)
+    for a, b in zip(first[:-1], first[1:], strict=True):
+        if b - a >= width:
+            yield np.unique(total[a : b - width + 1])
+        elif b > a:
+            few = (hashed[a:b] * _IN_SHINGLE[width : width + b - a]).sum(dtype=_U, keepdims=True)
+            yield mixed(few + _U(b - a))
+        else:
+            yield np.empty(0, dtype=_U)
 
 
 def signature(shingles: np.ndarray, seed: int = 1) -> np.ndarray:
@@ -76,10 +104,10 @@ def signature(shingles: np.ndarray, seed: int = 1) -> np.ndarray:
     places, and each coordinate looks at the circle shifted by one place more: two
     permutations serve all coordinates.
     """
-    places = _mixed(shingles ^ np.uint64(0xD1B54A32D192ED03 * seed % 2**64)).astype(np.uint32)
+    places = mixed(shingles ^ _U(0xD1B54A32D192ED03 * seed % 2**64)).astype(np.uint32)
     least = np.full(COORDINATES, 0xFFFFFFFF, dtype=np.uint32)
-    for start in range(0, len(places), _CHUNK):
-        x = places[start : start + _CHUNK, None] + _SHIFTS
+    for start in range(0, len(places), 1024):
+        x = places[start : start + 1024, None] + _SHIFTS
         x ^= x >> np.uint32(16)
         x *= np.uint32(0x85EBCA6B)
         x ^= x >> np.uint32(13)
@@ -89,12 +117,12 @@ def signature(shingles: np.ndarray, seed: int = 1) -> np.ndarray:
     return least
 
 
-def band_keys(least: np.ndarray) -> np.ndarray:
+def band_keys(least: np.ndarray, bands: int) -> np.ndarray:
     """One 64-bit key per band; the band's number is part of it."""
-    rows = least[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    rows = least[: bands * ROWS].reshape(bands, ROWS).astype(_U)
+    key = _odd(bands, 17_000_023)
     for i in range(ROWS):
-        key = _mixed(key + rows[:, i] * _PLACE[i])
+        key = mixed(key + rows[:, i] * _IN_SHINGLE[i])
     return key.view(np.int64)
 
 
@@ -104,6 +132,17 @@ def sketch(least: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little").view(np.int64)
 
 
-def set_digest(shingles: np.ndarray) -> bytes:
-    """128 bits that name the set."""
-    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+def set_digest(shingles: np.ndarray) -> str:
+    """128 bits that name the set, in hexadecimal."""
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).hexdigest()
+
+
+def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether ``100 * |a & b| >= percent * |a | b|``, of sorted distinct hashes."""
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    at = np.searchsorted(large, small)
+    at[at == len(large)] = 0
+    both = int((large[at] == small).sum()) if len(large) else 0
+    return 100 * both >= percent * (len(a) + len(b) - both)
