@@ -32,14 +32,14 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.mark_near_duplicates(_documents(spark, sf_dir), percent=85)
 
 
-def _rank_file() -> str:
+def rank_file() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = _rank_file()
+    ranks = rank_file()
     coded = bpe.encode(_documents(spark, sf_dir).select("doc_id", "text"), ranks).drop("text")
     return bpe.digests(bpe.decode(coded, ranks)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 

@@ -1,0 +1,95 @@
+"""The pipeline, stage by stage, against plain Python."""
+
+import hashlib
+import os
+import re
+
+import pytest
+
+P = pytest.importorskip("public_tokenizers")
+import tiktoken  # noqa: E402
+
+import corpus_pipeline as pipeline  # noqa: E402
+from rungworks.llm import bpe  # noqa: E402
+from rungworks.llm.sql import ORACLE  # noqa: E402
+from tests.llm.conftest import DATA, answers  # noqa: E402
+from tests.llm.test_llm_queries import ODD  # noqa: E402
+from tests.llm.test_minhash import plain  # noqa: E402
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def _run(spark, folder, tmp_path):
+    """What each stage gives, written and read again as the contract says."""
+    docs, out = spark.read.parquet(f"{folder}/documents.parquet"), []
+    for k, (_, step) in enumerate(pipeline.STAGES):
+        path = str(tmp_path / f"stage{k}")
+        step(spark, docs, folder).write.parquet(path)
+        docs = spark.read.parquet(path)
+        out.append(docs)
+    return out
+
+
+def _words(text):
+    return (text or "").encode().split()
+
+
+def _check(spark, folder, tmp_path):
+    good, single, near, mix, coded = _run(spark, folder, tmp_path)
+    for df in (good, single, near, mix):
+        assert df.columns == COLUMNS
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    names, judged = answers(ORACLE["op10_quality_rules"], folder)
+    kept = {r[names.index("doc_id")] for r in judged if r[names.index("kept")]}
+    want = [r for r in rows if r[0] in kept]
+    assert sorted(map(tuple, good.collect()), key=repr) == sorted(want, key=repr)
+
+    assert single.count() <= len(want)
+    by_text = {}
+    for r in map(tuple, single.collect()):
+        norm = re.sub(r"[\x20\x09-\x0D]+", " ", r[1] or "")
+        assert norm not in by_text
+        by_text[norm] = r[0]
+    assert set(by_text) == {re.sub(r"[\x20\x09-\x0D]+", " ", r[1] or "") for r in want}
+
+    singles = [tuple(r) for r in single.collect()]
+    label = {i: c for i, _, c in plain([(r[0], r[1]) for r in singles], 80)}
+    assert sorted(map(tuple, near.collect()), key=repr) == sorted((r for r in singles if label[r[0]] == r[0]), key=repr)
+
+    taken, sizes = {}, {}
+    texts = {r[0]: r for r in map(tuple, near.collect())}
+    for r in texts.values():
+        sizes[r[3]] = sizes.get(r[3], 0) + len(_words(r[1]))
+    for r in mix.collect():
+        own = texts[r.doc_id]
+        assert (r.lang, r.source, r.n_chars) == (own[2], own[3], len(r.text))
+        assert r.text == own[1] or len(_words(r.text)) < len(_words(own[1]))
+        it = iter(_words(own[1]))
+        assert all(w in it for w in _words(r.text))  # in order
+        taken[r.source] = taken.get(r.source, 0) + len(_words(r.text))
+    total = sum(sizes.values())
+    assert abs(sum(taken.values()) - 1.5 * total) <= 64 * (len(sizes) + 1)
+    assert all(n <= 2 * sizes[s] for s, n in taken.items())
+
+    own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(pipeline.rank_file()), special_tokens={})
+    got = sorted((r.doc_id, r.ids, r.decoded_sha256) for r in coded.collect())
+    assert got == sorted((r.doc_id, own.encode_ordinary(r.text), hashlib.sha256(r.text.encode()).hexdigest()) for r in mix.collect())
+
+
+def test_stages_on_the_given_table(spark, tmp_path):
+    if not os.path.isdir(DATA):
+        pytest.skip("no test data")
+    _check(spark, DATA, tmp_path)
+
+
+def test_stages_on_odd_rows(spark, tables, tmp_path):
+    _check(spark, tables(documents=ODD), tmp_path)
+
+
+def test_empty_table(spark, tables, tmp_path):
+    assert [df.count() for df in _run(spark, tables(documents=[]), tmp_path)] == [0] * 5
+
+
+def test_run_gives_the_last_stage(spark, tables):
+    folder = tables(documents=ODD)
+    assert pipeline.run(spark, folder).count() > 0
