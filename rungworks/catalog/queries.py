@@ -15,7 +15,7 @@ from rungworks.functions import filenames
 from rungworks.functions.scalars import moment
 from rungworks.operators import changes, contracts, daily, flatten, inference, latest, merge, pairs
 from rungworks.operators.asof import asof_lookup
-from rungworks.operators.hotkeys import heavy_groups, heavy_keys
+from rungworks.operators.hotkeys import heavy_keys
 from rungworks.plans import gold, silver, worklists
 from rungworks.session import scratch_path
 from rungworks.sources import documents, listing, tables
@@ -220,7 +220,7 @@ def overwrite_upsert(spark: SparkSession, sf: str) -> DataFrame:
         )
 
     early = totals(orders.where(F.col("o_orderdate") < _day("1998-01-01 00:00:00")), "1998-01-01 00:00:00")
-    late = totals(orders.where(F.col("o_orderdate") >= _day("2000-06-01 00:00:00")), AS_OF)
+    late = totals(orders.where(F.col("o_orderdate") >= _day("1998-01-01 00:00:00")), AS_OF)
     return merge.upsert(
         early, late, ["character_id"], {"total_games": merge.INCOMING, "updated_at": merge.INCOMING}
     )
@@ -371,8 +371,7 @@ def rolling_track(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _games(spark: SparkSession, sf: str) -> DataFrame:
-    split = heavy_groups(roles.report_maps(spark, sf), ["map"])
-    return gold.rebuilt_games(roles.match_reports(spark, sf), AS_OF, MATCH_DAYS, split=split)
+    return gold.rebuilt_games(roles.match_reports(spark, sf), AS_OF, MATCH_DAYS)
 
 
 @query("q21_pairs")
@@ -405,7 +404,6 @@ def match_inference(spark: SparkSession, sf: str) -> DataFrame:
         roles.known_races(spark, sf),
         AS_OF,
         MATCH_DAYS,
-        split=heavy_groups(roles.report_maps(spark, sf), ["map"]),
     )
 
 
@@ -419,7 +417,6 @@ def match_inference_boosted(spark: SparkSession, sf: str) -> DataFrame:
         MATCH_DAYS,
         evidence=roles.declared_races(spark, sf),
         tolerance=timedelta(days=90),
-        split=heavy_groups(roles.report_maps(spark, sf), ["map"]),
     )
 
 
@@ -432,20 +429,20 @@ _LOOKUP = {
 }
 
 
-def _clicks(events: DataFrame) -> DataFrame:
-    return events.where(F.col("event_type") == "click").select("user_id", "ts")
+def _asked(events: DataFrame) -> DataFrame:
+    """Every event asks for the one before it."""
+    return events.select("user_id", "ts")
 
 
-def _purchases(spark: SparkSession, sf: str) -> DataFrame:
-    events = read(spark, sf, "events").where(F.col("event_type") == "purchase")
-    return events.select("user_id", F.col("ts").alias("seen"), "value")
+def _values(spark: SparkSession, sf: str) -> DataFrame:
+    return read(spark, sf, "events").select("user_id", F.col("ts").alias("seen"), "value")
 
 
 @query("q25_asof_lookup")
 def asof(spark: SparkSession, sf: str) -> DataFrame:
     events = read(spark, sf, "events")
     dense = heavy_keys(events, "user_id")
-    return asof_lookup(_clicks(events), _purchases(spark, sf), **_LOOKUP, dense_keys=dense)
+    return asof_lookup(_asked(events), _values(spark, sf), **_LOOKUP, dense_keys=dense)
 
 
 @query("q26_player_stats_daily")
@@ -483,25 +480,29 @@ def league_contract(spark: SparkSession, sf: str) -> DataFrame:
     """Payloads sound and damaged, by the order's priority and status."""
     urgent = F.col("o_orderpriority")
     number = F.col("o_orderkey").cast("string")
-    key = '"key": {"season_id": 66, "queue_id": 201, "league_id": null, "team_type": 0}'
-    start, end = "{" + key + ', "tier": [{"division": []}, {"division": [', F.lit("}]}]}")
-    sound = F.concat(F.lit(start + '{"ladder_id": '), number, end)
-    no_id = F.concat(F.lit(start + '{"ladder_id": null}, {"id": '), number, end)
+    key = F.format_string('"key": {"season_id": %s, "queue_id": %s, "league_id": null, "team_type": %s}', number, number, number)
+    end = F.lit("}]}]}")
+
+    def start(more: str) -> Column:
+        return F.concat(F.lit("{"), key, F.lit(', "tier": [{"division": []}, {"division": [' + more))
+
+    sound = F.concat(start('{"ladder_id": '), number, end)
+    no_id = F.concat(start('{"ladder_id": null}, {"id": '), number, end)
     payload = (
         F.when(urgent == "1-URGENT", sound)
         .when(urgent == "2-HIGH", no_id)
         .when(urgent == "3-MEDIUM", F.concat(F.lit("["), number, F.lit("]")))
         .when(
             (urgent == "4-NOT SPECIFIED") & (F.col("o_orderstatus") == "F"),
-            F.lit('{"key": {"season_id": 66, "queue_id": 201}, "tier": []}'),
+            F.format_string('{"key": {"season_id": %s, "queue_id": %s}, "tier": []}', number, number),
         )
-        .when(urgent == "4-NOT SPECIFIED", F.lit("{" + key + ', "tier": [{"division": {}}]}'))
-        .when(F.col("o_orderstatus") == "F", F.lit("{" + key + ', "tier": null}'))
+        .when(urgent == "4-NOT SPECIFIED", F.concat(F.lit("{"), key, F.lit(', "tier": [{"division": {}}]}')))
+        .when(F.col("o_orderstatus") == "F", F.concat(F.lit("{"), key, F.lit(', "tier": null}')))
         .when(F.col("o_orderstatus") == "O", F.lit('{"key": [], "tier": []}'))
         .otherwise(F.lit("not json"))
     )
     orders = read(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    docs = roles.spread(orders).select("o_orderkey", payload.alias("payload"))
+    docs = orders.select("o_orderkey", payload.alias("payload"))
     return contracts.check_payloads(docs, "payload", "league").select("o_orderkey", "violation")
 
 
@@ -521,7 +522,7 @@ def list_contracts(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.concat(F.lit("["), props, F.lit("]")))
     )
     events = read(spark, sf, "events").select("event_id", "event_type", "props")
-    docs = roles.spread(events).select("event_id", damaged.alias("payload"))
+    docs = events.select("event_id", damaged.alias("payload"))
     return docs.select(
         "event_id",
         contracts.modern_ladder_violation(F.col("payload")).alias("modern"),
@@ -536,7 +537,7 @@ def request_wrapping(spark: SparkSession, sf: str) -> DataFrame:
     events = read(spark, sf, "events").select(
         "event_id", F.col("user_id").alias("profile_id"), F.col("props").alias("payload")
     )
-    with_ids = documents.with_request_ids(roles.spread(events), ["profile_id"], "payload")
+    with_ids = documents.with_request_ids(events, ["profile_id"], "payload")
     wrapped = documents.with_key(with_ids, "event_id", "payload")
     schema = "event_id BIGINT, data STRUCT<request_profile_id BIGINT, k INT>"
     parsed = wrapped.select(F.from_json("payload", schema).alias("d"))
@@ -639,11 +640,11 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("q34_stream_lookup")
 def stream_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """Arriving clicks, each looked up among the purchases of the 90 minutes before."""
+    """Arriving events, each looked up among the events of the 90 minutes before."""
     root = scratch_path(spark, "stream-lookup")
     streams.lookup_batches(
-        _clicks(_stream(spark, sf, "events")),
-        lambda session: _purchases(session, sf),
+        _asked(_stream(spark, sf, "events")),
+        lambda session: _values(session, sf),
         _collector(f"{root}/out"),
         f"{root}/progress",
         **_LOOKUP,

@@ -16,8 +16,6 @@ from rungworks.functions.scalars import micros
 AS_OF = "2001-08-01 00:00:00"
 EVENTS_AS_OF = "2024-01-30 23:57:12"
 MATCH_DAYS = 365
-RATED_QUANTITY = 50
-KNOWN_QUANTITY = 45
 DOCUMENT_BLOCK = 32
 
 
@@ -25,16 +23,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of an input that comes in fewer pieces than there are cores.
-
-    Building and parsing JSON is the expensive part of the document queries.  A large
-    input comes in enough pieces and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def floor_long(value: Column) -> Column:
     return F.floor(value).cast("bigint")
 
@@ -73,9 +61,9 @@ def league_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     docs = tiers.groupBy("league", "block").agg(F.sort_array(F.collect_list(tier)).alias("tier"))
     key = F.struct(
-        F.lit(66).alias("season_id"),
-        F.lit(201).alias("queue_id"),
-        F.lit(0).alias("team_type"),
+        (F.col("block") + 1).alias("season_id"),
+        (F.col("league") + 100).alias("queue_id"),
+        (F.col("block") % 2).alias("team_type"),
         F.col("league").alias("league_id"),
     )
     taken = F.expr("TIMESTAMP_NTZ'2020-01-01 04:40:00'") + F.make_dt_interval(mins=F.col("block"))
@@ -107,13 +95,13 @@ def modern_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             rating.alias("rating"),
             F.month("o_orderdate").alias("wins"),
             F.dayofmonth("o_orderdate").alias("losses"),
-            F.lit(0).alias("ties"),
+            F.quarter("o_orderdate").alias("ties"),
             floor_long(F.col("o_totalprice") / 100).alias("points"),
-            F.lit(5).alias("longest_win_streak"),
-            F.lit(2).alias("current_win_streak"),
-            F.lit(1).alias("current_rank"),
-            F.lit(1).alias("highest_rank"),
-            F.lit(2).alias("previous_rank"),
+            F.dayofyear("o_orderdate").alias("longest_win_streak"),
+            F.month("o_orderdate").alias("current_win_streak"),
+            F.dayofyear("o_orderdate").alias("current_rank"),
+            F.dayofmonth("o_orderdate").alias("highest_rank"),
+            F.year("o_orderdate").alias("previous_rank"),
             floor_long(micros(F.col("o_orderdate")) / 1_000_000).alias("join_time_stamp"),
             F.lit(None).cast("bigint").alias("last_played_time_stamp"),
             members.alias("member"),
@@ -141,7 +129,7 @@ def modern_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(".json"),
     )
     orders = read(spark, sf_dir, "orders")
-    return spread(orders).select(
+    return orders.select(
         file_name.alias("file_name"),
         F.to_json(
             F.struct(F.col("o_custkey").alias("ladder_id"), F.struct(teams.alias("team")).alias("data"))
@@ -162,14 +150,14 @@ def legacy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                 name.alias("displayName"),
                 clan.alias("clanName"),
                 F.substring(clan, 1, 5).alias("clanTag"),
-                F.concat(F.lit("/profile/1/"), id_.cast("string"), F.lit("/")).alias("profilePath"),
+                F.concat_ws("/", F.lit("at"), "c_mktsegment", id_.cast("string")).alias("profilePath"),
             ).alias("character"),
-            F.lit(1700000000).alias("joinTimestamp"),
+            (F.col("c_custkey") * 3600).alias("joinTimestamp"),
             floor_long(F.col("c_acctbal")).alias("points"),
             floor_long(F.abs("c_acctbal") / 100).alias("wins"),
             F.length("c_mktsegment").alias("losses"),
-            F.lit(1).alias("highestRank"),
-            F.lit(2).alias("previousRank"),
+            (F.col("c_nationkey") + 1).alias("highestRank"),
+            F.length("c_mktsegment").alias("previousRank"),
             F.col("c_mktsegment").alias("favoriteRaceP1"),
         )
 
@@ -177,7 +165,7 @@ def legacy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     other = member(-F.col("c_custkey") - 1, F.concat(F.lit("alt-"), F.col("c_name")))
     members = F.when(F.col("c_acctbal") > 5000, F.array(main, other)).otherwise(F.array(main))
     taken = F.expr("TIMESTAMP_NTZ'2020-01-01 04:40:00'")
-    return spread(read(spark, sf_dir, "customer")).select(
+    return read(spark, sf_dir, "customer").select(
         filenames.document_name(F.lit("legacy_ladders_raw"), F.col("c_nationkey"), taken).alias("file_name"),
         F.to_json(
             F.struct(
@@ -206,7 +194,7 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     undated = match(F.lit(0).cast("bigint"), F.lit("WIN"))
     stamp = F.date_format("ts", filenames.STAMP_FORMAT)
     events = read(spark, sf_dir, "events").select("user_id", "event_type", "ts")
-    return spread(events).select(
+    return events.select(
         F.concat(F.lit("matches_all_history_"), stamp, F.lit(".json")).alias("file_name"),
         F.col("ts"),
         F.to_json(
@@ -287,33 +275,23 @@ def match_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def report_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The map of every report, read from one column, to look for crowded games."""
-    return read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("map"))
-
-
 def rating_track(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full-quantity lines as a rating track: the part as character, the flag as race."""
-    return (
-        read(spark, sf_dir, "lineitem")
-        .where(F.col("l_quantity") >= RATED_QUANTITY)
-        .select(
-            F.col("l_partkey").alias("character_id"),
-            F.col("l_returnflag").alias("race"),
-            F.col("l_shipdate").alias("snapshot_ts"),
-            F.floor("l_extendedprice").cast("int").alias("rating"),
-        )
+    """Orders as a rating track: the customer as character, the priority as race.
+
+    Parts play, customers are rated: parts beyond the last customer have no rating.
+    """
+    return read(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("character_id"),
+        F.col("o_orderpriority").alias("race"),
+        F.col("o_orderdate").alias("snapshot_ts"),
+        F.floor("o_totalprice").cast("int").alias("rating"),
     )
 
 
 def known_races(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Large-quantity lines as the player dimension: (character, race) pairs seen."""
-    return (
-        read(spark, sf_dir, "lineitem")
-        .where(F.col("l_quantity") >= KNOWN_QUANTITY)
-        .select(F.col("l_partkey").alias("character_id"), F.col("l_returnflag").alias("race"))
-        .distinct()
-    )
+    """Customers as the player dimension: their segment as race, and a second one for the rich."""
+    races = F.array_compact(F.array("c_mktsegment", F.when(F.col("c_acctbal") > 5000, F.lit("second"))))
+    return read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("character_id"), F.explode(races).alias("race"))
 
 
 def declared_races(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,9 +14,7 @@ slices, of which only the last evidence is handed on to those within reach.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import timedelta
-from typing import Any
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,7 +33,7 @@ def asof_lookup(
     evidence_ts: str,
     value: str,
     tolerance: timedelta,
-    dense_keys: Sequence[Any] = (),
+    dense_keys: DataFrame | None = None,
     short_slice: timedelta = SHORT_SLICE,
 ) -> DataFrame:
     """For each distinct (key, probe time): the newest ``value`` strictly before it.
@@ -44,17 +42,21 @@ def asof_lookup(
     one instant the greatest is taken.  Probes without evidence give no row.
     Result columns: ``key``, ``probe_ts``, ``value``, ``evidence_ts`` (the evidence's time).
 
-    ``dense_keys`` (see ``hotkeys.heavy_keys``) and ``short_slice`` only affect how
-    the work is cut.
+    ``dense_keys`` (a column named as ``key``, see ``hotkeys.heavy_keys``) and
+    ``short_slice`` only affect how the work is cut.
     """
     microsecond = timedelta(microseconds=1)
     length = tolerance // microsecond
     short = min(short_slice // microsecond, length)
-    dense = F.col("_key").isin(list(dense_keys)) if dense_keys else F.lit(False)
-    width = F.when(dense, F.lit(short)).otherwise(F.lit(length))
+    width = F.when(F.col("_dense"), F.lit(short)).otherwise(F.lit(length))
 
     def sliced(df: DataFrame) -> DataFrame:
-        placed = df.withColumn("_at", micros(F.col("_ts"))).withColumn("_width", width)
+        if dense_keys is None:
+            told = df.withColumn("_dense", F.lit(False))
+        else:
+            named = dense_keys.select(F.col(key).alias("_key"), F.lit(True).alias("_dense"))
+            told = df.join(named, "_key", "left").withColumn("_dense", F.coalesce("_dense", F.lit(False)))
+        placed = told.withColumn("_at", micros(F.col("_ts"))).withColumn("_width", width)
         return placed.withColumn("_slice", F.expr("(_at - pmod(_at, _width)) div _width"))
 
     asked = sliced(
@@ -68,16 +70,16 @@ def asof_lookup(
         ).select(
             F.col(key).alias("_key"), F.col(evidence_ts).alias("_ts"), F.col(value).alias("_value")
         )
-    ).select("_key", "_slice", "_at", "_ts", "_value")
+    ).select("_key", "_slice", "_at", "_ts", "_value", "_dense")
 
-    places = F.when(dense, F.array("_slice")).otherwise(F.array("_slice", F.col("_slice") + 1))
+    places = F.when(F.col("_dense"), F.array("_slice")).otherwise(F.array("_slice", F.col("_slice") + 1))
     rows = asked.unionByName(
-        known.withColumn("_slice", F.explode(places)), allowMissingColumns=True
+        known.withColumn("_slice", F.explode(places)).drop("_dense"), allowMissingColumns=True
     )
-    if dense_keys:
+    if dense_keys is not None:
         reach = -(-length // short)
         handed_on = (
-            known.where(dense)
+            known.where("_dense")
             .groupBy("_key", "_slice")
             .agg(F.max(F.struct("_at", "_ts", "_value")).alias("_last"))
             .select(

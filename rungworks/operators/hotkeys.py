@@ -1,82 +1,29 @@
-"""Finding and splitting the few keys that hold a large share of the rows.
+"""Finding the few keys that hold a large share of the rows, by exact counts.
 
-They are found with one sketch aggregate: a scan of the key columns whose partial
-results are merged map-side, no shuffle of rows, and an answer of at most ``limit``
-entries whatever the input's size.  The answer only decides where rows are
-*placed*; no result depends on how well the sketch estimated.
+The counts are combined before they are shuffled, and only keys above the limit are
+kept: at most rows / limit of them, however skewed the data are.  They are staged as a small
+table that Spark joins by its measured size; nothing of it reaches the driver or the plan.
+They decide where rows are *placed*, never what comes out.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
-from typing import Any
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TRACKED = 10_000
-
-
-@dataclass(frozen=True)
-class Split:
-    """Number of parts per group, as a column over the group's hash."""
-
-    keys: tuple[str, ...]
-    parts: dict[int, int]
-
-    def count(self) -> Column:
-        """In how many parts a row's group is cut (1 for all but the heavy ones)."""
-        if not self.parts:
-            return F.lit(1)
-        entries = [(F.lit(g).cast("bigint"), F.lit(n).cast("int")) for g, n in self.parts.items()]
-        by_group = F.create_map(*[x for entry in entries for x in entry])
-        return F.coalesce(F.try_element_at(by_group, F.xxhash64(*self.keys)), F.lit(1))
-
-    def own_part(self, *spread_by: str) -> Column:
-        """The one part a row of the split side belongs to."""
-        if not self.parts:
-            return F.lit(0)
-        return F.pmod(F.xxhash64(*spread_by), self.count()).cast("int")
-
-    def all_parts(self) -> Column:
-        """All parts of the group, for the side that must meet every part."""
-        if not self.parts:
-            return F.array(F.lit(0))
-        return F.sequence(F.lit(0), self.count() - 1)
-
-
-def _top(df: DataFrame, value: Column, limit: int) -> list[tuple[Any, int]]:
-    found = (
-        df.select(value.alias("g"))
-        .where(F.col("g").isNotNull())
-        .agg(F.expr(f"approx_top_k(g, {limit}, {TRACKED})").alias("top"))
-        .first()["top"]
-    )
-    return [(row["item"], row["count"]) for row in found or []]
+from rungworks.session import stage
 
+#: Rows of a key from which its work is cut finer, and pairs that one task is to form.
+CROWDED = 5_000
+PAIRS_PER_PART = CROWDED**2
 
-def heavy_keys(df: DataFrame, key: str, rows: int = 10_000_000, limit: int = 64) -> list[Any]:
-    """Keys holding more than ``rows`` rows: at most ``limit``, the heaviest first."""
-    return [item for item, count in _top(df, F.col(key), limit) if count > rows]
 
+def heavy_keys(df: DataFrame, key: str, rows: int = 10_000_000) -> DataFrame:
+    """The keys (a column of that name) that hold more than ``rows`` rows."""
+    counted = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
+    return stage(counted.where(F.col("_rows") > rows).select(key), "heavy-keys")
 
-def heavy_groups(
-    df: DataFrame,
-    keys: Sequence[str],
-    pairs_per_part: int = 25_000_000,
-    limit: int = 64,
-    max_parts: int = 512,
-) -> Split:
-    """Find the groups too large to be paired within themselves by one task.
 
-    A group of n rows asks for n x n comparisons; it is cut into as many parts as
-    keep those of each part near ``pairs_per_part``.
-    """
-    found = _top(df.dropna(subset=list(keys)), F.xxhash64(*keys), limit)
-    parts = {
-        item: min(max_parts, -(-(count**2) // pairs_per_part))
-        for item, count in found
-        if count**2 > pairs_per_part
-    }
-    return Split(tuple(keys), parts)
+def parts(rows: Column, pairs_per_part: int = PAIRS_PER_PART) -> Column:
+    """Into how many parts a group of ``rows`` rows is cut to be paired within itself."""
+    return F.greatest(F.ceil(rows * rows / pairs_per_part), F.lit(1)).cast("long")

@@ -5,6 +5,10 @@ differ.  Reports are first reduced to one row per player and game, which is all
 the pairing needs: of a set of decisions only the least and the greatest matter
 for "is there a differing pair".  One self-join then yields both the pairs and the
 reports nobody matched.
+
+Games are counted first, exactly.  Crowded ones go a way of their own, on which no
+task ever holds one whole: repeated reports merge before the shuffle, and the pairs of a
+game are formed in as many parts as their number asks for.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rungworks.operators.hotkeys import Split
+from rungworks.operators import hotkeys
 from rungworks.session import stage
 
 GAME = ("match_date", "map", "type")
@@ -20,9 +24,6 @@ GAME = ("match_date", "map", "type")
 # The same as join key: a hash to sort by, and what the hash stands for.
 SAME_GAME = ("game", "match_date", "place")
 
-# Hashes of 8 bytes each: some 32 MB as a broadcast table.
-BROADCAST_GAMES = 2_000_000
-
 
 def _place() -> Column:
     """Map and type as one text, never null; its end tells how long the type in it is.
@@ -48,32 +49,19 @@ def game_reports(history: DataFrame, in_window: Column) -> DataFrame:
     return reports.withColumn("game", F.xxhash64("match_date", "place"))
 
 
-def of_window_games(reports: DataFrame) -> DataFrame:
-    """Reports of games with at least one report in the window; no others can matter.
+def window_games(reports: DataFrame) -> DataFrame:
+    """Games with a report in the window, and the number of reports of each; no others can matter.
 
-    The games' hashes are staged, one number per game of the window, and counted from
-    the file footers.  Up to ``BROADCAST_GAMES`` of them go to every task, which
-    filters the history where it is read, before anything of it is shuffled.  More
-    than that are joined as usual.
+    Staged: one row per game of the window, which both ways of pairing look up.  Spark
+    joins it by its measured size.
     """
-    wanted = stage(reports.where("in_window").select("game").distinct(), "window-games")
-    if wanted.count() <= BROADCAST_GAMES:
-        wanted = F.broadcast(wanted)
-    return reports.join(wanted, "game", "left_semi")
+    seen = reports.groupBy(*SAME_GAME).agg(F.count("*").alias("reports"), F.max("in_window").alias("wanted"))
+    return stage(seen.where("wanted").select(*SAME_GAME, "reports"), "window-games")
 
 
-def player_games(reports: DataFrame, split: Split | None = None) -> DataFrame:
-    """One row per player and game: the range of its decisions, overall and in the window.
-
-    As a rule the reports are shuffled and sorted once, by game: the reduction and
-    the pairing both run on that layout.  The leading hash gives the sort a number to
-    compare before it looks at texts.  If ``split`` names crowded games, repeated
-    reports are merged before the shuffle instead, by player and game, so that no
-    task receives a crowded game whole.
-    """
-    if not (split and split.parts):
-        reports = reports.repartition(*SAME_GAME)
-    return reports.groupBy(*SAME_GAME, "profile_id", "map").agg(
+def player_games(reports: DataFrame, *more: str) -> DataFrame:
+    """One row per player and game: the range of its decisions, overall and in the window."""
+    return reports.groupBy(*SAME_GAME, "profile_id", "map", *more).agg(
         F.first("type").alias("type"),
         F.min("decision").alias("any_lo"),
         F.max("decision").alias("any_hi"),
@@ -90,23 +78,37 @@ def _differ(a: str, a_range: str, b: str, b_range: str) -> Column:
     )
 
 
-def games(players: DataFrame, split: Split | None = None) -> DataFrame:
+def games(
+    reports: DataFrame, crowded: int = hotkeys.CROWDED, pairs_per_part: int = hotkeys.PAIRS_PER_PART
+) -> DataFrame:
     """Pairs, and unmatched reports with an empty second player.
 
     The lower id comes first and must lie in the window; its partner may come from
     the whole history.  A player in the window who is in no pair of that game, on
     either side, stands alone.  Reports without a map never pair.
 
-    With ``split``, crowded games are cut into parts on the first side and repeated
-    on the second, so that one game's pairs are formed by many tasks.  Which rows
-    come out does not depend on it.
+    Games of more than ``crowded`` reports are cut into parts on the first side and
+    repeated on the second.  Which rows come out does not depend on that.
     """
-    first, second = players.where("in_window"), players
-    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in SAME_GAME]
-    if split and split.parts:
-        first = first.withColumn("part", split.own_part("profile_id"))
-        second = second.withColumn("part", F.explode(split.all_parts()))
-        on.append(F.col("a.part") == F.col("b.part"))
+    wanted = window_games(reports)
+    on = list(SAME_GAME)
+    # As a rule reports are shuffled and sorted once, by game: the reduction and both sides
+    # of the pairing run on that layout.
+    plain = reports.join(wanted.where(F.col("reports") <= crowded).select(*on), on, "left_semi")
+    players = player_games(plain.repartition(*on))
+    # Crowded games are few (at most rows / crowded); their reports merge before the shuffle.
+    cut = hotkeys.parts(F.col("reports"), pairs_per_part).alias("parts")
+    many = stage(wanted.where(F.col("reports") > crowded).select(*on, cut), "crowded-games")
+    crowd = player_games(reports.join(many, on), "parts")
+    own_part = F.pmod(F.xxhash64("profile_id"), F.col("parts"))
+    every_part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    split = _paired(crowd.withColumn("part", own_part), crowd.withColumn("part", every_part), [*on, "part"])
+    return _paired(players, players, on).unionByName(split)
+
+
+def _paired(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:
+    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in keys]
+    first = first.where("in_window")
     a_id, b_id = F.col("a.profile_id"), F.col("b.profile_id")
     as_first = (a_id < b_id) & _differ("a", "win", "b", "any")
     as_second = (b_id < a_id) & F.col("b.in_window") & _differ("b", "win", "a", "any")

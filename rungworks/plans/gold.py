@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from rungworks.functions.scalars import moment, since_days, since_days_date
 from rungworks.operators import daily, inference, pairs
-from rungworks.operators.hotkeys import Split
 from rungworks.operators.latest import latest_per_key
 from rungworks.operators.merge import (
     INCOMING,
@@ -125,19 +124,19 @@ def rebuilt_games(
     as_of: str,
     days: int = WINDOW_DAYS,
     match_type: str = MATCH_TYPE,
-    split: Split | None = None,
     history_since: datetime | None = None,
+    **cut: int,
 ) -> DataFrame:
     """Pairs and unmatched reports of one match type, seen in the last ``days``.
 
-    Partners may come from the whole history, or from ``history_since`` on.
+    Partners may come from the whole history, or from ``history_since`` on.  ``cut`` is
+    passed to :func:`pairs.games`.
     """
     reports = history.where(F.col("type") == match_type)
     if history_since:
         reports = reports.where(F.col("match_date") >= F.lit(history_since).cast("timestamp_ntz"))
     in_window = since_days_date(F.col("snapshot_date"), as_of, days)
-    relevant = pairs.of_window_games(pairs.game_reports(reports, in_window))
-    return pairs.games(pairs.player_games(relevant, split), split)
+    return pairs.games(pairs.game_reports(reports, in_window), **cut)
 
 
 def inferred_games(
@@ -167,16 +166,15 @@ def match_facts(
     match_type: str = MATCH_TYPE,
     evidence: DataFrame | None = None,
     tolerance: timedelta = inference.SESSION,
-    split: Split | None = None,
     history_since: datetime | None = None,
 ) -> DataFrame:
     """Match rows of the window, ready to be merged into the match table.
 
-    Reports without a map are left to :func:`pairs.without_map`: they pair with
-    nothing and have no key.
+    Reports without a map pair with nothing and have no key; ``jobs.build_matches`` sets
+    them aside (:func:`pairs.without_map`).
     """
     placed = history.where(F.col("map").isNotNull())
-    games = rebuilt_games(placed, as_of, days, match_type, split, history_since)
+    games = rebuilt_games(placed, as_of, days, match_type, history_since)
     return inference.match_rows(inferred_games(games, track, players, evidence, tolerance))
 
 

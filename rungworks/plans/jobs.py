@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from rungworks import schemas
 from rungworks.functions.scalars import since_days_date
 from rungworks.operators import daily
-from rungworks.operators.hotkeys import heavy_groups
 from rungworks.operators.merge import rows_to_insert
 from rungworks.plans import gold
 from rungworks.session import stage
@@ -78,7 +77,6 @@ def build_matches(
             as_of,
             days,
             match_type,
-            split=heavy_groups(history, ["match_date", "map"]),
             history_since=first,
         ),
         table.name,

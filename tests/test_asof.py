@@ -11,7 +11,9 @@ START = datetime(2026, 1, 1)
 PROBE, KNOWN = "k INT, t TIMESTAMP_NTZ", "k INT, s TIMESTAMP_NTZ, v STRING"
 
 
-def lookup(spark, probes, evidence, tolerance=timedelta(minutes=90), **cut):
+def lookup(spark, probes, evidence, tolerance=timedelta(minutes=90), dense_keys=None, **cut):
+    if dense_keys is not None:
+        cut["dense_keys"] = spark.createDataFrame([(k,) for k in dense_keys], "k INT")
     found = asof_lookup(
         spark.createDataFrame(probes, PROBE),
         spark.createDataFrame(evidence, KNOWN),
@@ -79,8 +81,9 @@ def test_against_brute_force_with_a_hot_key(spark):
 
 def test_heavy_keys_are_found(spark):
     df = spark.createDataFrame([(7,)] * 50 + [(i,) for i in range(100)] + [(None,)] * 80, "k INT")
-    assert hotkeys.heavy_keys(df, "k", rows=20) == [7]
-    assert hotkeys.heavy_keys(df, "k") == hotkeys.heavy_keys(df.where("false"), "k") == []
+    assert rows(hotkeys.heavy_keys(df, "k", rows=20)) == [(7,)]
+    assert rows(hotkeys.heavy_keys(df, "k", rows=50)) == [(7,)]
+    assert rows(hotkeys.heavy_keys(df, "k", rows=51)) == rows(hotkeys.heavy_keys(df.where("false"), "k")) == []
 
 
 def test_times_before_1970(spark):

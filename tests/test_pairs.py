@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from rungworks.operators import hotkeys, inference, pairs
+from rungworks.operators import inference, pairs
 from rungworks.plans import gold
 
 AT = datetime(2026, 1, 10, 12)
@@ -14,9 +14,8 @@ AS_OF = "2026-01-10 18:00:00"
 REPORT = "profile_id INT, match_date TIMESTAMP_NTZ, map STRING, type STRING, decision STRING, snapshot_date DATE"
 
 
-def games(spark, reports, split=None, **kw):
-    history = spark.createDataFrame(reports, REPORT)
-    return gold.rebuilt_games(history, AS_OF, split=split, **kw)
+def games(spark, reports, **kw):
+    return gold.rebuilt_games(spark.createDataFrame(reports, REPORT), AS_OF, **kw)
 
 
 def ids(df):
@@ -128,23 +127,27 @@ def test_against_the_rule_on_random_reports(spark, seed):
     assert pairs.participants(got).count() == pairs.matched(got).count() * 2 + pairs.unmatched(got).count()
 
 
-def test_a_crowded_game_is_split_and_gives_the_same_rows(spark):
+def test_every_crowded_game_is_cut_and_gives_the_same_rows(spark):
     rng = random.Random(5)
-    crowd = [report(i, rng.choice(["WIN", "LOSS"]), map_="Arena") for i in range(120)]
+    crowd = [report(rng.randrange(40), rng.choice(["WIN", "LOSS"]), map_=f"Arena{g}") for g in range(100) for _ in range(9)]
     rest = [report(rng.randrange(200), rng.choice(["WIN", "LOSS"]), map_=f"M{rng.randrange(60)}") for _ in range(240)]
-    history = spark.createDataFrame(crowd + rest, REPORT)
-    split = hotkeys.heavy_groups(history, ["map"], pairs_per_part=60**2)
-    assert list(split.parts.values()) == [4]
-    got = games(spark, crowd + rest, split)
+    got = games(spark, crowd + rest, crowded=8, pairs_per_part=20)
     assert {tuple(r) for r in got.select("p1_id", "p2_id", "match_date", "map").collect()} == expected(crowd + rest)
     assert rows(got) == rows(games(spark, crowd + rest))
-    placed = history.where("map = 'Arena'").select(split.own_part("profile_id").alias("part"))
-    assert placed.distinct().count() == 4
+
+
+def test_a_crowded_game_is_never_shuffled_by_game_alone(spark):
+    crowd = [report(i, "WIN" if i % 2 else "LOSS", map_="Arena") for i in range(60)]
+    got = games(spark, [*crowd, report(1, "WIN")], crowded=50, pairs_per_part=400)
+    assert got.count() == 901
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression [game") == 2  # both sides of the plain way; none of the other
 
 
 def test_both_sides_read_one_shuffle(spark):
     history = spark.createDataFrame([report(1, "WIN"), report(2, "LOSS")], REPORT)
-    got = pairs.games(pairs.player_games(pairs.game_reports(history, F.lit(True))))
+    players = pairs.player_games(pairs.game_reports(history, F.lit(True)).repartition(*pairs.SAME_GAME))
+    got = pairs._paired(players, players, list(pairs.SAME_GAME))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         got.collect()
@@ -154,18 +157,14 @@ def test_both_sides_read_one_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == plan.count("ReusedExchange") + 1 == 2
 
 
-def test_the_history_is_filtered_before_it_is_shuffled(spark):
-    got = games(spark, [report(1, "WIN"), report(2, "LOSS"), report(9, "WIN", map_="Old", seen=OLD)])
-    assert got.count() == 1
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("REPARTITION_BY_COL") < plan.index("BroadcastHashJoin [game")
-
-
-def test_many_window_games_are_joined_as_usual(spark, monkeypatch):
+def test_large_window_tables_are_joined_as_usual(spark):
     reports = [report(1, "WIN"), report(2, "LOSS"), report(9, "WIN", map_="Old", seen=OLD)]
     few = rows(games(spark, reports))
-    monkeypatch.setattr(pairs, "BROADCAST_GAMES", 0)
-    assert rows(games(spark, reports)) == few
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows(games(spark, reports)) == few
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 # ------------------------------------------------------------------- inference
@@ -260,8 +259,3 @@ def test_match_keys_are_unique_and_never_null(spark):
     assert len(keys) == len(set(keys)) == 2 and all(len(k) == 32 for k in keys)
     one = facts.where(F.col("p1_character_id") == 1).first().match_id
     assert one == spark.sql("SELECT md5('122026-01-10 12:00:00Dusk')").first()[0]
-
-
-def test_heavy_groups_on_empty_and_even_input(spark):
-    assert hotkeys.heavy_groups(spark.range(0).select(F.col("id").alias("g")), ["g"]).parts == {}
-    assert hotkeys.heavy_groups(spark.range(5000).select((F.col("id") % 50).alias("g")), ["g"]).parts == {}
