@@ -547,10 +547,16 @@ def request_wrapping(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------- landing and streaming
 
 
-def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """One of the given tables as a stream of its files."""
-    reader = spark.readStream.schema(read(spark, sf, name).schema)
-    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+#: Files of a batch in the document streams.
+MAX_FILES = 5
+
+
+def _stream(spark: SparkSession, sf: str, name: str, files: int = 3) -> DataFrame:
+    """One of the given tables, arriving in at least ``files`` files, a file at a time."""
+    source = scratch_path(spark, f"arriving-{name}")
+    table = read(spark, sf, name)
+    table.repartition(files).write.parquet(source)
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(source)
 
 
 def _collector(path: str) -> Callable[[DataFrame, int], None]:
@@ -579,7 +585,7 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     flow = silver.MATCHES
     docs = roles.match_documents(spark, sf).withColumn("day", F.date_trunc("day", F.col("ts")))
     documents.land(docs, f"{root}/bronze", flow.kind, "payload", "day")
-    stream = documents.stream_landed(spark, f"{root}/bronze", flow.kind, flow.document)
+    stream = documents.stream_landed(spark, f"{root}/bronze", flow.kind, flow.document, max_files=MAX_FILES)
     streams.ingest(stream, flow, f"{root}/silver", f"{root}/progress", EVENTS_AS_OF).awaitTermination()
     return tables.read_table(spark, f"{root}/silver/{flow.table.name}", flow.table)
 
@@ -587,14 +593,11 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 @query("q31_stream_first_sightings")
 def stream_first_sightings(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "first-sightings")
-    seen = streams.first_sightings(
-        _stream(spark, sf, "orders").select("o_custkey", "o_orderpriority", "o_orderdate"),
-        ["o_custkey", "o_orderpriority", "o_orderdate"],
-        "o_orderdate",
-    )
-    streams.run(seen, _collector(f"{root}/out"), f"{root}/progress").awaitTermination()
-    written = "o_custkey BIGINT, o_orderpriority STRING, o_orderdate TIMESTAMP_NTZ"
-    return spark.read.schema(written).parquet(f"{root}/out").drop("batch")
+    keys = ("o_custkey", "o_orderpriority", "o_orderdate")
+    table = schemas.Table("sightings", "o_custkey BIGINT, o_orderpriority STRING, o_orderdate TIMESTAMP_NTZ", keys, keys)
+    arriving = _stream(spark, sf, "orders").select(*keys)
+    streams.first_sightings(arriving, table, f"{root}/out", f"{root}/progress").awaitTermination()
+    return tables.read_table(spark, f"{root}/out", table)
 
 
 @query("q32_stream_changes")
@@ -609,10 +612,10 @@ def stream_changes(spark: SparkSession, sf: str) -> DataFrame:
         }
     )
     documents.land(docs, f"{root}/bronze", flow.kind, "payload", "taken", "league")
-    stream = documents.stream_landed(spark, f"{root}/bronze", flow.kind, flow.document)
+    stream = documents.stream_landed(spark, f"{root}/bronze", flow.kind, flow.document, max_files=MAX_FILES)
     streams.detect_changes(
         stream,
-        lambda batch: changes.current_counters(flatten.legacy_members_with_position(batch)),
+        worklists.newest_counters,
         f"{root}/state",
         _collector(f"{root}/changed"),
         f"{root}/progress",

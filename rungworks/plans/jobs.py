@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from rungworks import schemas
 from rungworks.functions.scalars import since_days_date
-from rungworks.operators import daily
+from rungworks.operators import daily, pairs
 from rungworks.operators.merge import rows_to_insert
 from rungworks.plans import gold
-from rungworks.session import stage
+from rungworks.plans.silver import set_aside
+from rungworks.session import stage, staging
 from rungworks.sources import tables
 
 
@@ -61,6 +62,7 @@ def build_matches(
     """Rebuild the window's matches and merge them into their days.
 
     The key of a match is made from its time, so a known match lies in the same day.
+    Reports of the window without a map can have no key and go to the quarantine table.
     """
     table = schemas.FACT_MATCHES
     path = f"{gold_root}/{table.name}"
@@ -69,6 +71,9 @@ def build_matches(
     if first is None:
         return
     history = _silver(spark, silver, schemas.MATCH_HISTORY, since=first.date())
+    recent = history.where((F.col("type") == match_type) & since_days_date(F.col("snapshot_date"), as_of, days))
+    columns = schemas.MATCH_HISTORY.payload
+    set_aside(pairs.without_map(recent), table.name, F.lit("map: null"), columns, silver, as_of)
     current = stage(
         gold.match_facts(
             history,
@@ -111,7 +116,8 @@ def build_daily(
 def build_all(
     spark: SparkSession, silver: str, gold_root: str, as_of: str, days: int = gold.WINDOW_DAYS
 ) -> None:
-    build_players(spark, silver, gold_root, as_of)
-    build_track(spark, silver, gold_root, as_of, days)
-    build_matches(spark, silver, gold_root, as_of, days)
-    build_daily(spark, silver, gold_root, as_of, days)
+    with staging(spark):
+        build_players(spark, silver, gold_root, as_of)
+        build_track(spark, silver, gold_root, as_of, days)
+        build_matches(spark, silver, gold_root, as_of, days)
+        build_daily(spark, silver, gold_root, as_of, days)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rungworks import schemas
@@ -13,7 +13,7 @@ from rungworks.functions.scalars import moment
 from rungworks.operators import flatten
 from rungworks.operators.contracts import row_violation, split
 from rungworks.operators.merge import rows_to_insert
-from rungworks.session import stage
+from rungworks.session import stage, staging
 from rungworks.sources import listing, tables
 from rungworks.sources.documents import read_documents
 
@@ -74,31 +74,48 @@ def prepare(flow: Flow, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return flow.table.conform(sound), broken
 
 
+def set_aside(rows: DataFrame, source: str, violation: Column, columns: list[str], silver: str, as_of: str) -> None:
+    """Put rows into the quarantine table as text, each text of a source once.
+
+    So a replayed batch adds nothing.
+    """
+    spark, table = rows.sparkSession, schemas.QUARANTINE
+    aside = rows.select(
+        F.lit(source).alias("source"),
+        violation.alias("violation"),
+        F.to_json(F.struct(*columns)).alias("content"),
+        moment(as_of).alias("loaded_at"),
+    )
+    path = f"{silver}/{table.name}"
+    held = tables.read_table(spark, path, table)
+    tables.append(rows_to_insert(held, aside, ["source", "violation", "content"]), path, table)
+
+
 def load(flow: Flow, docs: DataFrame, silver: str, as_of: str) -> tuple[int, int]:
     """Insert the sound rows of ``docs`` whose key the table lacks: (processed, inserted).
 
-    The documents are parsed once, into a staged table.  Only the target's keys of
-    the days in it are read; rows are counted from those days' file footers.  Broken
-    rows go to the quarantine table, as text.
+    The documents are parsed once, into a staged table, and so are the rows to insert;
+    both are counted from there.  Only the target's keys of the days in the batch are
+    read.  Broken rows go to the quarantine table, as text.
     """
     spark, table = docs.sparkSession, flow.table
     path = f"{silver}/{table.name}"
-    sound, broken = split(stage(checked_rows(flow, docs), f"load-{table.name}"))
-    sound = table.conform(sound)
-    days = tables.touched_days(sound, table.time)
-    target = tables.read_table(spark, path, table, days)
-    before = target.count()
-    fresh = rows_to_insert(target, sound, table.key).withColumn(table.audit, moment(as_of))
-    tables.append(fresh, path, table)
-    if not broken.isEmpty():
-        aside = broken.select(
-            F.lit(table.name).alias("source"),
-            "violation",
-            F.to_json(F.struct(*table.payload)).alias("content"),
-            moment(as_of).alias("loaded_at"),
-        )
-        tables.append(aside, f"{silver}/{schemas.QUARANTINE.name}", schemas.QUARANTINE)
-    return sound.count(), tables.read_table(spark, path, table, days).count() - before
+    with staging(spark):
+        checked = stage(checked_rows(flow, docs), f"load-{table.name}")
+        sound, aside = split(checked)
+        n = checked.agg(F.count("*").alias("rows"), F.count("violation").alias("broken")).first()
+        sound = table.conform(sound)
+        target = tables.read_table(spark, path, table, tables.touched_days(sound, table.time))
+        fresh = stage(rows_to_insert(target, sound, table.key).withColumn(table.audit, moment(as_of)), f"new-{table.name}")
+        inserted = fresh.count()
+        if inserted:
+            tables.append(fresh, path, table)
+        if n["broken"]:
+            set_aside(aside, table.name, F.col("violation"), table.payload, silver, as_of)
+    return n["rows"] - n["broken"], inserted
+
+
+SUMMARY = "processed BIGINT, inserted BIGINT, skipped BIGINT, outside_window BIGINT, lagging BOOLEAN"
 
 
 def ingest_window(
@@ -107,33 +124,44 @@ def ingest_window(
     bronze: str,
     silver: str,
     as_of: str,
-    window: int = listing.DEFAULT_WINDOW,
+    window: int | None = None,
+    files_at_once: int = 1000,
 ) -> DataFrame:
-    """Load the not yet processed files among the newest ``window`` per league.
+    """Load all pending files, or those among the newest ``window`` per league.
 
-    Returns the load summary: rows processed, inserted, skipped.  The driver handles
-    file *names* only, at most ``window`` per league; use the streaming ingest to work
-    off everything.  The ledger is written last, so a run that dies is simply repeated.
+    Returns the load summary: rows processed, inserted and skipped, pending files that the
+    window left out, and whether a league lags behind it.  Files are worked off in slices,
+    oldest first, so that the driver handles at most ``files_at_once`` names at a time.  The
+    ledger is written after each slice; a run that dies is simply repeated.
     """
     ledger_path = f"{silver}/{schemas.PROCESSED_FILES.name}"
-    ledger = tables.read_table(spark, ledger_path, schemas.PROCESSED_FILES)
     files = listing.list_files(spark, bronze, f"{flow.kind}_*.json")
-    wanted = listing.unprocessed(listing.last_files(files, window), ledger)
-    names = [r["path"] for r in wanted.select("path").collect()]
+    chosen = files if window is None else listing.last_files(files, window)
+
+    def pending(of: DataFrame) -> tuple[DataFrame, DataFrame]:
+        ledger = tables.read_table(spark, ledger_path, schemas.PROCESSED_FILES)
+        return listing.unprocessed(of, ledger), ledger
+
     processed = inserted = 0
-    if names:
-        docs = read_documents(spark, names, flow.document)
-        processed, inserted = load(flow, docs, silver, as_of)
-        done = spark.createDataFrame([(n.rsplit("/", 1)[-1],) for n in names], "file_name STRING")
-        entries = listing.ledger_entries(done, ledger, as_of)
-        tables.append(entries, ledger_path, schemas.PROCESSED_FILES)
-    return spark.createDataFrame(
-        [(processed, inserted, processed - inserted)], "processed BIGINT, inserted BIGINT, skipped BIGINT"
-    )
+    while True:
+        wanted, ledger = pending(chosen)
+        slice_ = wanted.orderBy("file_name").limit(files_at_once).select("file_name", "path").collect()
+        if not slice_:
+            break
+        docs = read_documents(spark, [r["path"] for r in slice_], flow.document)
+        came, went = load(flow, docs, silver, as_of)
+        processed, inserted = processed + came, inserted + went
+        done = spark.createDataFrame([(r["file_name"],) for r in slice_], "file_name STRING")
+        tables.append(listing.ledger_entries(done, ledger, as_of), ledger_path, schemas.PROCESSED_FILES)
+    left, lagging = 0, False
+    if window is not None:
+        left = pending(files)[0].count()
+        lagging = not listing.backlog(files, window).where("lagging").isEmpty()
+    return spark.createDataFrame([(processed, inserted, processed - inserted, left, lagging)], SUMMARY)
 
 
 def ingest_all(
-    spark: SparkSession, bronze: str, silver: str, as_of: str, window: int = listing.DEFAULT_WINDOW
+    spark: SparkSession, bronze: str, silver: str, as_of: str, window: int | None = None
 ) -> dict[str, DataFrame]:
     """All four flows, one after the other; they share nothing but the ledger."""
     return {f.table.name: ingest_window(spark, f, bronze, silver, as_of, window) for f in FLOWS}

@@ -28,8 +28,8 @@ def ladder_worklist(league_docs: DataFrame) -> DataFrame:
     return listed.select("league_id", F.posexplode("ladder_ids").alias("position", "ladder_id"))
 
 
-def changed_players(legacy_docs: DataFrame, checkpoint: DataFrame) -> DataFrame:
-    """Players of each league's newest ladder document whose game count moved."""
+def newest_counters(legacy_docs: DataFrame) -> DataFrame:
+    """Players' game counts from each league's newest ladder documents, whatever else there is."""
     stamped = legacy_docs.withColumns(
         {
             "_league": filenames.league_id("file_name"),
@@ -37,5 +37,9 @@ def changed_players(legacy_docs: DataFrame, checkpoint: DataFrame) -> DataFrame:
         }
     )
     newest = latest_snapshot(stamped, "_league", "_ts")
-    members = legacy_members_with_position(newest)
-    return changed_keys(current_counters(members), checkpoint)
+    return current_counters(legacy_members_with_position(newest))
+
+
+def changed_players(legacy_docs: DataFrame, checkpoint: DataFrame) -> DataFrame:
+    """Players of each league's newest ladder document whose game count moved."""
+    return changed_keys(newest_counters(legacy_docs), checkpoint)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,13 +34,13 @@ def session(app: str = "rungworks", master: str | None = None, **extra: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one named in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a fresh temporary
-    folder, since there the driver and the executors are one process.
+    Only a session that runs in one process falls back to a fresh temporary folder
+    where that is unset.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     return _local_folder(spark.sparkContext.applicationId)
 
@@ -57,10 +60,29 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
     Used where several branches read one expensive intermediate result, or where
     a plan must not depend on the files it is about to replace.  The written
-    files outlive lost executors and stay readable for a retry; they can be
-    deleted once the job that asked for them is over.
+    files outlive lost executors and stay readable for a retry; a job that runs
+    inside :func:`staging` deletes them when it is over.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    for paths in _open:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_open: list[list[str]] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables staged inside when the block ends well; after a failure they stay for a look."""
+    paths: list[str] = []
+    _open.append(paths)
+    try:
+        yield
+        for path in paths:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    finally:
+        _open.remove(paths)

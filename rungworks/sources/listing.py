@@ -10,7 +10,7 @@ from rungworks.functions.scalars import moment
 from rungworks.operators.latest import first_n_per_key
 from rungworks.operators.merge import rows_to_insert
 
-# Fixed value: how many of the newest files per league a run looks at.
+# Fixed value: how many of the newest files per league a window holds, where one is asked for.
 DEFAULT_WINDOW = 10
 
 FAMILY = ("kind", "league_id")

@@ -109,17 +109,49 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(numbers)
 
 
-def read_version(spark: SparkSession, root: str, table: Table) -> DataFrame:
-    """The newest complete version, or an empty frame."""
-    known = versions(spark, root)
+def read_version(spark: SparkSession, root: str, table: Table, below: int | None = None) -> DataFrame:
+    """The newest complete version (of a number less than ``below``), or an empty frame."""
+    known = [n for n in versions(spark, root) if below is None or n < below]
     if not known:
         return table.empty(spark)
-    return spark.read.schema(table.schema).parquet(f"{root}/v{known[-1]:06d}")
+    return spark.read.schema(table.schema).parquet(_version(root, known[-1]))
+
+
+def _version(root: str, number: int) -> str:
+    return f"{root}/v{number:06d}"
+
 
+def write_version(df: DataFrame, root: str, number: int | None = None, keep: int = 3) -> str:
+    """Write the next version, or that ``number``; what is there of that number is written over.
 
-def write_version(df: DataFrame, root: str) -> str:
-    """Write the next version.  A half-written one of that number is written over."""
-    known = versions(df.sparkSession, root)
-    path = f"{root}/v{(known[-1] if known else 0) + 1:06d}"
+    Of the versions up to it the newest ``keep`` stay.
+    """
+    spark = df.sparkSession
+    known = versions(spark, root)
+    if number is None:
+        number = (known[-1] if known else 0) + 1
+    path = _version(root, number)
     df.write.mode("overwrite").parquet(path)
+    for old in [n for n in known if n < number][: 1 - keep or None]:
+        fs, folder = _folder(spark, _version(root, old))
+        fs.delete(folder, True)
     return path
+
+
+def first_version(spark: SparkSession, root: str, checkpoint: str) -> int:
+    """The version that batch 0 of a stream writes: the next one when the stream began.
+
+    It is noted in the stream's checkpoint folder, so it goes when the checkpoint goes.
+    """
+    fs, folder = _folder(spark, f"{checkpoint}/first-version")
+    if fs.exists(folder):
+        return int(fs.listStatus(folder)[0].getPath().getName())
+    known = versions(spark, root)
+    first = (known[-1] if known else 0) + 1
+    fs.mkdirs(_folder(spark, f"{checkpoint}/first-version/{first}")[1])
+    return first
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, folder = _folder(spark, path)
+    return fs.exists(folder) and fs.getFileStatus(folder).isDirectory()

@@ -18,9 +18,9 @@ from rungworks import schemas
 from rungworks.operators.asof import asof_lookup
 from rungworks.operators.changes import advance_state, changed_keys
 from rungworks.operators.hotkeys import heavy_keys
-from rungworks.operators.merge import upsert
+from rungworks.operators.merge import rows_to_insert, upsert
 from rungworks.plans.silver import Flow, load
-from rungworks.session import stage
+from rungworks.session import stage, staging
 from rungworks.sources import tables
 
 
@@ -58,13 +58,19 @@ def ingest(
     return run(documents, insert, checkpoint)
 
 
-def first_sightings(stream: DataFrame, keys: list[str], ts: str, late: str = "3 days") -> DataFrame:
-    """Rows of a stream, each key once, for rows that are at most ``late`` behind.
+def first_sightings(stream: DataFrame, table: schemas.Table, path: str, checkpoint: str) -> StreamingQuery:
+    """Append each key of a stream once, however late it comes and however often.
 
-    ``ts`` may be zone-less; watermarks are not, so a copy with a zone carries it.
+    No watermark, so nothing is dropped: what was seen before is in the table itself, of
+    which only the days of a batch are read.
     """
-    timed = stream.withColumn("_event_time", F.col(ts).cast("timestamp"))
-    return timed.withWatermark("_event_time", late).dropDuplicatesWithinWatermark(keys).drop("_event_time")
+
+    def each(batch: DataFrame, _: int) -> None:
+        days = tables.touched_days(batch, table.time) if table.time else None
+        held = tables.read_table(batch.sparkSession, path, table, days)
+        tables.append(rows_to_insert(held, table.conform(batch), table.key), path, table)
+
+    return run(stream, each, checkpoint)
 
 
 def detect_changes(
@@ -77,16 +83,20 @@ def detect_changes(
 ) -> StreamingQuery:
     """Hand the keys whose counter moved to ``handle``, then advance the state.
 
-    The state is written as the last step of a batch: if ``handle`` fails the batch
-    is repeated against the old state.  The state table is versioned.
+    The state table is versioned, a version per batch, and a batch reads the newest
+    version below its own.  So a batch that is repeated, whether it failed in
+    ``handle`` or after the state was written, hands over the very same changes.
     """
+    first = tables.first_version(stream.sparkSession, state_root, checkpoint)
 
     def each(batch: DataFrame, number: int) -> None:
-        state = tables.read_version(batch.sparkSession, state_root, schemas.MATCH_HISTORY_CHECKPOINT)
-        seen = stage(counters(batch), "counters")
-        handle(changed_keys(seen, state), number)
-        landed = seen.where(F.col("current_games") > 0)
-        tables.write_version(advance_state(state, landed, as_of), state_root)
+        spark, version = batch.sparkSession, first + number
+        with staging(spark):
+            state = tables.read_version(spark, state_root, schemas.MATCH_HISTORY_CHECKPOINT, below=version)
+            seen = stage(counters(batch), "counters")
+            handle(changed_keys(seen, state), number)
+            landed = seen.where(F.col("current_games") > 0)
+            tables.write_version(advance_state(state, landed, as_of), state_root, version)
 
     return run(stream, each, checkpoint)
 
@@ -98,11 +108,22 @@ def upsert_batches(
     rules: dict,
     checkpoint: str,
 ) -> StreamingQuery:
-    """Merge each batch into a versioned table, so a re-run corrects earlier rows."""
+    """Merge each batch into a table, so a re-run corrects earlier rows.
 
-    def each(batch: DataFrame, _: int) -> None:
-        held = tables.read_version(batch.sparkSession, root, table)
-        tables.write_version(upsert(held, batch, table.key, rules), root)
+    A table with a time is kept by day, and only the days of the batch are read and
+    replaced (a key must stay in its day).  One without is kept as versions, one per batch.
+    """
+    first = 0 if table.time else tables.first_version(stream.sparkSession, root, checkpoint)
+
+    def each(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        with staging(spark):
+            if table.time:
+                held = tables.read_table(spark, root, table, tables.touched_days(batch, table.time))
+                tables.replace_days(upsert(held, batch, table.key, rules), root, table)
+            else:
+                held = tables.read_version(spark, root, table, below=first + number)
+                tables.write_version(upsert(held, batch, table.key, rules), root, first + number)
 
     return run(stream, each, checkpoint)
 

@@ -8,7 +8,7 @@ from conftest import rows
 import documents as sample
 from rungworks import schemas
 from rungworks.plans import silver
-from rungworks.session import scratch_path, shared_dir, stage
+from rungworks.session import scratch_path, shared_dir, stage, staging
 from rungworks.sources import documents, tables
 
 STATE = schemas.MATCH_HISTORY_CHECKPOINT
@@ -70,12 +70,12 @@ def test_window_ingest_loads_each_file_once(spark, write_json, tmp_path):
     write_json("legacy_ladders_raw_6_2026-03-07_0000.json", sample.legacy([(None, "Nil", 1, 1), (5, "Eve", 1, 1)]))
     bronze, target = str(tmp_path / "bronze"), str(tmp_path / "silver")
 
-    def ingest(window):
-        return rows(silver.ingest_window(spark, silver.LEGACY, bronze, target, "2026-03-08 00:00:00", window))
+    def ingest(window=None, **kw):
+        return rows(silver.ingest_window(spark, silver.LEGACY, bronze, target, "2026-03-08 00:00:00", window, **kw))
 
-    assert ingest(2) == [(5, 5, 0)]
-    assert ingest(2) == [(0, 0, 0)]
-    assert ingest(10) == [(2, 2, 0)]
+    assert ingest(1) == [(3, 3, 0, 2, True)]
+    assert ingest(1) == [(0, 0, 0, 2, True)]
+    assert ingest(files_at_once=1) == [(4, 4, 0, 0, False)]
     table = tables.read_table(spark, f"{target}/legacy_ladder_members", schemas.LEGACY_LADDER_MEMBERS)
     assert table.count() == 7 and table.select(*table.columns[:-1]).distinct().count() == 7
     assert {r.loaded_at for r in table.collect()} == {datetime(2026, 3, 8)}
@@ -83,7 +83,7 @@ def test_window_ingest_loads_each_file_once(spark, write_json, tmp_path):
     assert ledger.count() == 4
     # A run that died before noting the files loads them again, without any effect.
     shutil.rmtree(f"{target}/processed_files")
-    assert ingest(10) == [(7, 0, 7)]
+    assert ingest() == [(7, 0, 7, 0, False)]
 
 
 def test_all_flows_share_the_ledger(spark, write_json, tmp_path):
@@ -94,10 +94,10 @@ def test_all_flows_share_the_ledger(spark, write_json, tmp_path):
     bronze, target = str(tmp_path / "bronze"), str(tmp_path / "silver")
     got = {k: rows(v)[0] for k, v in silver.ingest_all(spark, bronze, target, "2026-03-08 00:00:00").items()}
     assert got == {
-        "league_divisions": (3, 3, 0),
-        "modern_ladder_teams": (2, 2, 0),
-        "legacy_ladder_members": (2, 2, 0),
-        "match_history": (3, 3, 0),
+        "league_divisions": (3, 3, 0, 0, False),
+        "modern_ladder_teams": (2, 2, 0, 0, False),
+        "legacy_ladder_members": (2, 2, 0, 0, False),
+        "match_history": (3, 3, 0, 0, False),
     }
 
 
@@ -130,3 +130,25 @@ def test_landed_documents_read_back(spark, tmp_path):
     got = documents.read_landed(spark, root, "league_raw", silver.LEAGUE.document)
     assert rows(got, "file_name") == [("league_raw_5_2026-03-07_0440.json",)]
     assert got.first()["key"]["league_id"] == "5"
+
+
+def test_all_pending_files_are_loaded(spark, write_json, tmp_path):
+    for minute in range(12):
+        write_json(f"legacy_ladders_raw_5_2026-03-07_00{minute:02d}.json", sample.legacy([(minute + 1, "Ann", 3, 1)]))
+    bronze, target = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    assert rows(silver.ingest_window(spark, silver.LEGACY, bronze, target, "2026-03-08 00:00:00")) == [(12, 12, 0, 0, False)]
+
+
+def test_staged_tables_go_when_the_job_ends(spark):
+    with staging(spark):
+        path = stage(spark.range(3), "gone").inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+        assert os.path.isdir(path)
+    assert not os.path.exists(path)
+
+
+def test_old_versions_go(spark, tmp_path):
+    root = str(tmp_path / "state")
+    for n in range(5):
+        tables.write_version(spark.createDataFrame([(1, n, datetime(2026, 1, 1))], STATE.schema), root)
+    assert tables.versions(spark, root) == [3, 4, 5]
+    assert rows(tables.read_version(spark, root, STATE, below=5), "total_games") == [(3,)]
