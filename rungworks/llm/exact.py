@@ -57,10 +57,10 @@ def mark_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id", salts
     """
     results = ("keep_id", "group_size", "kept", "text_sha256")
     base = df.drop(*results)
-    norm, key = free_name(base, "norm", "digest")
+    norm, key, w_norm, w_key = free_name(base, "norm", "digest", "w_norm", "w_digest")
     flat = base.withColumn(norm, collapsed(F.col(text))).withColumn(key, digest(F.col(norm)))
-    winners = groups(base, text, doc_id, salts).select(F.col("digest").alias("w_digest"), F.col("norm").alias("w_norm"), "keep_id", "group_size")
-    met = flat.join(winners, (flat[key] == F.col("w_digest")) & (flat[norm] == F.col("w_norm")), "left")
+    winners = groups(base, text, doc_id, salts).select(F.col("digest").alias(w_key), F.col("norm").alias(w_norm), "keep_id", "group_size")
+    met = flat.join(winners, (F.col(key) == F.col(w_key)) & (F.col(norm) == F.col(w_norm)), "left")
     alone = F.col("group_size").isNull()
     return met.select(
         *base.columns,

@@ -119,8 +119,11 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", doc_id: str =
     ``pieces`` lists ``(first, last, times)``: the words from ``first`` up to, without,
     ``last`` go into the mix ``times`` times.  ``taken`` counts the words, repeats included.
     """
-    base = df.drop(*RESULTS)
-    size, h, s, nr, shard = free_name(base, "_size", "_hash", "_source", "_nr", "_shard")
+    names = df.drop(*RESULTS).columns
+    own = {name: f"own{i}" for i, name in enumerate(names)}  # names that no column made here has
+    base = df.select(*names).toDF(*own.values())
+    text, source, doc_id = own[text], own[source], own[doc_id]
+    size, h, s, nr, shard = "_size", "_hash", "_source", "_nr", "_shard"
     hashed = base.withColumns({size: F.size(words(F.col(text))).cast("long"), h: _seeded(seed, F.col(doc_id)), s: F.col(source)})
     narrow = hashed.select(F.col(size).alias("size"), F.col(h).alias("h"), F.col(s).alias("source"))
     sources = _shards(narrow, block, weights, share, most, seed)
@@ -159,7 +162,7 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", doc_id: str =
         .join(quotas, (F.col(nr) == F.col("q_nr")) & (F.col(shard) == F.col("q_shard")))
         .withColumn("pieces", cut)
         .withColumn("taken", F.aggregate("pieces", F.lit(0).cast("long"), lambda n, p: n + (p["last"] - p["first"]) * p["times"]))
-        .select(*base.columns, F.col(size).alias("size"), "source_size", "target", "taken", "pieces")
+        .select(*[F.col(to).alias(name) for name, to in own.items()], F.col(size).alias("size"), "source_size", "target", "taken", "pieces")
     )
 
 

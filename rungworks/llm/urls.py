@@ -156,10 +156,10 @@ def reputation(pages: DataFrame, outcomes: DataFrame, url: str = "url", page_id:
 def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule] = RULES, url: str = "url", limit: float = LIMIT, **options: object) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``verdict`` and ``bad_rate_bound``."""
     base = pages.drop(*RESULTS)
-    known = reputation(pages, outcomes, url=url, **options).select(F.col("host").alias("r_host"), "bad_rate_bound")  # type: ignore[arg-type]
-    fit, = free_name(base, "_fit")
+    fit, r_host = free_name(base, "_fit", "r_host")
+    known = reputation(pages, outcomes, url=url, **options).select(F.col("host").alias(r_host), "bad_rate_bound")  # type: ignore[arg-type]
     split = base.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
-    met = split.join(known, F.col("host") == F.col("r_host"), "left").withColumn(fit, fitting_rule(F.col("host"), F.col("path"), rules))
+    met = split.join(known, F.col("host") == F.col(r_host), "left").withColumn(fit, fitting_rule(F.col("host"), F.col("path"), rules))
     by_method = F.when(F.col("bad_rate_bound") > limit, "block").otherwise("allow")
     return met.select(*base.columns, "host", "path", F.col(f"{fit}.name").alias("rule"), F.coalesce(F.col(f"{fit}.verdict"), by_method).alias("verdict"), "bad_rate_bound")
 
