@@ -16,7 +16,7 @@ from rungworks.functions.scalars import moment
 from rungworks.operators import changes, contracts, daily, flatten, inference, latest, merge, pairs
 from rungworks.operators.asof import asof_lookup
 from rungworks.operators.hotkeys import heavy_keys
-from rungworks.plans import gold, silver, worklists
+from rungworks.plans import bronze, gold, silver, worklists
 from rungworks.session import scratch_path
 from rungworks.sources import documents, listing, tables
 from rungworks.streaming import ingest as streams
@@ -354,6 +354,22 @@ def changed_players(spark: SparkSession, sf: str) -> DataFrame:
     return worklists.changed_players(docs, known)
 
 
+@query("q19_fetch_twice")
+def fetch_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs of the fetch; the first gets no answer for odd ids, which the second lists again."""
+    root = scratch_path(spark, "fetch-state")
+    docs = flatten.parse_documents(
+        roles.legacy_documents(spark, sf), "payload", schemas.LEGACY_LADDER_DOCUMENT
+    )
+    runs = []
+    for number, fetch in enumerate((lambda df: df.where("character_id % 2 = 0"), lambda df: df), 1):
+        listed = worklists.fetch_changed(docs, root, fetch, AS_OF)
+        runs.append(listed.select(F.lit(number).alias("run"), "character_id", "current_games"))
+    state = tables.read_version(spark, root, schemas.MATCH_HISTORY_CHECKPOINT)
+    after = state.select(F.lit(3).alias("run"), "character_id", F.col("total_games").alias("current_games"))
+    return runs[0].unionByName(runs[1]).unionByName(after)
+
+
 @query("q20_rolling_track")
 def rolling_track(spark: SparkSession, sf: str) -> DataFrame:
     modern = roles.modern_snapshots(spark, sf)
@@ -445,6 +461,13 @@ def asof(spark: SparkSession, sf: str) -> DataFrame:
     return asof_lookup(_asked(events), _values(spark, sf), **_LOOKUP, dense_keys=dense)
 
 
+@query("q25_high_confidence_evidence")
+def high_confidence(spark: SparkSession, sf: str) -> DataFrame:
+    """What games say for sure about the races their players play."""
+    inferred = gold.inferred_games(_games(spark, sf), roles.rating_track(spark, sf), roles.known_races(spark, sf))
+    return inference.high_confidence_evidence(inferred)
+
+
 @query("q26_player_stats_daily")
 def stats_daily(spark: SparkSession, sf: str) -> DataFrame:
     matches = read(spark, sf, "events").select(
@@ -506,6 +529,15 @@ def league_contract(spark: SparkSession, sf: str) -> DataFrame:
     return contracts.check_payloads(docs, "payload", "league").select("o_orderkey", "violation")
 
 
+@query("q29_missing_leagues")
+def missing_leagues(spark: SparkSession, sf: str) -> DataFrame:
+    """Leagues asked for of which no sound document came."""
+    checked = contracts.check_payloads(roles.league_documents(spark, sf), "payload", "league")
+    sound, _ = contracts.split(checked)
+    asked = list(range(40))
+    return bronze.missing_partitions(sound.withColumn("league_id", filenames.league_id("file_name")), "league_id", asked)
+
+
 @query("q29_list_contracts")
 def list_contracts(spark: SparkSession, sf: str) -> DataFrame:
     """The three list contracts over event properties used as payloads."""
@@ -578,6 +610,26 @@ def land_and_flatten(spark: SparkSession, sf: str) -> DataFrame:
     return silver.LEAGUE.transform(landed)
 
 
+@query("q30_load_flows")
+def load_flows(spark: SparkSession, sf: str) -> DataFrame:
+    """All four kinds of document loaded into their tables, twice: rows that came, rows inserted."""
+    root = scratch_path(spark, "load-flows")
+    sources = (
+        (silver.LEAGUE, roles.league_documents(spark, sf)),
+        (silver.MODERN, roles.modern_documents(spark, sf)),
+        (silver.LEGACY, roles.legacy_documents(spark, sf)),
+        (silver.MATCHES, roles.match_documents(spark, sf).drop("ts")),
+    )
+    found = []
+    for flow, texts in sources:
+        docs = flatten.parse_documents(texts, "payload", flow.document)
+        for run in (1, 2):
+            came, inserted = silver.load(flow, docs, root, AS_OF)
+            held = tables.read_table(spark, f"{root}/{flow.table.name}", flow.table).count()
+            found.append((flow.table.name, run, came, inserted, held))
+    return spark.createDataFrame(found, "name STRING, run INT, processed BIGINT, inserted BIGINT, held BIGINT")
+
+
 @query("q30_stream_ingest")
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Match documents landed by day, worked off as a stream and inserted by key."""
@@ -600,9 +652,8 @@ def stream_first_sightings(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_table(spark, f"{root}/out", table)
 
 
-@query("q32_stream_changes")
-def stream_changes(spark: SparkSession, sf: str) -> DataFrame:
-    """Counters of arriving ladder documents against the state; the state afterwards."""
+def _stream_changes(spark: SparkSession, sf: str) -> str:
+    """Counters of arriving ladder documents against the state, over several batches."""
     root = scratch_path(spark, "stream-changes")
     flow = silver.LEGACY
     docs = roles.legacy_documents(spark, sf).withColumns(
@@ -621,9 +672,24 @@ def stream_changes(spark: SparkSession, sf: str) -> DataFrame:
         f"{root}/progress",
         AS_OF,
     ).awaitTermination()
+    return root
+
+
+@query("q32_stream_changes")
+def stream_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The state after the stream."""
+    root = _stream_changes(spark, sf)
     return tables.read_version(spark, f"{root}/state", schemas.MATCH_HISTORY_CHECKPOINT)
 
 
+@query("q32_handed_over")
+def stream_handed_over(spark: SparkSession, sf: str) -> DataFrame:
+    """The changes that the stream's batches handed over."""
+    root = _stream_changes(spark, sf)
+    written = "character_id BIGINT, realm BIGINT, region BIGINT, current_games BIGINT"
+    return spark.read.schema(written).parquet(f"{root}/changed").drop("batch")
+
+
 @query("q33_stream_upsert")
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Arriving inferences merged into a table that already holds earlier ones."""

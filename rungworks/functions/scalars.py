@@ -47,11 +47,6 @@ def or_zero(value: Column) -> Column:
     return F.coalesce(value, F.lit(0))
 
 
-def differs(left: Column, right: Column) -> Column:
-    """Null-safe inequality."""
-    return ~left.eqNullSafe(right)
-
-
 def since_days(ts: Column, as_of: datetime | str, days: int) -> Column:
     """True from ``days`` before the moment ``as_of`` on; folds to one literal bound."""
     return ts >= moment(as_of) - F.make_dt_interval(days=F.lit(days))
