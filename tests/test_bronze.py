@@ -22,7 +22,7 @@ def test_sound_leagues_land_and_broken_ones_are_set_aside(spark, tmp_path):
     sound, _ = bronze.checked_responses(bronze.LEAGUE, responses)
     assert rows(bronze.missing_partitions(sound, "league_id", [3, 4, 5, 6])) == [(3,), (4,), (6,)]
     divisions = silver.LEAGUE.transform(read_landed(spark, root, silver.LEAGUE.kind, silver.LEAGUE.document))
-    assert rows(divisions, "ladder_id") == [(101,), (102,), (201,)]
+    assert rows(divisions, "ladder_id") == [(5501,), (5520,), (5533,), (5547,)]
 
 
 def test_a_run_without_any_sound_payload_raises(spark, tmp_path):
@@ -55,5 +55,5 @@ def test_match_answers_carry_the_request_and_empty_ones_are_skipped(spark, tmp_p
     assert rows(broken, "profile_id", "violation") == [(5, "matches: list missing")]
     got = silver.MATCHES.transform(read_landed(spark, root, silver.MATCHES.kind, silver.MATCHES.document))
     assert rows(got, "profile_id", "region_id", "decision") == [
-        (1234567, 2, "LOSS"), (1234567, 2, "WIN"), (7654321, 2, "LOSS"),
+        (30411, 2, "LOSS"), (30411, 2, "TIE"), (30411, 2, "WIN"), (30977, 2, "LOSS"),
     ]

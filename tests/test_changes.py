@@ -68,7 +68,9 @@ def test_ladder_worklist_of_the_newest_structure(spark, write_json):
         ],
         silver.LEAGUE.document,
     )
-    assert rows(worklists.ladder_worklist(docs)) == [(5, 0, "201"), (5, 1, "101"), (5, 2, "102"), (6, 0, "7")]
+    assert rows(worklists.ladder_worklist(docs)) == [
+        (5, 0, "5520"), (5, 1, "5533"), (5, 2, "5547"), (5, 3, "5501"), (6, 0, "7"),
+    ]
 
 
 @pytest.mark.parametrize("counter", ["x", "12.5"])

@@ -38,7 +38,7 @@ def test_league_contract_names_the_first_violation(spark):
             {**sound, "tier": [sound["tier"][0], {"division": None}]},
             {**sound, "tier": [sound["tier"][0], 7]},
         ],
-        "tier[0].division[1].ladder_id: missing": [_without(sound, "tier", 0, "division", 1, "ladder_id")],
+        "tier[1].division[2].ladder_id: missing": [_without(sound, "tier", 1, "division", 2, "ladder_id")],
     }
     for name in contracts.LEAGUE_KEY_FIELDS:
         cases[f"key.{name}: missing"] = [_without(sound, "key", name)]

@@ -15,7 +15,8 @@ def test_league_gives_one_row_per_division(spark, write_json):
     got = silver.LEAGUE.transform(read_documents(spark, path, schemas.LEAGUE_DOCUMENT))
     assert got.columns == schemas.LEAGUE_DIVISIONS.payload
     assert rows(got, "ladder_id", "tier_id", "tier_min_rating", "division_id", "season_id", "league_id") == [
-        (101, 0, 4500, 10, 70, 5), (102, 0, 4500, 11, 70, 5), (201, 1, 4200, 20, 70, 5),
+        (5501, 6, 2900, 61, 81, 2), (5520, 7, 2750, 71, 81, 2),
+        (5533, 7, 2750, 72, 81, 2), (5547, 7, 2750, 73, 81, 2),
     ]
     assert {r.snapshot_ts for r in got.collect()} == {datetime(2026, 3, 7, 4, 40)}
 
@@ -26,9 +27,9 @@ def test_modern_ladder_gives_one_row_per_member(spark, write_json):
     assert got.columns == schemas.MODERN_LADDER_TEAMS.payload
     columns = ("character_id", "ladder_id", "team_id", "rating", "primary_race", "primary_race_count", "league_id")
     assert rows(got, *columns) == [
-        (1234567, 101, "18446744073709551615", 4600, "Zerg", 7, 4),
-        (7654321, 102, "2", 4300, "Terran", 4, 4),
-        (None, 102, None, None, None, None, 4),
+        (30411, 5501, "17000000000000000001", 3010, "Protoss", 12, 4),
+        (30977, 5520, "44", 2805, "Terran", 9, 4),
+        (None, 5501, None, None, None, None, 4),
     ]
 
 
@@ -37,7 +38,7 @@ def test_legacy_ladder_gives_one_row_per_member(spark, write_json):
     got = silver.LEGACY.transform(read_documents(spark, path, schemas.LEGACY_LADDER_DOCUMENT))
     assert got.columns == schemas.LEGACY_LADDER_MEMBERS.payload
     assert rows(got, "character_id", "display_name", "clan_tag", "league_id", "favorite_race") == [
-        (1234567, "Ann", "HIVE", 6, "ZERG"), (7654321, "Bob", None, 6, "ZERG"),
+        (30411, "Mira", "OAK", 6, "PROTOSS"), (30977, "Odo", None, 6, "PROTOSS"),
     ]
 
 
@@ -46,9 +47,10 @@ def test_match_history_gives_one_row_per_match(spark, write_json):
     got = silver.MATCHES.transform(read_documents(spark, path, schemas.MATCH_HISTORY_DOCUMENT))
     assert sorted(got.columns) == sorted(schemas.MATCH_HISTORY.payload)
     assert rows(got, "profile_id", "match_date", "map", "decision", "snapshot_date") == [
-        (1234567, datetime(2025, 3, 3, 11, 6, 40), "Dusk", "WIN", date(2026, 3, 8)),
-        (1234567, datetime(2025, 3, 3, 12, 6, 40), "Dawn", "LOSS", date(2026, 3, 8)),
-        (7654321, datetime(2025, 3, 3, 11, 6, 40), "Dusk", "LOSS", date(2026, 3, 8)),
+        (30411, datetime(2025, 11, 2, 13, 30, 45), "Salt Flats", "WIN", date(2026, 3, 8)),
+        (30411, datetime(2025, 11, 2, 14, 16, 3), "Old Mill", "LOSS", date(2026, 3, 8)),
+        (30411, datetime(2025, 11, 2, 14, 26, 3), "Salt Flats", "TIE", date(2026, 3, 8)),
+        (30977, datetime(2025, 11, 2, 13, 30, 45), "Salt Flats", "LOSS", date(2026, 3, 8)),
     ]
 
 
@@ -92,7 +94,7 @@ def test_flatten_path_with_position_and_prefixes(spark, write_json):
         "tier_min_rating", "tier_season_id", "tier_index",
     ]
     assert rows(got, "division_ladder_id", "tier_min_rating", "tier_season_id", "tier_index") == [
-        ("101", "4500", "70", 0), ("102", "4500", "70", 0), ("201", "4200", "70", 1),
+        ("5501", "2900", "81", 0), ("5520", "2750", "81", 1), ("5533", "2750", "81", 1), ("5547", "2750", "81", 1),
     ]
 
 
@@ -102,6 +104,6 @@ def test_child_ids_keep_document_order(spark, write_json):
     path = write_json("league_raw_5_2026-03-07_0440.json", document)
     docs = read_documents(spark, path, schemas.LEAGUE_DOCUMENT)
     got = flatten.child_ids(docs, "tier", "division", "ladder_id", "ids")
-    assert got.first()["ids"] == ["101", "102", "201"]
+    assert got.first()["ids"] == ["5501", "5520", "5533", "5547"]
     empty = read_documents(spark, write_json("league_raw_6_2026-03-07_0440.json", {}), schemas.LEAGUE_DOCUMENT)
     assert flatten.child_ids(empty, "tier", "division", "ladder_id", "ids").first()["ids"] == []

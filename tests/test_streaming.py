@@ -32,7 +32,7 @@ def test_each_file_is_worked_off_once_and_replays_change_nothing(spark, write_js
     assert run("p") == 3
     table = tables.read_table(spark, f"{target}/match_history", flow.table)
     once = rows(table)
-    assert len(once) == 3
+    assert len(once) == 4
     # The same files under a lost checkpoint.
     assert run("q") == 6
     assert rows(tables.read_table(spark, f"{target}/match_history", flow.table)) == once
