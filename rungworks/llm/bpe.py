@@ -7,7 +7,7 @@ before every code point comes from a scan by blocks over the functions' numbers.
 and class tell where a slice starts; no regular expression is run.  A slice is
 merged once and remembered.
 
-A task works on one Arrow batch after another and on at most ``CHUNK`` code points of
+A task works on one Arrow batch after another and on at most ``CHUNK`` bytes of
 short texts at a time (a text is never cut, so a longer one is a piece of its own).  Lost
 tasks are simply run again; nothing is kept outside a task but its cache, which is bounded.
 
@@ -20,21 +20,25 @@ has the name of a result is replaced by it.
 from __future__ import annotations
 
 import base64
+import heapq
+import struct
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK = 1_000_000
-CACHED_SLICES = 300_000
+CACHED_SLICES = 150_000
 #: Slices longer than this are merged each time instead of being remembered.
 LONGEST_CACHED = 64
+NONE_MADE = np.int32(2**31 - 1)
 
 # Classes of code points, the last four being refinements by what follows.
 LETTER, NUMBER, OTHER, SPACE, BLANK, CLITIC1, CLITIC2, BIND, LAST, START = range(10)
@@ -168,31 +172,97 @@ def slice_starts(points: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(starts[kinds, states] | is_first[:n])
 
 
+@cache
+def _packed(n: int) -> struct.Struct:
+    return struct.Struct(f"={n}i")
+
+
 class Merger:
     """Token ids of a slice's bytes: the pair of lowest rank is merged until none is known."""
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
-        self._known: dict[bytes, tuple[tuple[int, ...], tuple[int, ...]]] = {}
-
-    def __call__(self, piece: bytes) -> tuple[tuple[int, ...], tuple[int, ...]]:
-        """Ids, and the length of each in bytes."""
-        found = self._known.get(piece)
-        if found is None:
-            found = self._merged(piece)
-            if len(piece) <= LONGEST_CACHED:
-                if len(self._known) >= CACHED_SLICES:
-                    self._known.clear()
-                self._known[piece] = found
+        #: Slices met lately and their ids, as the bytes of 32-bit integers, in two
+        #: generations: the older one is dropped when the younger is full.
+        self.known: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
+        self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
+        self.lengths = np.fromiter(map(len, self.tokens), dtype=np.int32, count=len(self.tokens))
+
+        self._bytes = np.fromiter((ranks[bytes([b])] for b in range(256)), dtype=np.int32, count=256)
+        # Pairs of tokens that make a token, wherever it is cut.
+        pairs = sorted((ranks[t[:k]] << 32 | ranks[t[k:]], r) for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks)
+        self._pairs = np.array([p for p, _ in pairs] or [-1], dtype=np.int64)
+        self._makes = np.array([r for _, r in pairs] or [0], dtype=np.int32)
+
+    def learn(self, pieces: Sequence[bytes]) -> dict[bytes, bytes]:
+        """Ids of slices that ``known`` lacks; those that are not too long are remembered."""
+        found, short = {}, []
+        for piece in set(pieces):
+            got = self._older.get(piece)
+            if got is None and (whole := self.ranks.get(piece)) is not None:
+                got = _packed(1).pack(whole)
+            elif got is None and len(piece) > LONGEST_CACHED:
+                got = np.array(self._merged_long(piece), dtype=np.int32).tobytes()
+            if got is None:
+                short.append(piece)
+            else:
+                found[piece] = got
+        short.sort(key=len)
+        for start in range(0, len(short), 4096):
+            part = short[start : start + 4096]
+            found.update(zip(part, self._merged_many(part), strict=True))
+        if len(self.known) + len(found) > CACHED_SLICES:
+            self._older, self.known = self.known, {}
+        self.known.update((p, c) for p, c in found.items() if len(p) <= LONGEST_CACHED)
         return found
 
-    def _merged(self, piece: bytes) -> tuple[tuple[int, ...], tuple[int, ...]]:
-        whole = self.ranks.get(piece)
-        if whole is not None:
-            return (whole,), (len(piece),)
-        import heapq
-
+    def _made(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of the token that two tokens make, NONE if there is no such token."""
+        key = a.astype(np.int64) << 32 | b
+        at = np.minimum(np.searchsorted(self._pairs, key), len(self._pairs) - 1)
+        return np.where((self._pairs[at] == key) & (a >= 0) & (b >= 0), self._makes[at], NONE_MADE)
+
+    def _merged_many(self, pieces: Sequence[bytes]) -> list[bytes]:
+        """Merges of many short slices side by side: in each round, the lowest pair of each."""
+        lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        columns = np.arange(int(lengths.max()))
+        ids = np.full((len(pieces), len(columns)), -1, dtype=np.int32)
+        ids[columns < lengths[:, None]] = self._bytes[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
+        done = ids.copy()
+        rows = np.arange(len(pieces))
+        made = np.full(ids.shape, NONE_MADE, dtype=np.int32)
+        made[:, :-1] = self._made(ids[:, :-1], ids[:, 1:])
+        while len(rows):
+            at = made.argmin(axis=1)
+            low = made[np.arange(len(rows)), at]
+            more = low < NONE_MADE
+            done[rows[~more]] = ids[~more]
+            rows, ids, made, at, low = rows[more], ids[more], made[more], at[more], low[more]
+            if not len(rows):
+                break
+            each = np.arange(len(rows))
+            ids[each, at] = low
+            following = np.minimum(columns + (columns > at[:, None]), len(columns) - 1)
+            ids, made = np.take_along_axis(ids, following, axis=1), np.take_along_axis(made, following, axis=1)
+            ids[:, -1] = -1  # a merge leaves one place free
+            made[:, -1] = NONE_MADE
+            right = np.minimum(at + 1, len(columns) - 1)
+            made[each, at] = np.where(at < len(columns) - 1, self._made(low, ids[each, right]), NONE_MADE)
+            left = at > 0
+            made[each[left], at[left] - 1] = self._made(ids[each[left], at[left] - 1], low[left])
+        counts = (done >= 0).sum(axis=1)
+        flat = done[done >= 0].tobytes()
+        edges = [0, *np.cumsum(counts * 4).tolist()]
+        return [flat[a:b] for a, b in zip(edges, edges[1:])]  # noqa: B905
+
+    def _merged_long(self, piece: bytes) -> list[int]:
+        """By a heap of pairs, for slices of any length."""
         ranks, n = self.ranks, len(piece)
+        if (whole := ranks.get(piece)) is not None:
+            return [whole]
         after, before, end = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
         heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(piece[i : i + 2])) is not None]
         heapq.heapify(heap)
@@ -212,8 +282,7 @@ class Merger:
                 b = before[i]
                 if (r := ranks.get(piece[b : end[i]])) is not None:
                     heapq.heappush(heap, (r, b, end[i]))
-        spans = [(i, end[i]) for i in range(n) if alive[i]]
-        return tuple(ranks[piece[i:j]] for i, j in spans), tuple(j - i for i, j in spans)
+        return [ranks[piece[i : end[i]]] for i in range(n) if alive[i]]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -231,48 +300,44 @@ def _merger(path: str) -> Merger:
     return _loaded[path]
 
 
-def _chunks(texts: list[str | None]) -> Iterator[list[str]]:
-    """Runs of texts of at most CHUNK code points, or one text."""
-    part: list[str] = []
-    size = 0
-    for text in texts:
-        text = text or ""
-        if part and size + len(text) > CHUNK:
-            yield part
-            part, size = [], 0
-        part.append(text)
-        size += len(text)
-    if part:
-        yield part
+def _chunks(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of texts of at most CHUNK bytes together, or one text."""
+    start = size = 0
+    for i, n in enumerate(lengths.tolist()):
+        if i > start and size + n > CHUNK:
+            yield start, i
+            start, size = i, 0
+        size += n
+    if start < len(lengths):
+        yield start, len(lengths)
 
 
-def encode_texts(texts: list[str], merge: Merger) -> list[tuple[list[int], list[int]]]:
-    """Ids of each text, and the length in bytes of each id."""
+def encode_texts(texts: Sequence[str], merge: Merger) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the texts end to end, and where each text's ids start and end."""
     whole = "".join(texts)
+    lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     if not whole:
-        return [([], [])] * len(texts)
+        return np.empty(0, dtype=np.int32), np.zeros(len(texts) + 1, dtype=np.int64)
     data = whole.encode("utf-8")
-    points = np.frombuffer(whole.encode("utf-32-le"), dtype=np.uint32).astype(np.int32)
-    lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    points = np.frombuffer(whole.encode("utf-32-le"), dtype=np.int32)
     edges = np.concatenate([[0], np.cumsum(lengths)])
     first = slice_starts(points, edges[:-1][lengths > 0])
-    width = 1 + (points > 0x7F).astype(np.int8) + (points > 0x7FF) + (points > 0xFFFF)
-    at = np.concatenate([[0], np.cumsum(width, dtype=np.int64)])
-    starts = at[first].tolist()
-    stops = starts[1:] + [len(data)]
-    of_text = np.searchsorted(first, edges).tolist()
-    known, miss = merge._known, merge
-    out = []
-    for i in range(len(texts)):
-        ids: list[int] = []
-        sizes: list[int] = []
-        for j in range(of_text[i], of_text[i + 1]):
-            piece = data[starts[j] : stops[j]]
-            a, b = known.get(piece) or miss(piece)
-            ids += a
-            sizes += b
-        out.append((ids, sizes))
-    return out
+    if len(data) == len(points):
+        places = first
+    else:
+        width = 1 + (points > 0x7F).astype(np.int8) + (points > 0x7FF) + (points > 0xFFFF)
+        places = (np.cumsum(width, dtype=np.int64) - width)[first]
+    starts = places.tolist()
+    pieces = [data[a:b] for a, b in zip(starts, [*starts[1:], len(data)])]  # noqa: B905
+    coded = list(map(merge.known.get, pieces))
+    missing = [i for i, c in enumerate(coded) if c is None]
+    if missing:
+        found = merge.learn([pieces[i] for i in missing])
+        for i in missing:
+            coded[i] = found[pieces[i]]
+    ids = np.frombuffer(b"".join(coded), dtype=np.int32)
+    tokens = np.concatenate([[0], np.cumsum(np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) >> 2)])
+    return ids, tokens[np.searchsorted(first, edges)]
 
 
 def encode(df: DataFrame, ranks: str, text: str = "text", offsets: bool = True) -> DataFrame:
@@ -288,16 +353,16 @@ def encode(df: DataFrame, ranks: str, text: str = "text", offsets: bool = True)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merge = _merger(ranks)
         for batch in batches:
-            done = 0
-            for part in _chunks(batch.column(place).to_pylist()):
-                coded = encode_texts(part, merge)
-                rows = batch.slice(done, len(part))
-                done += len(part)
-                edges = np.concatenate([[0], np.cumsum([len(ids) for ids, _ in coded])]).astype(np.int32)
-                arrays = [np.concatenate([np.array(ids, dtype=np.int32) for ids, _ in coded])]
+            column = batch.column(place)
+            for a, b in _chunks(pc.coalesce(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)):
+                rows = batch.slice(a, b - a)
+                ids, edges = encode_texts([t or "" for t in rows.column(place).to_pylist()], merge)
+                arrays = [ids]
                 if offsets:
-                    arrays.append(np.concatenate([np.cumsum(sizes, dtype=np.int32) for _, sizes in coded]))
-                lists = [pa.ListArray.from_arrays(pa.array(edges), pa.array(a)) for a in arrays]
+                    ends = np.cumsum(merge.lengths[ids], dtype=np.int64)
+                    before = np.concatenate([[0], ends])[edges[:-1]]
+                    arrays.append((ends - np.repeat(before, np.diff(edges))).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(x)) for x in arrays]
                 yield pa.RecordBatch.from_arrays([*rows.columns, *lists], names=names)
 
     return base.mapInArrow(run, schema)
@@ -310,14 +375,14 @@ def decode(df: DataFrame, ranks: str, ids: str = "ids") -> DataFrame:
     names, place = [*base.columns, "decoded"], base.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_rank = _merger(ranks).ranks
-        tokens = [b""] * (max(by_rank.values()) + 1)
-        for token, rank in by_rank.items():
-            tokens[rank] = token
+        tokens = _merger(ranks).tokens
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                rows = batch.slice(start, 512)
-                texts = [b"".join(map(tokens.__getitem__, found or ())) for found in rows.column(place).to_pylist()]
+            for start in range(0, batch.num_rows, 256):
+                rows = batch.slice(start, 256)
+                column = rows.column(place)
+                pieces = list(map(tokens.__getitem__, column.flatten().to_numpy(zero_copy_only=False).tolist()))
+                edges = np.concatenate([[0], np.cumsum(pc.coalesce(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))]).tolist()
+                texts = [b"".join(pieces[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, type=pa.binary())], names=names)
 
     return base.mapInArrow(run, schema)

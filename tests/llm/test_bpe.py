@@ -28,15 +28,26 @@ def own():
 
 
 def _same(texts, own):
-    for (ids, sizes), text in zip(bpe.encode_texts(texts, bpe.Merger(bpe.read_ranks(RANKS))), texts, strict=True):
-        assert ids == own.encode_ordinary(text), text[:80]
-        assert sum(sizes) == len(text.encode())
+    merge = bpe.Merger(bpe.read_ranks(RANKS))
+    for _ in range(2):  # the second time from the cache
+        ids, edges = bpe.encode_texts(texts, merge)
+        for text, a, b in zip(texts, edges[:-1], edges[1:], strict=True):
+            assert ids[a:b].tolist() == own.encode_ordinary(text), text[:80]
+            assert merge.lengths[ids[a:b]].sum() == len(text.encode())
 
 
 def test_ids_are_those_of_the_library(own):
     _same(TEXTS, own)
 
 
+def test_merges_side_by_side_equal_merges_one_by_one():
+    merge = bpe.Merger(bpe.read_ranks(RANKS))
+    rng = random.Random(9)
+    pieces = ["".join(rng.choice("abehinorst é") for _ in range(rng.randrange(1, 40))).encode() for _ in range(3000)] + [b"a", b"zz", b"\xff\xfe\x00"]
+    for piece, got in zip(pieces, merge._merged_many(pieces), strict=True):
+        assert np.frombuffer(got, dtype=np.int32).tolist() == merge._merged_long(piece)
+
+
 def test_random_texts(own):
     rng = random.Random(3)
     letters = "ab's tlvredm'  \n\t12é漢!. 　\U0001f600²"
