@@ -101,8 +101,8 @@ def sainte_lague(items: DataFrame, group: Sequence[str], item: str, target: str,
     return quotients.withColumn("_rank", rank).groupBy(*group, item).agg((F.first("_base") + won).alias("seats"))
 
 
-def _shards(documents: DataFrame, block: int, weights: Sequence[float], share: float, most: int, seed: int) -> DataFrame:
-    """One row per shard: where it lies in its source's stream, and the blocks it gives."""
+def _sources(documents: DataFrame, block: int, weights: Sequence[float], share: float, most: int, seed: int) -> DataFrame:
+    """One row per source: its number and target, its number of shards, and the blocks it gives."""
     sizes = documents.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("docs"))
     sources = targets(sizes, weights, share, most).withColumn("all", F.lit(0)).withColumn("blocks", F.floor(F.sum("target").over(W.partitionBy()) / block + 0.5))
     dealt = sainte_lague(sources, ["all"], "nr", "target", "blocks").select("nr", F.col("seats").alias("dealt"))
@@ -126,7 +126,7 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", doc_id: str =
     size, h, s, nr, shard = "_size", "_hash", "_source", "_nr", "_shard"
     hashed = base.withColumns({size: F.size(words(F.col(text))).cast("long"), h: _seeded(seed, F.col(doc_id)), s: F.col(source)})
     narrow = hashed.select(F.col(size).alias("size"), F.col(h).alias("h"), F.col(s).alias("source"))
-    sources = _shards(narrow, block, weights, share, most, seed)
+    sources = _sources(narrow, block, weights, share, most, seed)
     place = F.pmod(_number(F.col("h")), F.col("shards")).alias("shard")
 
     with_nr = narrow.alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select("nr", place, "d.size", "quota")
