@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rungworks.llm.common import ship
+
 CHUNK = 1_000_000
 CACHED_SLICES = 150_000
 #: Slices longer than this are merged each time instead of being remembered.
@@ -365,6 +367,7 @@ def encode(df: DataFrame, ranks: str, text: str = "text", offsets: bool = True)
                 lists = [pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(x)) for x in arrays]
                 yield pa.RecordBatch.from_arrays([*rows.columns, *lists], names=names)
 
+    ship(df.sparkSession)
     return base.mapInArrow(run, schema)
 
 
@@ -385,6 +388,7 @@ def decode(df: DataFrame, ranks: str, ids: str = "ids") -> DataFrame:
                 texts = [b"".join(pieces[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, type=pa.binary())], names=names)
 
+    ship(df.sparkSession)
     return base.mapInArrow(run, schema)
 
 

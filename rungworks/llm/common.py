@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+import rungworks
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from rungworks.session import scratch_path
 
 #: White space of all word rules: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -44,3 +49,29 @@ def free_name(df: DataFrame, *wanted: str) -> list[str]:
         taken.add(name.lower())
         names.append(name)
     return names
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python of tasks this package, wherever the driver found it: once per application.
+
+    The package goes as a zip file through the shared folder, from where Spark adds it to
+    the path of every task.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(rungworks.__file__).parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    path = scratch_path(spark, "package") + ".zip"
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
+    out.write(packed.getvalue())
+    out.close()
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rungworks.llm.common import ship
 from rungworks.session import stage
 
 #: Bounds of what is learned from and of what is learned.
@@ -133,6 +134,7 @@ def _counts(sample: DataFrame) -> DataFrame:
                 part = names[i : i + 50_000]
                 yield pa.RecordBatch.from_arrays([pa.array(part), pa.array([n[f] for f in part], pa.int64()), pa.array([k.get(f, 0) for f in part], pa.int64())], names=["feature", "n", "k"])
 
+    ship(sample.sparkSession)
     return sample.select("text", "toxic").mapInArrow(run, "feature string, n bigint, k bigint").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
 
 
@@ -226,5 +228,6 @@ def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 scores = [model.score(t) for t in rows.column(place).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(scores, pa.float64())], names=names)
 
+    ship(df.sparkSession)
     scored = base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField("score", T.DoubleType())]))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
