@@ -28,15 +28,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rungworks.llm import shingles as S
+from rungworks.llm.common import free_name, ship
 from rungworks.llm.components import components
-from rungworks.llm.common import free_name
 from rungworks.session import stage
 
 #: Least similarity in percent, and words of a shingle.
@@ -87,8 +88,33 @@ def features(df: DataFrame, text: str, doc_id: str, bands: int, width: int = WID
     return narrow.mapInArrow(run, "id bigint, n bigint, digest string, sketch array<bigint>, bands array<bigint>")
 
 
+@contextmanager
+def _prefiltered(spark: SparkSession) -> Iterator[None]:
+    """Joins inside filter their large side by Spark's runtime Bloom filter of the small one.
+
+    The filter has 8 MB at most, whatever is in it; where it fills up, more rows are shuffled and
+    the result is the same.
+    """
+    prefix = "spark.sql.optimizer.runtime.bloomFilter."
+    settings = {
+        "enabled": "true", "applicationSideScanSizeThreshold": "0", "creationSideThreshold": "4g",
+        "expectedNumItems": "4000000", "numBits": "67108864",
+    }
+    before = {k: spark.conf.get(prefix + k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(prefix + k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(prefix + k, v)
+
+
 def _sets(df: DataFrame, wanted: DataFrame, text: str, doc_id: str, width: int) -> DataFrame:
-    """``node, shingles`` of the wanted nodes (``node, digest``), made anew from their texts."""
+    """``node, shingles`` of the wanted nodes (``node, digest``), made anew from their texts and staged.
+
+    The texts of other documents are dropped before the shuffle.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,7 +126,10 @@ def _sets(df: DataFrame, wanted: DataFrame, text: str, doc_id: str, width: int)
                 yield pa.RecordBatch.from_arrays([rows["node"].take(pa.array(keep, pa.int64())), sets], names=["node", "shingles"])
 
     texts = df.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text"))
-    return texts.join(wanted, "node").mapInArrow(run, "node bigint, shingles array<bigint>").dropDuplicates(["node"])
+    known = wanted.where(F.col("node") >= -(2**63))  # always so; Spark filters by tables that have a condition
+    found = texts.join(known, "node").mapInArrow(run, "node bigint, shingles array<bigint>")
+    with _prefiltered(df.sparkSession):
+        return stage(found.dropDuplicates(["node"]), "minhash-sets")
 
 
 def _distance(a: str, b: str) -> Column:
@@ -119,7 +148,7 @@ def _star_links(df: DataFrame, nodes: DataFrame, members: DataFrame, text: str,
     sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     near = stage(met.where(sizes & (_distance("s_a", "s_b") <= furthest(percent))).select("a", "b"), "minhash-near")
     wanted = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-    sets = stage(_sets(df, stage(nodes.join(wanted, "node").select("node", "digest"), "minhash-wanted"), text, doc_id, width), "minhash-sets")
+    sets = _sets(df, stage(nodes.join(wanted, "node").select("node", "digest"), "minhash-wanted"), text, doc_id, width)
     full = near.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
     both = F.size(F.array_intersect("x", "y"))
     sure = full.withColumn("both", both).where(100 * F.col("both") >= percent * (F.size("x") + F.size("y") - F.col("both")))
@@ -250,6 +279,7 @@ def mark_near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_i
     ``component_id`` is the smallest id that links lead to; a link is a similarity of the
     shingle sets of ``percent`` or more.
     """
+    ship(df.sparkSession)
     seen = stage(features(df, text, doc_id, bands_for(percent), width), "minhash-features")
     whole = seen.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("node"), F.min_by(F.struct("n", "sketch", "bands"), "id").alias("f"))
     nodes = stage(whole.select("node", "digest", "f.n", "f.sketch", "f.bands"), "minhash-nodes")

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rungworks.llm import components, minhash
 from rungworks.llm import shingles as S
@@ -129,3 +130,21 @@ def test_query_equals_all_pairs(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
     got = QUERIES["op3_minhash_dedup"](spark, DATA).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(plain(rows, 85))
+
+
+def test_only_wanted_texts_are_shuffled(spark, tables):
+    rows = [(i, f"words of text {i} and more", "en", "s", 1) for i in range(500)]
+    df = spark.read.parquet(tables(documents=rows) + "/documents.parquet")
+    digests = [S.set_digest(s) for s in S.shingle_sets([r[1].encode() for r in rows[:7]])]
+    wanted = minhash.stage(spark.createDataFrame(list(zip(range(7), digests, strict=True)), "node long, digest string"), "wanted")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert minhash._sets(df, wanted, "text", "doc_id", 5).count() == 7
+        known = wanted.where(F.col("node") >= -(2**63))
+        with minhash._prefiltered(spark):
+            plan = df.selectExpr("doc_id AS node", "text").join(known, "node")._jdf.queryExecution().optimizedPlan().toString()
+        assert "might_contain" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold") != "0"
