@@ -213,7 +213,8 @@ def _close_pairs(block: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray,
     if not len(a) or not len(b):
         return none, none, none
     component, n, key = (block[c].to_numpy() for c in ("component", "n", "key"))
-    sketches, bands = _matrix(block["sketch"]), _matrix(block["bands"])
+    # Unsigned: of a signed number numpy counts the bits of the absolute value.
+    sketches, bands = _matrix(block["sketch"]).view(np.uint64), _matrix(block["bands"])
     distance = np.zeros((len(a), len(b)), dtype=np.int16)
     for i in range(sketches.shape[1]):
         distance += np.bitwise_count(sketches[a, i][:, None] ^ sketches[b, i][None, :])

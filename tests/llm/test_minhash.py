@@ -148,3 +148,26 @@ def test_only_wanted_texts_are_shuffled(spark, tables):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold") != "0"
+
+
+def test_blocks_find_all_close_pairs():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    base = np.unique(rng.integers(0, 2**63, 200, dtype=np.uint64))
+    sets = [np.unique(np.concatenate([np.delete(base, rng.integers(0, len(base), 8)), rng.integers(0, 2**63, 8, dtype=np.uint64)])) for _ in range(40)]
+    signed = [S.signature(s) for s in sets]
+    bands = [S.band_keys(g, 22) for g in signed]
+    found = set()
+    for key in {int(k) for b in bands for k in b}:
+        own = [i for i, b in enumerate(bands) if key in b.tolist()]
+        rows = [(key, 0, 0, left, i, i, len(sets[i]), S.sketch(signed[i]).tolist(), bands[i].tolist()) for i in own for left in (True, False)]
+        names = ["key", "i", "j", "left", "node", "component", "n", "sketch", "bands"]
+        block = pa.table({n: list(c) for n, c in zip(names, zip(*rows, strict=True), strict=True)})
+        a, b, _ = minhash._close_pairs(block, 85)
+        nodes = block["node"].to_numpy()
+        pairs = [(int(nodes[x]), int(nodes[y])) for x, y in zip(a, b, strict=True)]
+        assert len(pairs) == len(set(pairs)) and not found & set(pairs)  # each in one bucket only
+        found |= set(pairs)
+    linked = {(x, y) for x in range(40) for y in range(40) if x != y and S.linked(sets[x], sets[y], 85)}
+    assert len(linked) > 1000 and linked <= found
