@@ -612,11 +612,15 @@ def land_and_flatten(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("q30_load_flows")
 def load_flows(spark: SparkSession, sf: str) -> DataFrame:
-    """All four kinds of document loaded into their tables, twice: rows that came, rows inserted."""
+    """All four kinds of document loaded into their tables, twice: rows that came, rows inserted.
+
+    Ladder documents are taken as of the first of their month, so that they fill few day folders.
+    """
     root = scratch_path(spark, "load-flows")
+    monthly = F.regexp_replace("file_name", r"(\d{4}-\d{2})-\d{2}_\d{4}", "$1-01_0000")
     sources = (
         (silver.LEAGUE, roles.league_documents(spark, sf)),
-        (silver.MODERN, roles.modern_documents(spark, sf)),
+        (silver.MODERN, roles.modern_documents(spark, sf).withColumn("file_name", monthly)),
         (silver.LEGACY, roles.legacy_documents(spark, sf)),
         (silver.MATCHES, roles.match_documents(spark, sf).drop("ts")),
     )
