@@ -9,7 +9,8 @@ that dies half-way leaves the last good one in place.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from rungworks.schemas import Table
 from rungworks.session import stage
 
 DAY = "day"
+LISTING_TASKS = 32
 
 
 def _folder(spark: SparkSession, path: str):
@@ -32,6 +34,26 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(folder)
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _few_listing_tasks(spark: SparkSession):
+    """Day folders are listed by a few tasks, many folders each, instead of by a task per folder."""
+    return _setting(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", str(LISTING_TASKS))
+
+
+def _spread_days(spark: SparkSession):
+    """Small days are not gathered into one task, which would write their folders one after another."""
+    return _setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false")
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -47,7 +69,8 @@ def read_table(
         return table.empty(spark)
     if not table.time:
         return spark.read.schema(table.schema).parquet(path)
-    stored = spark.read.schema(table.schema.add(DAY, "date")).parquet(path)
+    with _few_listing_tasks(spark):
+        stored = spark.read.schema(table.schema.add(DAY, "date")).parquet(path)
     if days is not None:
         stored = stored.where(F.col(DAY).isin(list(days)) if days else F.lit(False))
     if since is not None:
@@ -75,7 +98,8 @@ def _by_day(df: DataFrame, table: Table) -> DataFrame:
 def append(df: DataFrame, path: str, table: Table) -> None:
     df = df.select(table.schema.names)
     if table.time:
-        _by_day(df, table).write.mode("append").partitionBy(DAY).parquet(path)
+        with _spread_days(df.sparkSession):
+            _by_day(df, table).write.mode("append").partitionBy(DAY).parquet(path)
     else:
         df.write.mode("append").parquet(path)
 
