@@ -18,9 +18,11 @@ is capped.
 
 Defined results: null and empty texts have empty sets and are linked with nothing; texts of
 fewer words than a shingle are one shingle; rows repeated with the same id are one document
-and get the same answer each; an id with two texts joins the classes of both; rows with a
-null id are linked with nothing and kept; ties go to the smallest id; empty tables give
-empty tables; other columns pass through, and a column that has the name of a result is
+and get the same answer each; an id with two texts joins the classes of both in
+``component_id``, while what is kept goes by texts alone: of the texts that links join, that of
+the smallest id stays (of several of that id, the one of the least digest), so no text goes
+because its id holds another one; rows with a null id are linked with nothing and kept; empty
+tables give empty tables; other columns pass through, and a column that has the name of a result is
 replaced by it.
 """
 
@@ -34,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from rungworks.llm import shingles as S
 from rungworks.llm.common import free_name, ship
@@ -110,10 +113,11 @@ def _prefiltered(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(prefix + k, v)
 
 
-def _sets(df: DataFrame, wanted: DataFrame, text: str, doc_id: str, width: int) -> DataFrame:
+def _sets(df: DataFrame, wanted: DataFrame, text: str, doc_id: str, width: int, held_by: str = "node") -> DataFrame:
     """``node, shingles`` of the wanted nodes (``node, digest``), made anew from their texts and staged.
 
-    The texts of other documents are dropped before the shuffle.
+    The column ``held_by`` names a document that holds the text.  The texts of other documents
+    are dropped before the shuffle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,9 +129,9 @@ def _sets(df: DataFrame, wanted: DataFrame, text: str, doc_id: str, width: int)
                 sets = pa.array([found[i].view(np.int64) for i in keep], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([rows["node"].take(pa.array(keep, pa.int64())), sets], names=["node", "shingles"])
 
-    texts = df.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text"))
-    known = wanted.where(F.col("node") >= -(2**63))  # always so; Spark filters by tables that have a condition
-    found = texts.join(known, "node").mapInArrow(run, "node bigint, shingles array<bigint>")
+    texts = df.select(F.col(doc_id).cast("long").alias("holder"), F.col(text).alias("text"))
+    known = wanted.select("node", "digest", F.col(held_by).alias("holder")).where(F.col("holder") >= -(2**63))  # always so; Spark filters by tables that have a condition
+    found = texts.join(known, "holder").select("node", "text", "digest").mapInArrow(run, "node bigint, shingles array<bigint>")
     with _prefiltered(df.sparkSession):
         return stage(found.dropDuplicates(["node"]), "minhash-sets")
 
@@ -148,7 +152,7 @@ def _star_links(df: DataFrame, nodes: DataFrame, members: DataFrame, text: str,
     sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     near = stage(met.where(sizes & (_distance("s_a", "s_b") <= furthest(percent))).select("a", "b"), "minhash-near")
     wanted = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-    sets = _sets(df, stage(nodes.join(wanted, "node").select("node", "digest"), "minhash-wanted"), text, doc_id, width)
+    sets = _sets(df, stage(nodes.join(wanted, "node").select("node", "least", "digest"), "minhash-wanted"), text, doc_id, width, "least")
     full = near.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
     both = F.size(F.array_intersect("x", "y"))
     sure = full.withColumn("both", both).where(100 * F.col("both") >= percent * (F.size("x") + F.size("y") - F.col("both")))
@@ -268,47 +272,86 @@ def _cross_links(df: DataFrame, nodes: DataFrame, rows: DataFrame, text: str, do
     block = ["key", "i", "j"]
     told = rows.join(nodes.select("node", "n", "sketch", "bands"), "node").select(kept)
     some = stage(told.repartition(*block).sortWithinPartitions(*block).mapInArrow(involved, told.schema), "minhash-close")
-    wanted = stage(nodes.join(some.select("node").distinct(), "node").select("node", "digest"), "minhash-wanted")
-    sets = _sets(df, wanted, text, doc_id, width)
+    wanted = stage(nodes.join(some.select("node").distinct(), "node").select("node", "least", "digest"), "minhash-wanted")
+    sets = _sets(df, wanted, text, doc_id, width, "least")
     full = some.join(sets, "node").repartition(*block).sortWithinPartitions(*block)
     return full.mapInArrow(joined, "a bigint, b bigint")
 
 
-def mark_near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row.
+def _joined_by_id(seen: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``node, component`` of the classes that an id with several texts joins to a lesser one."""
+    some = seen.where("n > 0 AND id IS NOT NULL")
+    several = some.groupBy("id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b").select("id")
+    held = some.select("id", "digest").join(stage(several, "minhash-several"), "id").distinct().join(nodes.select("digest", "node"), "digest")
+    placed = stage(held.join(labels, "node", "left").select("id", F.coalesce("component", "node").alias("a")).distinct(), "minhash-by-id")
+    return components(placed.join(placed.groupBy("id").agg(F.min("a").alias("b")), "id").select("a", "b"))
 
-    ``component_id`` is the smallest id that links lead to; a link is a similarity of the
-    shingle sets of ``percent`` or more.
-    """
+
+def _marks(df: DataFrame, text: str, doc_id: str, percent: int, width: int) -> DataFrame:
+    """``id, n, digest, component, kept`` of every row."""
     ship(df.sparkSession)
     seen = stage(features(df, text, doc_id, bands_for(percent), width), "minhash-features")
-    whole = seen.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("node"), F.min_by(F.struct("n", "sketch", "bands"), "id").alias("f"))
-    nodes = stage(whole.select("node", "digest", "f.n", "f.sketch", "f.bands"), "minhash-nodes")
-    classes = nodes.select("digest", "node")
-    nodes_once = nodes.dropDuplicates(["node"])
+    whole = seen.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("least"), F.min_by(F.struct("n", "sketch", "bands"), "id").alias("f"))
+    # A node is a set, numbered in the order of least ids: the least node of a class has its least id.
+    numbered = whole.orderBy("least", "digest").withColumn("node", F.monotonically_increasing_id())
+    nodes = stage(numbered.select("node", "least", "digest", "f.n", "f.sketch", "f.bands"), "minhash-nodes")
     banded = nodes.select("node", F.explode("bands").alias("key"))
     buckets = stage(banded.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").drop("other"), "minhash-buckets")
     members = stage(banded.join(buckets, "key").select("key", "node", "hub"), "minhash-members")
 
-    stars = components(_star_links(df, nodes_once, members, text, doc_id, percent, width))
-    rows = _mixed_rows(nodes_once, members, stars)
-    more = stage(_cross_links(df, nodes_once, rows, text, doc_id, percent, width), "minhash-cross")
+    stars = components(_star_links(df, nodes, members, text, doc_id, percent, width))
+    rows = _mixed_rows(nodes, members, stars)
+    more = stage(_cross_links(df, nodes, rows, text, doc_id, percent, width), "minhash-cross")
     labels = components(stars.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
-    labelled = classes.join(labels, "node", "left").select(F.col("digest"), F.coalesce("component", "node").alias("component"))
-    done = seen.select("id", "n", F.col("digest").alias("d")).join(labelled.withColumnRenamed("digest", "l"), F.col("d") == F.col("l"), "left")
-    label = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return done.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), label.alias("component_id"), F.coalesce(F.col("id") == label, F.lit(True)).alias("kept"))
+    by_id = _joined_by_id(seen, nodes, labels)
+    onward = by_id.select(F.col("node").alias("component"), F.col("component").alias("c"))
+    moved = labels.join(onward, "component", "left").select("node", F.coalesce("c", "component").alias("c"), F.lit(False).alias("first"))
+    moved = moved.unionByName(by_id.select("node", F.col("component").alias("c"), F.lit(True).alias("first")))
+    named = moved.join(nodes.select(F.col("node").alias("c"), F.col("least").alias("top")), "c").select("node", "first", "top")
+    labelled = nodes.select("node", "least", F.col("digest").alias("l")).join(named, "node", "left").select("l", "least", F.coalesce("top", "least").alias("top"), F.coalesce("first", F.lit(True)).alias("first"))
+    done = seen.select("id", "n", "digest").join(labelled, F.col("digest") == F.col("l"), "left")
+    label = F.when(F.col("id").isNotNull(), F.coalesce("top", "id"))
+    return done.select("id", "n", "digest", label.alias("component"), F.coalesce(F.col("first") & (F.col("id") == F.col("least")), F.lit(True)).alias("kept"))
+
+
+def mark_near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row.
+
+    ``component_id`` is the smallest id that links lead to; a link is a similarity of the
+    shingle sets of ``percent`` or more.
+    """
+    marks = _marks(df, text, doc_id, percent, width)
+    return marks.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "kept")
+
+
+def _with_digest(df: DataFrame, text: str, digest: str, width: int) -> DataFrame:
+    """``df`` with the digest of each row's set, null where that is empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                rows = batch.slice(start, 512)
+                found = S.shingle_sets([t or b"" for t in rows[text].cast(pa.binary()).to_pylist()], width)
+                digests = pa.array([S.set_digest(s) if len(s) else None for s in found], pa.string())
+                yield pa.RecordBatch.from_arrays([*rows.columns, digests], names=[*rows.schema.names, digest])
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(digest, StringType())]))
 
 
 def keep_one_of_each(df: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """One document of each near-duplicate class, with the columns it came with."""
-    marks = mark_near_duplicates(df, text, doc_id, percent, width)
-    gone, = free_name(df, "_gone")
-    dropped = stage(marks.where("NOT kept").select(F.col(doc_id).alias(gone)).distinct(), "minhash-dropped")
-    # Of rows repeated with one id, one stays; rows without an id all do.
-    alone = free_name(df, "_n")[0]
-    left = df.join(dropped, df[doc_id] == dropped[gone], "left_anti")
-    repeated = stage(left.groupBy(doc_id).agg(F.count("*").alias(alone)).where((F.col(alone) > 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias(gone)), "minhash-repeated")
-    once = left.join(repeated, F.col(doc_id) == F.col(gone), "left_anti")
-    return once.unionByName(left.join(repeated, F.col(doc_id) == F.col(gone), "left_semi").dropDuplicates([doc_id]))
+    """One document of each near-duplicate class, with the columns it came with.
+
+    Rows go by id and set, so an id may keep one text and lose another.  Of rows repeated with one
+    id and set, one stays (of empty ones, one of each text); rows without an id all do.
+    """
+    one, digest, empty = free_name(df, "_id", "_digest", "_empty")
+    marks = stage(_marks(df, text, doc_id, percent, width).where("id IS NOT NULL").select("id", "digest", "kept"), "minhash-marks")
+    known = marks.groupBy("id").agg(F.count("*").alias("rows"), F.max("kept").alias("any"))
+    special = stage(known.where("rows > 1 OR NOT any").select(F.col("id").alias(one), "any"), "minhash-special")
+    once = df.join(special, F.col(doc_id) == F.col(one), "left_anti")
+    repeated = _with_digest(df.join(special.where("any"), F.col(doc_id) == F.col(one), "left_semi"), text, digest, width)
+    stay = marks.where("kept").select(F.col("id").alias(one), F.col("digest").alias(empty)).distinct()
+    left = repeated.join(stay, (F.col(doc_id) == F.col(one)) & F.col(digest).eqNullSafe(F.col(empty)), "left_semi")
+    several = left.withColumn(empty, F.when(F.col(digest).isNull(), F.col(text))).dropDuplicates([doc_id, digest, empty])
+    return once.unionByName(several.select(*df.columns))
