@@ -1,20 +1,22 @@
 """Personal data: patterns, and the terms that give protected entities away.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers.  Each value found is
-a protected entity.  A term that stands near an entity time and again reveals it even
+a protected entity.  A term that stands in a document with an entity time and again reveals it even
 where the entity itself is masked.  How much, the corpus says: with N documents, of which
-n_c hold the entity, n_t the term and n_ct the term near the entity, the term's
+n_c hold the entity, n_t the term and n_ct both, the term's
 disclosure is the pointwise mutual information over the entity's own information,
 
     ln(N n_ct / (n_c n_t)) / ln(N / n_c),
 
 which is 1 if the term never occurs without the entity.  Terms above a threshold are
 generalised, or removed if they give away (nearly) everything.  A pair counts only if it was
-seen in some number of different contexts, so that copies of one text reveal nothing.
+seen in some number of different texts (spaces and case aside), so that copies of one text
+reveal nothing.
 
-Everything is built-in column code.  Counts cover all documents.  Terms meet entities only
-within ``REACH`` characters, through slices of that length, so that the pairs formed
-grow with the text and not with its square; counts are combined before they are shuffled.
+Everything is built-in column code.  Counts cover all documents, and a term meets the
+entities of its whole document.  Since n_ct is n_c at most, a term can only reach the threshold
+with an entity if n_t <= n_c (N / n_c)^(1 - threshold); others are dropped before pairs are
+formed, exactly.
 
 Defined results: null texts are empty and have no spans; places are code points, ends
 exclusive; matches of one kind do not overlap, those of different kinds may, and
@@ -43,9 +45,8 @@ _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: A word that is no part of an address or a number.
 _TERM = r"(?<![\p{L}\p{N}@._%+-])\p{L}{2,}+(?![\p{L}\p{N}@_%+]|[.-][\p{L}\p{N}@])"
 
-#: Characters between a term and an entity, contexts a pair must be seen in, and the
-#: disclosures from which a term is generalised or removed.
-REACH = 200
+#: Different texts a pair must be seen in, and the disclosures from which a term is
+#: generalised or removed.
 MIN_CONTEXTS = 3
 GENERALISE = 0.8
 REMOVE = 0.95
@@ -148,29 +149,28 @@ def _row_key(doc_id: str, text: str) -> tuple[Column, Column]:
     return F.xxhash64(doc_id, text), F.xxhash64(F.lit(1), text, doc_id)
 
 
-def disclosing_terms(df: DataFrame, held: DataFrame, text: str = "text", reach: int = REACH, min_contexts: int = MIN_CONTEXTS, threshold: float = GENERALISE) -> DataFrame:
+def disclosing_terms(df: DataFrame, held: DataFrame, text: str = "text", min_contexts: int = MIN_CONTEXTS, threshold: float = GENERALISE) -> DataFrame:
     """``entity, term, disclosure`` of the pairs above the threshold.
 
     ``held`` has a row per document with entities: ``x, y`` (its key), ``text``, ``spans``.
     """
-    entities = held.select("x", "y", "text", F.explode("spans").alias("s")).select(
-        "x", "y", F.col("s.entity").alias("entity"), F.col("s.start").alias("at"),
-        F.xxhash64(F.substring("text", F.greatest(F.col("s.start") - 60, F.lit(0)) + 1, F.least(F.col("s.start"), F.lit(60)))).alias("context"),
-    )
-    slice_of = lambda c: F.floor(c / reach)
-    near = entities.withColumn("slice", F.explode(F.array(*[slice_of(F.col("at")) + d for d in (-1, 0, 1)])))
-    terms = _terms(held).select("x", "y", "term", "start", slice_of(F.col("start")).alias("slice"))
-    pairs = terms.join(near, ["x", "y", "slice"]).where(F.abs(F.col("start") - F.col("at")) <= reach)
-    by_context = pairs.groupBy("entity", "term", "context").agg(F.lit(1)).groupBy("entity", "term").agg(F.count("*").alias("contexts")).where(F.col("contexts") >= min_contexts)
-    together = pairs.groupBy("entity", "term", "x", "y").agg(F.lit(1)).groupBy("entity", "term").agg(F.count("*").alias("n_ct"))
-    candidates = by_context.join(together, ["entity", "term"]).select("entity", "term", "n_ct")
-    with_entity = entities.groupBy("entity", "x", "y").agg(F.lit(1)).groupBy("entity").agg(F.count("*").alias("n_c"))
-    distinct = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(_TERM), F.lit(0)))
-    with_term = df.select(F.explode(distinct).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     n = F.lit(float(df.count()))
-    told = candidates.join(with_entity, "entity").where(F.col("n_c") < n).join(with_term, "term")
+    entities = held.select("x", "y", F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity")).distinct()
+    with_entity = entities.groupBy("entity").agg(F.count("*").alias("n_c")).where(F.col("n_c") < n)
+    # n_ct is n_c at most, so a term of more documents than this cannot reach the threshold.
+    most = F.col("n_c") * F.pow(n / F.col("n_c"), F.lit(1 - threshold)) * (1 + 1e-9)
+    of_document = stage(entities.join(with_entity.withColumn("most", most), "entity"), "pii-entities")
+    limits = of_document.groupBy("x", "y").agg(F.max("most").alias("limit"))
+    distinct = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(F.col(c)), F.lit(_TERM), F.lit(0)))
+    with_term = df.select(F.explode(distinct(text)).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    words = held.select("x", "y", F.xxhash64(F.lower(F.regexp_replace(F.trim("text"), r"\s+", " "))).alias("content"), F.explode(distinct("text")).alias("term"))
+    rare = with_term.where(F.col("n_t") >= min_contexts)  # as many documents as a pair needs
+    terms = words.join(rare, "term").join(limits, ["x", "y"]).where(F.col("n_t") <= F.col("limit"))
+    pairs = terms.dropDuplicates(["x", "y", "term"]).drop("limit").join(of_document, ["x", "y"]).where(F.col("n_t") <= F.col("most"))
+    by_content = pairs.groupBy("entity", "term", "content").agg(F.count("*").alias("k"), F.first("n_c").alias("n_c"), F.first("n_t").alias("n_t"))
+    together = by_content.groupBy("entity", "term").agg(F.count("*").alias("contents"), F.sum("k").alias("n_ct"), F.first("n_c").alias("n_c"), F.first("n_t").alias("n_t"))
     disclosure = F.log(n * F.col("n_ct") / (F.col("n_c") * F.col("n_t"))) / F.log(n / F.col("n_c"))
-    return told.select("entity", "term", disclosure.alias("disclosure")).where(F.col("disclosure") >= threshold)
+    return together.where(F.col("contents") >= min_contexts).select("entity", "term", disclosure.alias("disclosure")).where(F.col("disclosure") >= threshold)
 
 
 def _terms(held: DataFrame) -> DataFrame:
