@@ -23,3 +23,13 @@ def test_a_term_a_page_away_discloses(spark):
     rows += [(300 + i, f"Zorvath {_filler(i)} write to z.k@corp.example.com {_filler(i + 9, 3)}") for i in range(4)]
     marked = _marked(spark, rows)
     assert {(300 + i, "Zorvath") for i in range(4)} <= marked and not any(w == "nothing" for _, w in marked)
+
+
+def test_a_constant_context_counts_each_document_and_copies_once(spark):
+    rows = [_plain(i) for i in range(150)]
+    rows += [(300 + i, f"z.k@corp.example.com Zorvath {_filler(i)}") for i in range(4)]
+    copy = f"b@corp.example.com Brimmel {_filler(3)}"
+    rows += [(400 + i, copy if i % 2 else copy.upper().replace(" ", "  ")) for i in range(6)]
+    rows += [(300, rows[150][1])] * 3  # repeated rows are one document
+    marked = _marked(spark, rows)
+    assert {(301, "Zorvath"), (303, "Zorvath")} <= marked and not any(w.lower() == "brimmel" for _, w in marked)
