@@ -709,14 +709,9 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("q34_stream_lookup")
 def stream_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """Arriving events, each looked up among the events of the 90 minutes before."""
+    """Arriving events, each looked up among the events of the 90 minutes before, which arrive too."""
     root = scratch_path(spark, "stream-lookup")
-    streams.lookup_batches(
-        _asked(_stream(spark, sf, "events")),
-        lambda session: _values(session, sf),
-        _collector(f"{root}/out"),
-        f"{root}/progress",
-        **_LOOKUP,
-    ).awaitTermination()
-    written = "user_id BIGINT, ts TIMESTAMP_NTZ, value DOUBLE, evidence_ts TIMESTAMP_NTZ"
-    return spark.read.schema(written).parquet(f"{root}/out").drop("batch")
+    values = _stream(spark, sf, "events").select("user_id", F.col("ts").alias("seen"), "value")
+    running, found = streams.lookup_streams(_asked(_stream(spark, sf, "events")), values, root, f"{root}/progress", **_LOOKUP)
+    running.awaitTermination()
+    return tables.read_table(spark, f"{root}/{found.name}", found)

@@ -18,7 +18,7 @@ from rungworks import schemas
 from rungworks.operators.asof import asof_lookup
 from rungworks.operators.changes import advance_state, changed_keys
 from rungworks.operators.hotkeys import heavy_keys
-from rungworks.operators.merge import rows_to_insert, upsert
+from rungworks.operators.merge import INCOMING, rows_to_insert, upsert
 from rungworks.plans.silver import Flow, load
 from rungworks.session import stage, staging
 from rungworks.sources import tables
@@ -142,7 +142,8 @@ def lookup_batches(
 ) -> StreamingQuery:
     """For each arriving batch, the latest evidence within the tolerance.
 
-    Evidence is read anew per batch and only from the batch's time range.
+    Evidence is read anew per batch and only from the batch's time range; evidence that comes
+    after its probe's batch is not seen (see :func:`lookup_streams`).
     """
 
     def each(batch: DataFrame, number: int) -> None:
@@ -164,3 +165,76 @@ def lookup_batches(
         handle(found, number)
 
     return run(stream, each, checkpoint)
+
+
+def lookup_streams(
+    probes: DataFrame,
+    evidence: DataFrame,
+    root: str,
+    checkpoint: str,
+    *,
+    key: str,
+    probe_ts: str,
+    evidence_ts: str,
+    value: str,
+    tolerance: timedelta,
+) -> tuple[StreamingQuery, schemas.Table]:
+    """The latest evidence within the tolerance, where probes and evidence both arrive.
+
+    Both are kept below ``root`` by day.  A batch looks up its own probes, and again those kept
+    that its evidence can reach, in all evidence so far; ``root/found`` (the table returned
+    beside the query) holds the answers.  So late evidence corrects an answer however late it
+    comes, and a replayed batch changes nothing.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in [*evidence.schema.fields, *probes.schema.fields]}
+    ddl = lambda *names: ", ".join(f"`{n}` {kinds[n]}" for n in names)
+
+    def by_day(name: str, columns: tuple[str, ...], time: str, unique: tuple[str, ...]) -> schemas.Table:
+        return schemas.Table(name, ddl(*columns), unique, unique, time=time)
+
+    kinds["evidence_ts"] = kinds[evidence_ts]
+    asked = by_day("asked", (key, probe_ts), probe_ts, (key, probe_ts))
+    known = by_day("known", (key, evidence_ts, value), evidence_ts, (key, evidence_ts, value))
+    found = by_day("found", (key, probe_ts, value, "evidence_ts"), probe_ts, (key, probe_ts))
+    arriving = probes.select(key, F.col(probe_ts).alias("_at"), F.lit(None).cast(kinds[value]).alias("_value"), F.lit(True).alias("_asks")).unionByName(
+        evidence.select(key, F.col(evidence_ts).alias("_at"), F.col(value).alias("_value"), F.lit(False).alias("_asks"))
+    )
+    path = lambda table: f"{root}/{table.name}"
+
+    def keep(rows: DataFrame, table: schemas.Table) -> DataFrame:
+        days = tables.touched_days(rows, table.time)
+        held = tables.read_table(rows.sparkSession, path(table), table, days)
+        tables.append(stage(rows_to_insert(held, rows, table.key), table.name), path(table), table)
+        return rows
+
+    def within(session: SparkSession, table: schemas.Table, days: set) -> DataFrame:
+        return tables.read_table(session, path(table), table, sorted(days))
+
+    def around(rows: DataFrame, time: str, earlier: timedelta, later: timedelta) -> set:
+        """Days from ``earlier`` before to ``later`` after any day of the rows."""
+        days = tables.touched_days(rows, time)
+        return {d + timedelta(days=n) for d in days for n in range(-_days(earlier), _days(later) + 1)}
+
+    def each(batch: DataFrame, _: int) -> None:
+        session = batch.sparkSession
+        with staging(session):
+            came = stage(batch.where(F.col(key).isNotNull() & F.col("_at").isNotNull()), "lookup-came")
+            asks = keep(came.where("_asks").select(key, F.col("_at").alias(probe_ts)), asked)
+            news = came.where("NOT _asks AND _value IS NOT NULL")
+            news = keep(news.select(key, F.col("_at").alias(evidence_ts), F.col("_value").alias(value)), known)
+            reached = within(session, asked, around(news, evidence_ts, timedelta(0), tolerance))
+            again = reached.join(news.select(key).distinct(), key, "left_semi")
+            todo = stage(asks.unionByName(again).distinct(), "lookup-todo")
+            near = within(session, known, around(todo, probe_ts, tolerance, timedelta(0)))
+            names = {"key": key, "probe_ts": probe_ts, "evidence_ts": evidence_ts, "value": value, "tolerance": tolerance}
+            answers = stage(asof_lookup(todo, near, **names, dense_keys=heavy_keys(near, key)), "lookup-answers")
+            days = tables.touched_days(answers, probe_ts)
+            held = tables.read_table(session, path(found), found, days)
+            tables.replace_days(upsert(held, answers, found.key, {value: INCOMING, "evidence_ts": INCOMING}), path(found), found)
+
+    return run(arriving, each, checkpoint), found
+
+
+def _days(span: timedelta) -> int:
+    """Days that a span can reach into besides that of its start."""
+    return -(-span // timedelta(days=1))
