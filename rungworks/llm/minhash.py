@@ -13,7 +13,7 @@
    join components leave a task, never the pairs.
 
 The bands are as many as leave a pair at the threshold undetected with probability 1e-7 at
-most; the sketch passes pairs with its expected distance and 5.2 deviations.  No bucket
+most; so does the sketch, whose limit comes from the exact distribution.  No bucket
 is capped.
 
 Defined results: null and empty texts have empty sets and are linked with nothing; texts of
@@ -31,6 +31,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -59,14 +60,19 @@ def bands_for(percent: int) -> int:
     return min(S.COORDINATES // S.ROWS, math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** S.ROWS)))
 
 
+@cache
 def furthest(percent: int) -> int:
-    """Bits in which the sketches of a pair at the threshold may differ.
+    """Bits in which the sketches of a pair at the threshold may differ: more do with probability MISS at most.
 
     A coordinate that differs, which it does with probability 1 - percent, changes each of its
-    two bits with probability a half.
+    two bits with probability a half.  The bits of all coordinates are counted exactly.
     """
     other = 1 - percent / 100
-    return math.ceil(S.COORDINATES * other + 5.2 * math.sqrt(S.COORDINATES * (1.5 * other - other**2)))
+    bits = np.ones(1)
+    for _ in range(S.COORDINATES):
+        bits = np.convolve(bits, [1 - 0.75 * other, 0.5 * other, 0.25 * other])
+    beyond = np.append(np.cumsum(bits[::-1])[::-1][1:], 0.0)  # probability of more than so many
+    return int(np.argmax(beyond <= MISS))
 
 
 def features(df: DataFrame, text: str, doc_id: str, bands: int, width: int = WIDTH) -> DataFrame:
