@@ -2,7 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from tests.helpers import rows
 
 from rungworks.operators import hotkeys
 from rungworks.operators.asof import asof_lookup

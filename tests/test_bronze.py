@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import rows
+from tests.helpers import rows
 
 import documents as sample
 from rungworks.plans import bronze, silver

@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from tests.helpers import rows
 
 import documents as sample
 from rungworks import schemas

@@ -2,7 +2,7 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from tests.helpers import rows
 from pyspark.sql import functions as F
 
 import documents as sample

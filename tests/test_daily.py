@@ -1,6 +1,6 @@
 from datetime import date, datetime
 
-from conftest import rows
+from tests.helpers import rows
 
 from rungworks.operators import daily
 from rungworks.plans import gold

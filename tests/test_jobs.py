@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from conftest import rows
+from tests.helpers import rows
 
 import documents as sample
 from rungworks import schemas

@@ -2,7 +2,7 @@
 
 from datetime import datetime, timedelta
 
-from conftest import rows
+from tests.helpers import rows
 
 from rungworks.sources import tables
 from rungworks.streaming import ingest as streams

@@ -1,6 +1,6 @@
 from datetime import datetime, timedelta
 
-from conftest import rows
+from tests.helpers import rows
 from pyspark.sql import functions as F
 
 from rungworks import schemas

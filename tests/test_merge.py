@@ -1,7 +1,7 @@
 import random
 from datetime import datetime
 
-from conftest import rows
+from tests.helpers import rows
 from pyspark.sql import functions as F
 
 from rungworks import schemas

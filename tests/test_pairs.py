@@ -2,7 +2,7 @@ import random
 from datetime import date, datetime, timedelta
 
 import pytest
-from conftest import rows
+from tests.helpers import rows
 from pyspark.sql import functions as F
 
 from rungworks.operators import inference, pairs

@@ -1,6 +1,6 @@
 from datetime import datetime, timedelta
 
-from conftest import rows
+from tests.helpers import rows
 
 import documents as sample
 from rungworks import schemas

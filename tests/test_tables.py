@@ -3,7 +3,7 @@ import shutil
 from datetime import date, datetime
 
 import pytest
-from conftest import rows
+from tests.helpers import rows
 
 import documents as sample
 from rungworks import schemas
