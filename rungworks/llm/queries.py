@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rungworks.llm import bpe, exact, lines, minhash, mixing, pii, quality, toxicity, urls, warc
+from rungworks.llm import bpe, conversations, exact, lines, minhash, mixing, mtree, pii, quality, toxicity, urls, variants, warc
 from rungworks.llm.sql import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -77,6 +77,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (F.col("kept") & ~failed).alias("kept"))
 
 
+def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mtree.top_products(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=50, k=5)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.summary(table, conversations.damaged(table))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = variants.runs(_documents(spark, sf_dir).select("doc_id", "text"))
+    return variants.group_variants(variants.vocabulary(variants.misspell(runs))).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -90,5 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_warc,
         op10_quality_rules,
+        op11_exact_topk,
+        op12_conversation_repair,
+        op13_spelling_variants,
     )
 }

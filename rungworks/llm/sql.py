@@ -174,6 +174,101 @@ SELECT page_id, strlen(payload) AS payload_bytes, digest AS payload_digest,
 FROM kinds JOIN letters USING (r)
 """
 
+_CRC_TABLE = """crc(t) AS (
+    SELECT list_transform(range(0, 256), lambda b: list_reduce(list_prepend(b, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))
+)"""
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of a string's UTF-8 bytes, with the table ``crc``."""
+    each = f"list_transform(regexp_extract_all(hex({text}), '..'), lambda x: ('0x' || x)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {each}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+OP11 = """
+WITH sound AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, q.r AS q, x.vec_id, x.r, list_inner_product(q.v, x.v)::BIGINT AS score FROM sound q JOIN sound x ON q.r <> x.r WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id ASC NULLS LAST, r) AS rank FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+OP12 = rf"""
+WITH RECURSIVE {_CRC_TABLE}, told AS (
+    SELECT row_number() OVER () AS r, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS conv, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations
+), hit AS (
+    SELECT told.*, {_crc32("k")} % 20 AS h FROM told, crc
+), damaged AS (
+    SELECT r, conv, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+        CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE h WHEN 3 THEN 2 ELSE 1 END)) AS again FROM hit WHERE h <> 0
+), placed AS (
+    SELECT *, role[1:1] AS initial, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, md5(text), r, again) AS i FROM damaged
+), looked AS (
+    SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 AS again_said,
+        NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut, lag(initial) OVER (PARTITION BY conv ORDER BY i) || initial AS pair FROM placed
+), rows AS (
+    SELECT *, NOT blank AND again_said AS duplicate, NOT blank AND NOT again_said AND cut AS truncated FROM looked
+), closure(p, q, cost, audit, put) AS (
+    VALUES (0, 0, 0, '', []), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []), (0, 2, 3, 'I', ['user:']), (1, 2, 3, 'I', ['user:']), (2, 3, 3, 'I', ['assistant:']), (3, 2, 3, 'I', ['user:']),
+        (0, 3, 6, 'II', ['user:', 'assistant:']), (1, 3, 6, 'II', ['user:', 'assistant:'])
+), edits(p, q, initial, letter, price, role) AS (
+    VALUES (0, 0, NULL, 'D', 4, NULL), (1, 1, NULL, 'D', 4, NULL), (2, 2, NULL, 'D', 4, NULL), (3, 3, NULL, 'D', 4, NULL),
+        (0, 1, 's', 'K', 0, NULL), (0, 2, 'u', 'K', 0, NULL), (1, 2, 'u', 'K', 0, NULL), (2, 3, 'a', 'K', 0, NULL), (3, 2, 'u', 'K', 0, NULL),
+        (0, 2, NULL, 'R', 3, 'user'), (1, 2, NULL, 'R', 3, 'user'), (2, 3, NULL, 'R', 3, 'assistant'), (3, 2, NULL, 'R', 3, 'user')
+), convs AS (
+    SELECT DISTINCT conv, conv_id FROM told
+), walk AS (
+    SELECT conv, 0::BIGINT AS i, q AS p, cost::BIGINT AS cost, audit, put FROM convs, closure WHERE closure.p = 0
+    UNION ALL
+    SELECT conv, i, q, best.cost, best.audit, best.put FROM (
+        SELECT w.conv, n.i, c.q, min({{'cost': w.cost + price + c.cost + CASE WHEN truncated AND letter <> 'D' THEN 3 ELSE 0 END, 'audit': w.audit || letter || c.audit,
+            'put': list_concat(list_concat(w.put, CASE WHEN letter = 'D' THEN [] ELSE [coalesce(e.role, n.role) || ':' || n.text] END), c.put)}}) AS best
+        FROM walk w JOIN rows n ON n.conv = w.conv AND n.i = w.i + 1
+            JOIN edits e ON e.p = w.p AND (e.initial IS NULL OR e.initial = n.initial) AND (letter = 'D' OR NOT (blank OR duplicate)) JOIN closure c ON c.p = e.q GROUP BY ALL
+    )
+), counted AS (
+    SELECT conv, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+        count(*) FILTER (truncated) AS truncated, count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM rows GROUP BY conv
+), best AS (
+    SELECT conv, min({{'cost': cost, 'audit': audit, 'put': put}}) AS b FROM walk LEFT JOIN counted USING (conv) WHERE i = coalesce(n, 0) AND p IN (0, 3) GROUP BY conv
+)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+    coalesce(illegal, 0)::BIGINT AS illegal, b.cost AS cost, b.audit AS audit, sha256(array_to_string(b.put, chr(10))) AS repaired_sha256
+FROM convs JOIN best USING (conv) LEFT JOIN counted USING (conv)
+"""
+
+OP13 = rf"""
+WITH RECURSIVE {_CRC_TABLE}, runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+), counted AS (
+    SELECT id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY ALL
+), hashed AS (
+    SELECT run, n, {_crc32("(id || ':' || run)")} AS h FROM counted, crc
+), words AS (
+    SELECT CASE WHEN h % 199 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, sum(n)::BIGINT AS n FROM hashed GROUP BY word HAVING length(word) >= 6 AND sum(n) >= 5
+), shorter AS (
+    SELECT word, i, word[1:i] || word[i + 2:] AS rest FROM (SELECT word, unnest(range(0, length(word))) AS i FROM words)
+), near AS (
+    SELECT word, rest AS other FROM shorter SEMI JOIN words w ON w.word = rest
+    UNION SELECT rest, word FROM shorter SEMI JOIN words w ON w.word = rest
+    UNION SELECT a.word, b.word FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+), told AS (
+    SELECT a.word, a.n, count(o.word) AS n_near, min({{'less': -o.n, 'form': o.word}}) FILTER (o.word IS NOT NULL) AS best FROM words a LEFT JOIN near ON near.word = a.word LEFT JOIN words o ON o.word = near.other GROUP BY a.word, a.n
+), formed AS (
+    SELECT word, n, n_near, CASE WHEN -best.less >= 5 * n THEN best.form END AS form, CASE WHEN -best.less >= 5 * n THEN -best.less END AS form_n FROM told
+), chain AS (
+    SELECT word, word AS here FROM formed UNION ALL SELECT chain.word, form FROM chain JOIN formed f ON f.word = chain.here WHERE form IS NOT NULL
+), ends AS (
+    SELECT chain.word, here AS root FROM chain JOIN formed f ON f.word = chain.here WHERE form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
+
 ORACLE = {
     "op9_warc": OP9,
     "op5_line_dedup": OP5,
@@ -181,4 +276,7 @@ ORACLE = {
     "op1_source_mixing": OP1,
     "op8_exact_dedup": OP8,
     "op10_quality_rules": OP10,
+    "op11_exact_topk": OP11,
+    "op12_conversation_repair": OP12,
+    "op13_spelling_variants": OP13,
 }

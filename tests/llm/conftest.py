@@ -33,6 +33,8 @@ def tables(tmp_path):
     kinds = {
         "documents": [("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64())],
         "pages": [("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string())],
+        "embeddings": [("vec_id", pa.int64()), ("embedding", pa.list_(pa.float32())), ("label", pa.int32())],
+        "conversations": [("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())],
         "labels": [("doc_id", pa.int64()), ("quality", pa.int32()), ("toxic", pa.int32())],
     }
 

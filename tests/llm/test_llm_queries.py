@@ -31,6 +31,9 @@ ODD = [
     (16, "\n".join(["same line here"] * 5) + "\n" + " ".join(f"v{i}" for i in range(90)), "en", "s1", 1),
     (17, " ".join(f"w{i}$$" for i in range(60)), "en", "s1", 1),
     (18, " ".join(f"WORD{i}!!" for i in range(60)), "en", "s1", 1),
+    (19, "Colours colours COLOURS coulours colors " * 9 + "colourss " * 80 + "étérnel Étérnel éternel " * 40, "fr", "s1", 1),
+    (None, "colours " * 900 + "z" * 3000 + " " + "colourful" * 400, "en", None, 1),
+    *[(20 + i, "z" * 3000 + " " + "z" * 3001, "en", "s2", 1) for i in range(6)],
 ]
 ODD_PAGES = [
     (1, "http://a.example.org/es/1?x#y", "<p>same</p>"),
@@ -46,16 +49,45 @@ ODD_PAGES = [
     (9, "://", "é漢字\U0001f600"),
     (10, "http://1.2.3.4/x", "q"),
 ]
+ODD_VECTORS = [
+    (0, [0.5, 0.25, -1.0], 1),
+    (0, [0.5, 0.25, -1.0], 1),
+    (50, [0.0, 0.0, 0.0], 1),
+    (51, [0.5, None, 1.0], 1),
+    (52, None, 1),
+    (53, [0.5, float("nan"), 1.0], 1),
+    (54, [float("inf"), 0.0, 1.0], 1),
+    (None, [0.5, 0.25, -1.0], None),
+    (100, [1000.0, -1000.0, 3.999], 2),
+    (150, [-1e-9, 1e-9, 0.0], 2),
+    (151, [0.5, 0.25, -1.0], 2),
+]
+ODD_TURNS = [
+    (1, 0, "system", "Be kind."),
+    (1, 1, "user", "What?"),
+    (1, 2, "assistant", "That."),
+    (1, 2, "assistant", "That."),
+    (2, None, "user", "No turn."),
+    (2, None, None, None),
+    (2, 5, "assistant", "x" * 100_000),
+    (2, 9, "tool", "Tool. \t\n"),
+    (None, 0, "user", "No id!"),
+    (None, 1, "user", "No id!"),
+    (3, 7, "", "Role is empty."),
+    (4, 0, "assistant", " \n"),
+    *[(5, t, ("user", "assistant", "system")[t * t % 3], f"Turn {t}{'.' if t % 3 else ''}") for t in range(60)],
+    *[(c, t, ("user", "assistant")[t % 2], f"Turn {t}.") for c in range(6, 20) for t in range(c % 4)],
+]
 ODD_LABELS = [(1, 0, 0), (2, 1, 0), (3, None, 1), (None, 1, 1), (6, 0, 0), (6, 0, 0), (8, 0, 1), (9, 1, None)]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_odd_rows_match_the_sql(spark, tables, name):
-    folder = tables(documents=ODD, pages=ODD_PAGES, labels=ODD_LABELS)
+    folder = tables(documents=ODD, pages=ODD_PAGES, labels=ODD_LABELS, embeddings=ODD_VECTORS, conversations=ODD_TURNS)
     assert same(QUERIES[name](spark, folder), ORACLE[name], folder)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_empty_tables_give_empty_results(spark, tables, name):
-    folder = tables(documents=[], pages=[], labels=[])
+    folder = tables(documents=[], pages=[], labels=[], embeddings=[], conversations=[])
     assert QUERIES[name](spark, folder).collect() == []
