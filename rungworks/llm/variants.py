@@ -39,6 +39,8 @@ LETTERS = "A-Za-zÀ-ÿ"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 BUCKETS = 1 << 16
+#: Letters up to which a word travels with its index keys.
+LONG = 64
 _SPREAD = 8191
 _PRIME, _BASE = (1 << 61) - 1, 1_000_003_579
 
@@ -68,17 +70,25 @@ def vocabulary(found: DataFrame, least_length: int = 6, least_count: int = 5) ->
     return counted.where(F.col("n") >= least_count)
 
 
-def _bucket(first, second):
-    return (first * _SPREAD + second) % BUCKETS
-
-
 def _ranks(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Of each bucket of bigrams: its place in the order, and in how many words it occurs."""
-    starts = F.sequence(F.lit(1), F.length("word") - 1)
-    grams = F.transform(starts, lambda i: _bucket(F.ascii(F.substring("word", i, F.lit(1))).cast("long"), F.ascii(F.substring("word", i + 1, F.lit(1)))))
-    counted = words.select(F.explode(F.array_distinct(grams)).alias("b")).groupBy("b").agg(F.count("*").alias("n")).collect()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(BUCKETS, dtype=np.int64)
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            points = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.int32).astype(np.int64)
+            owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+            inside = owner[:-1] == owner[1:]
+            buckets = ((points[:-1] * _SPREAD + points[1:]) % BUCKETS)[inside]
+            found += np.bincount(np.unique(owner[:-1][inside] * BUCKETS + buckets) % BUCKETS, minlength=BUCKETS)
+        seen = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(found[seen])], names=["b", "n"])
+
+    ship(words.sparkSession)
+    told = words.select("word").mapInArrow(count, "b long, n long").groupBy("b").agg(F.sum("n").alias("n"))
     counts = np.zeros(BUCKETS, dtype=np.int64)
-    for row in counted:  # at most BUCKETS rows
+    for row in told.collect():  # at most BUCKETS rows
         counts[row["b"]] = row["n"]
     order = np.empty(BUCKETS, dtype=np.int64)
     order[np.lexsort([np.arange(BUCKETS), counts])] = np.arange(BUCKETS)
@@ -150,14 +160,21 @@ def near_words(words: DataFrame) -> DataFrame:
 
     Words are of four letters at least, since shorter ones lack two disjoint bigrams among any three.
     """
-    index = stage(_indexed(words), "variants-grams")
-    asked = index.select("word", "n", "size", "mask", "last", F.explode("pivots").alias("key"))
-    held = index.select(*[F.col(c).alias(f"o_{c}") for c in ("word", "n", "size", "mask", "last")], F.explode("prefix").alias("key"))
-    later = (F.col("o_last") >= F.col("last")) & (F.abs(F.col("o_size") - F.col("size")) <= 1)
+    index = stage(_indexed(words).withColumn("row", F.monotonically_increasing_id()), "variants-grams")
+    # A long word may have as many keys as letters, so it is looked up when a pair asks for it.
+    carried = F.when(F.col("size") <= LONG, F.col("word")).alias("word")
+    told = index.select("row", carried, "n", "size", "mask", "last", "pivots", "prefix")
+    asked = told.select("row", "word", "n", "size", "mask", "last", F.explode("pivots").alias("key"))
+    held = told.select(*[F.col(c).alias(f"o_{c}") for c in ("row", "word", "n", "size", "mask", "last")], F.explode("prefix").alias("o_key"))
+    later = (F.col("o_last") >= F.col("last")) & (F.abs(F.col("o_size") - F.col("size")) <= 1) & (F.col("row") != F.col("o_row"))
     letters = F.bit_count(F.col("mask").bitwiseXOR(F.col("o_mask"))) <= 2
     one_edit = F.levenshtein("word", "o_word", 1) == 1
-    met = asked.join(held.withColumnRenamed("key", "o_key"), (F.col("key") == F.col("o_key")) & later & letters & one_edit)
-    pairs = stage(met.select("word", "n", "o_word", "o_n"), "variants-pairs")
+    met = asked.join(held, (F.col("key") == F.col("o_key")) & later & letters & F.coalesce(one_edit, F.lit(True)))
+    met = stage(met.select("row", "o_row", "word", "n", "o_word", "o_n"), "variants-pairs")
+    open_ = met.where("word IS NULL OR o_word IS NULL").select("row", "o_row", "n", "o_n").distinct()
+    texts = index.select("row", "word")
+    long = open_.join(texts, "row").join(texts.withColumnsRenamed({"row": "o_row", "word": "o_word"}), "o_row").where(one_edit)
+    pairs = met.where("word IS NOT NULL AND o_word IS NOT NULL").select("word", "n", "o_word", "o_n").unionByName(long.select("word", "n", "o_word", "o_n"))
     there = pairs.select("word", F.col("o_word").alias("other"), F.col("o_n").alias("other_n"))
     back = pairs.select(F.col("o_word").alias("word"), F.col("word").alias("other"), F.col("n").alias("other_n"))
     return there.unionByName(back)

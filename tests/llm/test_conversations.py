@@ -1,0 +1,152 @@
+"""Repair of conversations against an exhaustive search and a plain walk over the sound form."""
+
+import hashlib
+import itertools
+import random
+
+import pytest
+
+from rungworks.llm import conversations as c
+
+KINDS = "suaoSUAOd"
+
+
+def _walk(kinds):
+    """Least (cost, audit) by a walk from left to right over states, one row or insertion at a time."""
+
+    def inserted(best):
+        for _ in range(3):
+            for p, (cost, audit) in list(best.items()):
+                for (a, role), q in c.STEPS.items():
+                    if a == p and role in "ua":
+                        best[q] = min(best.get(q, (10**9, "")), (cost + 3, audit + "I"))
+        return best
+
+    best = inserted({0: (0, "")})
+    for kind in kinds:
+        extra = 3 if kind.isupper() else 0
+        after = {}
+        for p, (cost, audit) in best.items():
+            options = [(p, 4, "D")]
+            if kind != "d":
+                options += [(q, extra, "K") for (a, role), q in c.STEPS.items() if a == p and role == kind.lower()]
+                options += [(q, 3 + extra, "R") for (a, role), q in c.STEPS.items() if a == p and role in "ua"]
+            for q, price, letter in options:
+                after[q] = min(after.get(q, (10**9, "")), (cost + price, audit + letter))
+        best = inserted(after)
+    return min(best[q] for q in c.ENDS if q in best)
+
+
+def _every(kinds):
+    """Least (cost, audit) over all edits with up to three insertions at each place."""
+    found = []
+    for letters in itertools.product("KRD", repeat=len(kinds)):
+        for gaps in itertools.product(range(3), repeat=len(kinds) + 1):
+            audit = "".join("I" * g + x for g, x in zip(gaps, (*letters, ""), strict=True))
+            states, cost, rows = {0}, 0, iter(kinds)
+            for letter in audit:
+                kind = "i" if letter == "I" else next(rows)
+                if letter == "D":
+                    cost += 4
+                    continue
+                cost += {"I": 3, "R": 3, "K": 0}[letter] + (3 if kind.isupper() else 0)
+                wanted = kind.lower() if letter == "K" else "ua"
+                states = {q for (p, role), q in c.STEPS.items() if p in states and role in wanted} if kind != "d" else set()
+            if states & set(c.ENDS):
+                found.append((cost, audit))
+    return min(found)
+
+
+def _parsed(kinds):
+    parser = c.Parser()
+    for kind in kinds:
+        parser.add(kind, 1)
+    cells = parser.cells()
+    return min(cells[0, q] for q in c.ENDS if (0, q) in cells)
+
+
+@pytest.mark.parametrize("n", range(3))
+def test_walk_equals_every_edit(n):
+    for kinds in itertools.product(KINDS, repeat=n):
+        assert _walk(kinds) == _every(kinds)
+
+
+def test_parse_equals_walk():
+    rng = random.Random(3)
+    for _ in range(400):
+        kinds = "".join(rng.choices(KINDS, k=rng.randrange(60)))
+        assert _parsed(kinds) == _walk(kinds)
+        whole = c.parse_block(kinds[:12]) if kinds else c.EMPTY
+        assert min(whole[0, q] for q in c.ENDS if (0, q) in whole) == _walk(kinds[:12])
+
+
+def test_many_alike():
+    for kind, n in itertools.product("dua", (1, 9, 300)):
+        parser = c.Parser()
+        parser.add("s", 1)
+        parser.add(kind, n)
+        cells = parser.cells()
+        assert min(cells[0, q] for q in c.ENDS) == _walk("s" + kind * n)
+
+
+def _plain(rows):
+    """Summary of one conversation, row by row."""
+    rows = sorted(((t, r or " ", x or ("" if x == "" else " ")) for t, r, x in rows), key=lambda v: (v[0] is not None, v[0] or 0, v[1].encode(), hashlib.md5(v[2].encode()).hexdigest()))
+    seen, kinds, n = set(), "", {"blank": 0, "duplicate": 0, "truncated": 0}
+    for _, role, text in rows:
+        said = text.strip(" \t\n\x0b\x0c\r")
+        fault = "blank" if not said else "duplicate" if (role, text) in seen else "truncated" if said[-1] not in ".!?" else ""
+        seen.add((role, text))
+        if fault:
+            n[fault] += 1
+        kind = role[:1] if role[:1] in ("s", "u", "a") else "o"
+        kinds += "d" if fault in ("blank", "duplicate") else kind.upper() if fault else kind
+    cost, audit = _walk(kinds)
+    out, due, place = [], "user", iter(rows)
+    for letter in audit:
+        if letter == "I":
+            role, text = due, ""
+        else:
+            _, role, text = next(place)
+            if letter == "D":
+                continue
+            role = due if letter == "R" else role
+        out.append(f"{role}:{text}")
+        due = "assistant" if role[:1] == "u" else "user"
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in itertools.pairwise(rows))
+    return gaps, n["blank"], n["duplicate"], n["truncated"], illegal, cost, audit, hashlib.sha256("\n".join(out).encode()).hexdigest()
+
+
+def test_summary_equals_plain_version_also_where_a_conversation_is_crowded(spark):
+    rng = random.Random(8)
+    roles, texts = ["user", "assistant", "system", "tool", "", None], ["Hi.", "Hi", "Yes!", "", " \n", None, "No?", "x" * 50_000]
+    data = [(i, t, rng.choice(roles[: rng.randrange(2, 7)]), rng.choice([*texts, f"Turn {t}."])) for i in range(60) for t in range(rng.randrange(0, 9))]
+    data += [(100, t, "user" if t % 2 else "assistant", f"Turn {t % 900}{'.' if t % 7 else ''}") for t in range(3000)]
+    data += [(100, 5, "user", "Again.")] * 700 + [(100, None, "system", "Be kind.")] * 40
+    data += [(None, 1, "user", "Hi.")] * 3
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "conv_id long, turn long, role string, text string").repartition(5)
+    asked = df.unionByName(spark.createDataFrame([(999, 0, "user", "")], df.schema))
+    got = {r.conv_id: tuple(r)[1:] for r in c.summary(asked, df).collect()}
+    names = {i for i, *_ in data}
+    assert got == {i: _plain([r[1:] for r in data if r[0] == i]) for i in names} | {999: (0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest())}
+
+
+def test_crowded_conversations_are_parsed_by_several_tasks(spark):
+    df = spark.createDataFrame([(1, t, "user", f"Turn {t}.") for t in range(4000)], "conv_id long, turn long, role string, text string")
+    marked = c.faults(df)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        kinds = marked.selectExpr("conv_id", "turn", "role", "mark", "n", "'u' AS initial", "'u' AS kind", "'d' AS more")
+        spans = c._spans(kinds).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(spans) > 1
+
+
+def test_repaired_turns(spark):
+    df = spark.createDataFrame([(1, 0, "assistant", "Hello."), (1, 1, "assistant", "Hello."), (1, 2, "user", "So"), (2, 0, "user", " ")], "conv_id long, turn long, role string, text string")
+    turns = c.repaired(df, c.audits(c.faults(df)))
+    assert [tuple(r) for r in turns.orderBy("conv_id", "place").collect()] == [(1, 0, "user", ""), (1, 1, "assistant", "Hello.")]
