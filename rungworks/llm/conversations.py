@@ -168,6 +168,12 @@ class Parser:
         return self.spans.whole()
 
 
+def plain(df: DataFrame) -> DataFrame:
+    """``conv_id, turn, role, text`` with nulls of role and text as one space."""
+    told = [F.coalesce(F.col(c).cast("string"), F.lit(" ")).alias(c) for c in ("role", "text")]
+    return df.select("conv_id", "turn", *told)
+
+
 def damaged(df: DataFrame) -> DataFrame:
     """The rows of (conv_id, turn, role, text) after the contract's damage; nulls of role and text as one space.
 
@@ -178,7 +184,7 @@ def damaged(df: DataFrame) -> DataFrame:
     hit = F.crc32(F.concat(told("conv_id"), F.lit(":"), told("turn")).cast("binary")) % 20
     text = F.when(F.col("hit") == 1, "").when(F.col("hit") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
     role = F.when(F.col("hit") == 4, "user").otherwise(F.col("role"))
-    rows = df.select("conv_id", "turn", told("role").alias("role"), told("text").alias("text"), hit.alias("hit")).where("hit <> 0")
+    rows = plain(df).withColumn("hit", hit).where("hit <> 0")
     times = F.explode(F.sequence(F.lit(1), F.when(F.col("hit") == 3, 2).otherwise(1)))
     return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), times.alias("_time")).drop("_time")
 
@@ -194,7 +200,7 @@ def faults(rows: DataFrame) -> DataFrame:
     booleans, of which one at most is true.
     """
     trimmed = F.rtrim("text", F.lit(_SPACE_CHARS))
-    looked = rows.select("conv_id", "turn", "role", F.md5("text").alias("mark"), trimmed.alias("t"))
+    looked = plain(rows).select("conv_id", "turn", "role", F.md5("text").alias("mark"), trimmed.alias("t"))
     narrow = looked.select("conv_id", "turn", "role", "mark", (F.col("t") == "").alias("blank"), (F.col("t") != "").alias("said") & ~F.substring("t", -1, 1).isin(".", "!", "?"))
     narrow = narrow.toDF("conv_id", "turn", "role", "mark", "blank", "cut")
     alike = stage(narrow.groupBy("conv_id", "turn", "role", "mark").agg(F.first("blank").alias("blank"), F.first("cut").alias("cut"), F.count("*").alias("n")), "conversations-rows")
@@ -297,7 +303,7 @@ def repaired(rows: DataFrame, parses: DataFrame) -> DataFrame:
     The turns of a conversation lie in one partition, in order.
     """
     kind = dict(rows.dtypes)["conv_id"]
-    asked = rows.select("conv_id", F.lit(1).alias("step"), "turn", "role", F.md5("text").alias("mark"), "text")
+    asked = plain(rows).select("conv_id", F.lit(1).alias("step"), "turn", "role", F.md5("text").alias("mark"), "text")
     told = parses.select("conv_id", F.lit(0).alias("step"), F.lit(None).cast(dict(rows.dtypes)["turn"]).alias("turn"), F.lit("").alias("role"), F.lit("").alias("mark"), F.col("audit").alias("text"))
     place = [F.col("conv_id").asc_nulls_first(), F.col("step").asc(), *_order()[1:]]
     ordered = told.unionByName(asked).repartition("conv_id").sortWithinPartitions(*place)
