@@ -13,8 +13,8 @@ generalised, or removed if they give away (nearly) everything.  A pair counts on
 seen in some number of different texts (spaces and case aside), so that copies of one text
 reveal nothing.
 
-Everything is built-in column code.  Counts cover all documents, and a term meets the
-entities of its whole document.  Since n_ct is n_c at most, a term can only reach the threshold
+Everything is built-in column code.  Counts cover all documents, all of them in rows, so a
+corpus repeated as a whole gives the same terms; and a term meets the entities of its whole document.  Since n_ct is n_c at most, a term can only reach the threshold
 with an entity if n_t <= n_c (N / n_c)^(1 - threshold); others are dropped before pairs are
 formed, exactly.
 
@@ -152,22 +152,25 @@ def _row_key(doc_id: str, text: str) -> tuple[Column, Column]:
 def disclosing_terms(df: DataFrame, held: DataFrame, text: str = "text", min_contexts: int = MIN_CONTEXTS, threshold: float = GENERALISE) -> DataFrame:
     """``entity, term, disclosure`` of the pairs above the threshold.
 
-    ``held`` has a row per document with entities: ``x, y`` (its key), ``text``, ``spans``.
+    ``held`` has a row per document with entities: ``x, y`` (its key), ``content`` (a hash of
+    its text, spaces and case aside), ``words`` (its terms, each once) and ``spans``.
     """
     n = F.lit(float(df.count()))
-    entities = held.select("x", "y", F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity")).distinct()
-    with_entity = entities.groupBy("entity").agg(F.count("*").alias("n_c")).where(F.col("n_c") < n)
+    entities = held.select("x", "y", F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity")).groupBy("x", "y", "entity").agg(F.count("*").alias("m"))
+    with_entity = entities.groupBy("entity").agg(F.sum("m").alias("n_c")).where(F.col("n_c") < n)
     # n_ct is n_c at most, so a term of more documents than this cannot reach the threshold.
     most = F.col("n_c") * F.pow(n / F.col("n_c"), F.lit(1 - threshold)) * (1 + 1e-9)
     of_document = stage(entities.join(with_entity.withColumn("most", most), "entity"), "pii-entities")
     limits = of_document.groupBy("x", "y").agg(F.max("most").alias("limit"))
+    highest = of_document.agg(F.max("most")).first()[0] or 0.0
     distinct = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(F.col(c)), F.lit(_TERM), F.lit(0)))
     with_term = df.select(F.explode(distinct(text)).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    words = held.select("x", "y", F.xxhash64(F.lower(F.regexp_replace(F.trim("text"), r"\s+", " "))).alias("content"), F.explode(distinct("text")).alias("term"))
-    rare = with_term.where(F.col("n_t") >= min_contexts)  # as many documents as a pair needs
+    words = held.select("x", "y", "content", F.explode("words").alias("term"))
+    # As many documents as a pair needs, and no more than the commonest entity allows.
+    rare = stage(with_term.where((F.col("n_t") >= min_contexts) & (F.col("n_t") <= highest)), "pii-rare")
     terms = words.join(rare, "term").join(limits, ["x", "y"]).where(F.col("n_t") <= F.col("limit"))
     pairs = terms.dropDuplicates(["x", "y", "term"]).drop("limit").join(of_document, ["x", "y"]).where(F.col("n_t") <= F.col("most"))
-    by_content = pairs.groupBy("entity", "term", "content").agg(F.count("*").alias("k"), F.first("n_c").alias("n_c"), F.first("n_t").alias("n_t"))
+    by_content = pairs.groupBy("entity", "term", "content").agg(F.sum("m").alias("k"), F.first("n_c").alias("n_c"), F.first("n_t").alias("n_t"))
     together = by_content.groupBy("entity", "term").agg(F.count("*").alias("contents"), F.sum("k").alias("n_ct"), F.first("n_c").alias("n_c"), F.first("n_t").alias("n_t"))
     disclosure = F.log(n * F.col("n_ct") / (F.col("n_c") * F.col("n_t"))) / F.log(n / F.col("n_c"))
     return together.where(F.col("contents") >= min_contexts).select("entity", "term", disclosure.alias("disclosure")).where(F.col("disclosure") >= threshold)
@@ -189,7 +192,10 @@ def find(df: DataFrame, text: str = "text", doc_id: str = "doc_id", **options: o
     x, y, more = free_name(base, "_x", "_y", "_more")
     key = _row_key(doc_id, text)
     some = base.select(key[0].alias("x"), key[1].alias("y"), F.col(text).alias("text")).withColumn("spans", base_spans(F.col("text"))).where(F.size("spans") > 0)
-    held = stage(some, "pii-held")
+    # Worked out here, once per text: next to an explode they would be worked out per term.
+    content = F.xxhash64(F.lower(F.regexp_replace(F.trim("text"), r"\s+", " ")))
+    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(_TERM), F.lit(0)))
+    held = stage(some.withColumns({"content": content, "words": words}), "pii-held")
     told = stage(disclosing_terms(base, held, text, **options), "pii-terms")  # type: ignore[arg-type]
     holds = held.select("x", "y", F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity"))
     wanted = holds.join(told, "entity").groupBy("x", "y", "term").agg(F.max("disclosure").alias("disclosure"))
