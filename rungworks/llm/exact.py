@@ -8,8 +8,12 @@ beside its digest, so that equal digests of unequal texts never merge:
    receives of a text that a third of the corpus repeats;
 3. the shares' winners, at most ``salts`` per text, meet.
 
-Only texts whose digest occurs more than once take part; a count of digests finds them,
-and the text of a row that is alone is never shuffled.
+Only texts whose digest occurs more than once take part.  A count of digests finds them, and
+a Bloom filter of those (8 MB at most) drops the others' texts before they are shuffled; what
+passes is staged, since a join by digest alone would already have brought all copies of a
+digest into one task, and the aggregates would not deal them by share any more.  Rows then look
+up the winner of their text.  A digest that stands for one text, as all do in practice, is enough
+to look it up; where one stands for several, whole texts are compared again.
 
 Everything is built-in column code.  Defined results: null counts as an empty text, and
 empty texts are copies of each other; of equal texts the smallest id stays (a null id only
@@ -20,10 +24,12 @@ column that has the name of a result is replaced by it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rungworks.llm.common import collapsed, free_name
+from rungworks.llm.minhash import _prefiltered
+from rungworks.session import stage
 
 #: Shares that the copies of one digest are dealt to.
 SALTS = 64
@@ -39,28 +45,52 @@ def _rows(df: DataFrame, text: str, doc_id: str) -> DataFrame:
     return flat.select("id", "norm", digest(F.col("norm")).alias("digest"))
 
 
-def groups(df: DataFrame, text: str = "text", doc_id: str = "doc_id", salts: int = SALTS) -> DataFrame:
-    """One row per text that occurs more than once: ``digest, norm, keep_id, group_size``."""
+def copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``id, norm, digest`` of the rows whose digest occurs more than once."""
     rows = _rows(df, text, doc_id)
-    repeated = rows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+    repeated = stage(rows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1"), "exact-digests")
+    with _prefiltered(df.sparkSession):  # Spark filters by tables that have a condition
+        return stage(rows.join(repeated.where("n > 1").select("digest"), "digest", "left_semi"), "exact-copies")
+
+
+def groups(held: DataFrame, salts: int = SALTS) -> DataFrame:
+    """One row per text of ``held`` (:func:`copies`): ``digest, norm, keep_id, group_size``.
+
+    Texts are those of several rows, or of a digest that stands for several texts.
+    """
     merged = F.min("id").alias("keep_id"), F.count("*").alias("group_size")
-    salt = F.pmod(F.xxhash64("id"), F.lit(salts)).alias("salt")
-    local = rows.join(repeated, "digest", "left_semi").groupBy("digest", salt, "norm").agg(*merged)
-    return local.groupBy("digest", "norm").agg(F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+    dealt = held.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
+    shares = dealt.groupBy("digest", "salt", "norm").agg(*merged)
+    return shares.repartition("digest").groupBy("digest", "norm").agg(F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+
+
+def _winners(held: DataFrame, salts: int) -> DataFrame:
+    """:func:`groups`, staged; ``norm`` only where the digest stands for several texts."""
+    found = groups(held, salts)
+    several = F.count("*").over(Window.partitionBy("digest")) > 1
+    return stage(found.withColumn("norm", F.when(several, F.col("norm"))), "exact-winners")
+
+
+def _same(told: DataFrame, key: str, t_key: str, t_norm: str, norm: Column) -> Column:
+    """Equal texts: equal digests, and equal ``norm`` where ``told`` has any."""
+    equal = F.col(key) == F.col(t_key)
+    if told.where(F.col(t_norm).isNotNull()).isEmpty():
+        return equal
+    return equal & (F.col(t_norm).isNull() | (F.col(t_norm) == norm))
 
 
 def mark_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id", salts: int = SALTS) -> DataFrame:
     """``df`` with ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``, a row for each row.
 
-    Rows look up the winner of their text by digest and text; a crowded digest is an
-    ordinary skewed join whose row side is split at run time.
+    Rows look up the winner of their text; a crowded digest is an ordinary skewed join of a
+    scan and a staged table, whose row side is split at run time.
     """
     results = ("keep_id", "group_size", "kept", "text_sha256")
     base = df.drop(*results)
-    norm, key, w_norm, w_key = free_name(base, "norm", "digest", "w_norm", "w_digest")
-    flat = base.withColumn(norm, collapsed(F.col(text))).withColumn(key, digest(F.col(norm)))
-    winners = groups(base, text, doc_id, salts).select(F.col("digest").alias(w_key), F.col("norm").alias(w_norm), "keep_id", "group_size")
-    met = flat.join(winners, (F.col(key) == F.col(w_key)) & (F.col(norm) == F.col(w_norm)), "left")
+    key, w_norm, w_key = free_name(base, "digest", "w_norm", "w_digest")
+    winners = _winners(copies(base, text, doc_id), salts).select(F.col("digest").alias(w_key), F.col("norm").alias(w_norm), "keep_id", "group_size")
+    flat = base.withColumn(key, digest(collapsed(F.col(text))))
+    met = flat.join(winners, _same(winners, key, w_key, w_norm, collapsed(F.col(text))), "left")
     alone = F.col("group_size").isNull()
     return met.select(
         *base.columns,
@@ -74,8 +104,21 @@ def mark_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id", salts
 def drop_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id", salts: int = SALTS) -> DataFrame:
     """One row of each group of equal texts, with the columns it came with.
 
-    Rows repeated with the staying row's id are merged too.
+    The rows that go are named by digest and id, and so are rows repeated with the staying
+    row's id, of which one stays.  The rows of ``df`` are moved once, by digest and id,
+    which deals the copies of a text over all tasks.
     """
-    marked = mark_copies(df, text, doc_id, salts).where("kept")
-    alone = marked.where("group_size = 1").select(df.columns)
-    return alone.unionByName(marked.where("group_size > 1").dropDuplicates(["text_sha256", doc_id]).select(df.columns))
+    held = copies(df, text, doc_id)
+    winners = _winners(held, salts).select(F.col("digest").alias("w_digest"), F.col("norm").alias("w_norm"), "keep_id")
+    met = held.join(winners, _same(winners, "digest", "w_digest", "w_norm", F.col("norm")))
+    told = met.select("digest", "id", F.col("w_norm").alias("norm"), F.col("id").eqNullSafe(F.col("keep_id")).alias("stays"))
+    told = stage(told.groupBy("digest", "id", "norm", "stays").agg(F.count("*").alias("n")).where("NOT stays OR n > 1"), "exact-marks")
+    key, norm, t_digest, t_id, t_norm, stays = free_name(df, "digest", "norm", "t_digest", "t_id", "t_norm", "stays")
+    marks = told.select(F.col("digest").alias(t_digest), F.col("id").alias(t_id), F.col("norm").alias(t_norm), F.col("stays").alias(stays))
+    rows = df.withColumn(key, digest(collapsed(F.col(text))))
+    own = F.col(doc_id).eqNullSafe(F.col(t_id)) & _same(marks, key, t_digest, t_norm, collapsed(F.col(text)))
+    single = rows.join(marks, own, "left_anti").select(df.columns)
+    if told.where("stays").isEmpty():
+        return single
+    with_copy = rows.join(marks.where(F.col(stays)), own, "left_semi").withColumn(norm, collapsed(F.col(text)))
+    return single.unionByName(with_copy.dropDuplicates([key, doc_id, norm]).select(df.columns))
