@@ -178,9 +178,22 @@ def match_facts(
     return inference.match_rows(inferred_games(games, track, players, evidence, tolerance))
 
 
-def merge_matches(facts: DataFrame, current: DataFrame) -> DataFrame:
-    """The match table after a run: on a known match only races and confidence change."""
-    return upsert(facts, current, ["match_id"], {c: INCOMING for c in INFERRED_COLUMNS})
+def superseded(facts: DataFrame, current: DataFrame) -> DataFrame:
+    """Ids of matches without an opponent whose player has one now, in a pair of the same time and map."""
+    player = F.explode(F.array("p1_character_id", "p2_character_id")).alias("p1_character_id")
+    paired = current.where(F.col("p2_character_id").isNotNull()).select("match_date", "map", player)
+    alone = facts.where(F.col("p2_character_id").isNull())
+    return alone.join(paired, ["match_date", "map", "p1_character_id"], "left_semi").select("match_id")
+
+
+def merge_matches(facts: DataFrame, current: DataFrame, retract: bool = False) -> DataFrame:
+    """The match table after a run: on a known match only races and confidence change.
+
+    With ``retract``, a match without an opponent goes when its player's opponent has
+    reported, since the pair has an id of its own.  ``facts`` then holds the days of ``current``.
+    """
+    held = facts.join(superseded(facts, current), "match_id", "left_anti") if retract else facts
+    return upsert(held, current, ["match_id"], {c: INCOMING for c in INFERRED_COLUMNS})
 
 
 player_stats_daily = daily.player_stats_daily

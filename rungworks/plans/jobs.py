@@ -62,6 +62,7 @@ def build_matches(
     """Rebuild the window's matches and merge them into their days.
 
     The key of a match is made from its time, so a known match lies in the same day.
+    Matches without an opponent go when the opponent has reported.
     Reports of the window without a map can have no key and go to the quarantine table.
     """
     table = schemas.FACT_MATCHES
@@ -87,7 +88,7 @@ def build_matches(
         table.name,
     )
     held = tables.read_table(spark, path, table, tables.touched_days(current, "match_date"))
-    tables.replace_days(gold.merge_matches(held, current), path, table)
+    tables.replace_days(gold.merge_matches(held, current, retract=True), path, table)
 
 
 def build_daily(

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from rungworks import schemas
@@ -135,31 +136,32 @@ def ingest_window(
     ledger is written after each slice; a run that dies is simply repeated.
     """
     ledger_path = f"{silver}/{schemas.PROCESSED_FILES.name}"
-    files = listing.list_files(spark, bronze, f"{flow.kind}_*.json")
-    chosen = files if window is None else listing.last_files(files, window)
-
-    def pending(of: DataFrame) -> tuple[DataFrame, DataFrame]:
+    with staging(spark):
+        files = stage(listing.list_files(spark, bronze, f"{flow.kind}_*.json"), "listed-files")
         ledger = tables.read_table(spark, ledger_path, schemas.PROCESSED_FILES)
-        return listing.unprocessed(of, ledger), ledger
-
-    processed = inserted = 0
-    while True:
-        wanted, ledger = pending(chosen)
-        slice_ = wanted.orderBy("file_name").limit(files_at_once).select("file_name", "path").collect()
-        if not slice_:
-            break
-        docs = read_documents(spark, [r["path"] for r in slice_], flow.document)
-        came, went = load(flow, docs, silver, as_of)
-        processed, inserted = processed + came, inserted + went
-        done = spark.createDataFrame([(r["file_name"],) for r in slice_], "file_name STRING")
-        tables.append(listing.ledger_entries(done, ledger, as_of), ledger_path, schemas.PROCESSED_FILES)
-    left, lagging = 0, False
-    if window is not None:
-        left = pending(files)[0].count()
-        lagging = not listing.backlog(files, window).where("lagging").isEmpty()
+        chosen = files if window is None else listing.last_files(files, window)
+        pending = stage(listing.unprocessed(chosen, ledger).select("file_name", "path"), "pending-files")
+        processed = inserted = left = 0
+        lagging = False
+        # Sorted names reach the driver a partition at a time, and are let go a slice at a time.
+        for names in _slices(pending.orderBy("file_name").toLocalIterator(), files_at_once):
+            docs = read_documents(spark, [r["path"] for r in names], flow.document)
+            came, went = load(flow, docs, silver, as_of)
+            processed, inserted = processed + came, inserted + went
+            done = spark.createDataFrame([(r["file_name"],) for r in names], "file_name STRING")
+            tables.append(listing.ledger_entries(done, ledger, as_of), ledger_path, schemas.PROCESSED_FILES)
+        if window is not None:
+            handled = pending.select(F.col("file_name").alias("filename"))
+            left = listing.unprocessed(listing.unprocessed(files, ledger), handled).count()
+            lagging = not listing.backlog(files, window).where("lagging").isEmpty()
     return spark.createDataFrame([(processed, inserted, processed - inserted, left, lagging)], SUMMARY)
 
 
+def _slices(rows: Iterator[Row], size: int) -> Iterator[list[Row]]:
+    while taken := list(islice(rows, size)):
+        yield taken
+
+
 def ingest_all(
     spark: SparkSession, bronze: str, silver: str, as_of: str, window: int | None = None
 ) -> dict[str, DataFrame]:

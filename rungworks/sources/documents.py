@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rungworks.functions import filenames
+from rungworks.session import scratch_path
 
 
 def read_documents(
@@ -79,6 +80,37 @@ def with_request_ids(df: DataFrame, ids: Sequence[str], payload: str) -> DataFra
     return df.withColumn(payload, F.to_json(F.map_concat(F.map_from_arrays(names, values), own)))
 
 
+def land_files(df: DataFrame, root: str, file_name: str, payload: str) -> int:
+    """Write documents as whole files of the given names, each an array of its documents; returns their number.
+
+    A file is written by one task, document by document, in the order of their text.  Names reach
+    the driver, which moves the files into place, as they are listed; a file of that name is replaced.
+    """
+    spark = df.sparkSession
+    place = F.row_number().over(Window.partitionBy("name").orderBy("value"))
+    rows = df.select(F.col(file_name).alias("name"), F.col(payload).alias("value")).withColumn("place", place)
+    lines = rows.select("name", "place", F.concat(F.when(F.col("place") == 1, "[").otherwise(","), "value").alias("value"))
+    end = rows.where("place = 1").select("name", F.lit(2**31 - 1).alias("place"), F.lit("]").alias("value"))
+    staged = scratch_path(spark, "land-files")
+    whole = lines.unionByName(end).repartition("name").sortWithinPartitions("name", "place")
+    whole.select("name", "value").write.partitionBy("name").text(staged)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop.Path(root))
+    moved = 0
+    for folder in fs.listStatus(hadoop.Path(staged)):
+        _, _, name = folder.getPath().getName().partition("name=")
+        if name:
+            target = hadoop.Path(f"{root}/{name}")
+            fs.delete(target, False)
+            written = [s.getPath() for s in fs.listStatus(folder.getPath()) if s.getPath().getName().startswith("part-")]
+            if not fs.rename(written[0], target):
+                raise OSError(f"{name} could not be moved to {root}")
+            moved += 1
+    fs.delete(hadoop.Path(staged), True)
+    return moved
+
+
 def land(df: DataFrame, root: str, kind: str, payload: str, snapshot: str, league: str | None = None) -> None:
     """Append documents as JSON lines below ``kind=/league_id=/snapshot=`` folders.
 

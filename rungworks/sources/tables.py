@@ -2,13 +2,17 @@
 
 Tables with a time column are kept in one folder per day.  Inserts add files;
 merges replace the folders of the days they touch, so their cost follows the batch
-and not the table.  Small tables that a merge rewrites whole are kept as numbered
+and not the table.  The new days are first written whole, beside the table, and that they
+are complete is the record of the intent: from then on readers take those days from there, and
+the next writer moves what a writer that died has not moved.  A table has one writer at a time.
+Small tables that a merge rewrites whole are kept as numbered
 versions: a merge reads the newest complete version and writes the next, so a job
 that dies half-way leaves the last good one in place.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date
@@ -20,6 +24,8 @@ from rungworks.schemas import Table
 from rungworks.session import stage
 
 DAY = "day"
+#: Folder of a table, unseen by Spark, in which new days wait until they take their place.
+_REPLACING = "_replacing"
 LISTING_TASKS = 32
 
 
@@ -69,8 +75,7 @@ def read_table(
         return table.empty(spark)
     if not table.time:
         return spark.read.schema(table.schema).parquet(path)
-    with _few_listing_tasks(spark):
-        stored = spark.read.schema(table.schema.add(DAY, "date")).parquet(path)
+    stored = _days_of(spark, path, table)
     if days is not None:
         stored = stored.where(F.col(DAY).isin(list(days)) if days else F.lit(False))
     if since is not None:
@@ -78,6 +83,61 @@ def read_table(
     return stored.select(table.schema.names)
 
 
+def _days_of(spark: SparkSession, path: str, table: Table) -> DataFrame:
+    """All rows with their day; complete new days count in place of those they are about to replace."""
+    reader = spark.read.schema(table.schema.add(DAY, "date"))
+    with _few_listing_tasks(spark):
+        stored = reader.parquet(path)
+    for waiting in _complete(spark, path):
+        names = [s.getPath().getName() for s in _day_folders(spark, waiting)]
+        days = [date.fromisoformat(n.partition("=")[2]) for n in names if not n.endswith(_NO_DAY)]
+        kept = ~F.col(DAY).isin(days) if days else F.lit(True)
+        stored = stored.where(F.col(DAY).isNotNull() & kept if len(days) < len(names) else F.col(DAY).isNull() | kept)
+        if names:
+            stored = stored.unionByName(reader.parquet(waiting))
+    return stored
+
+
+_NO_DAY = "=__HIVE_DEFAULT_PARTITION__"
+
+
+def _waiting(spark: SparkSession, path: str) -> list[str]:
+    fs, folder = _folder(spark, f"{path}/{_REPLACING}")
+    return sorted(s.getPath().toString() for s in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def _complete(spark: SparkSession, path: str) -> list[str]:
+    return [w for w in _waiting(spark, path) if exists(spark, f"{w}/_SUCCESS")]
+
+
+def _day_folders(spark: SparkSession, waiting: str) -> list:
+    fs, folder = _folder(spark, waiting)
+    return [s for s in fs.listStatus(folder) if s.getPath().getName().startswith(f"{DAY}=")]
+
+
+def _move_day(spark: SparkSession, source: str, target: str) -> None:
+    """Put a new day in the place of the old one; what is missing after a failure still waits in ``source``."""
+    fs, new = _folder(spark, source)
+    old = _folder(spark, target)[1]
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def finish_replacing(spark: SparkSession, path: str) -> None:
+    """Move complete new days into place, older ones first, and drop incomplete ones, which nobody has read.
+
+    For writers only.
+    """
+    complete = _complete(spark, path)
+    for waiting in _waiting(spark, path):
+        if waiting in complete:
+            for day in _day_folders(spark, waiting):
+                _move_day(spark, day.getPath().toString(), f"{path}/{day.getPath().getName()}")
+        fs, folder = _folder(spark, waiting)
+        fs.delete(folder, True)
+
+
 def ensure_table(spark: SparkSession, path: str, table: Table) -> None:
     """Write the empty table if there is none; does nothing otherwise."""
     if not exists(spark, path):
@@ -97,6 +157,9 @@ def _by_day(df: DataFrame, table: Table) -> DataFrame:
 
 def append(df: DataFrame, path: str, table: Table) -> None:
     df = df.select(table.schema.names)
+    if _complete(df.sparkSession, path):  # days that wait must not cover what is added now
+        df = stage(df, f"append-{table.name}")
+        finish_replacing(df.sparkSession, path)
     if table.time:
         with _spread_days(df.sparkSession):
             _by_day(df, table).write.mode("append").partitionBy(DAY).parquet(path)
@@ -107,17 +170,16 @@ def append(df: DataFrame, path: str, table: Table) -> None:
 def replace_days(df: DataFrame, path: str, table: Table) -> None:
     """Replace the day folders that ``df`` has rows in.
 
-    ``df`` is staged first, since it was usually computed from the very files that
-    are replaced; a run that dies while replacing can be finished from there.
+    ``df`` may be computed from the very files that are replaced.  A run that dies leaves the
+    old table or the new one, never a part: see :func:`finish_replacing`.
     """
-    staged = stage(df.select(table.schema.names), f"replace-{table.name}")
-    (
-        _by_day(staged, table)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY)
-        .parquet(path)
-    )
+    spark = df.sparkSession
+    before = _waiting(spark, path)
+    number = 1 + max((int(w.rsplit("/", 1)[1].partition("-")[0]) for w in before), default=0)
+    waiting = f"{path}/{_REPLACING}/{number:06d}-{uuid.uuid4().hex}"
+    with _spread_days(spark):
+        _by_day(df.select(table.schema.names), table).write.partitionBy(DAY).parquet(waiting)
+    finish_replacing(spark, path)
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
@@ -174,8 +236,3 @@ def first_version(spark: SparkSession, root: str, checkpoint: str) -> int:
     first = (known[-1] if known else 0) + 1
     fs.mkdirs(_folder(spark, f"{checkpoint}/first-version/{first}")[1])
     return first
-
-
-def is_folder(spark: SparkSession, path: str) -> bool:
-    fs, folder = _folder(spark, path)
-    return fs.exists(folder) and fs.getFileStatus(folder).isDirectory()

@@ -3,6 +3,7 @@ import shutil
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 from tests.helpers import rows
 
 import documents as sample
@@ -152,3 +153,65 @@ def test_old_versions_go(spark, tmp_path):
         tables.write_version(spark.createDataFrame([(1, n, datetime(2026, 1, 1))], STATE.schema), root)
     assert tables.versions(spark, root) == [3, 4, 5]
     assert rows(tables.read_version(spark, root, STATE, below=5), "total_games") == [(3,)]
+
+
+DAYS = schemas.Table("days", "k INT, t TIMESTAMP_NTZ, v STRING", ("k",), ("k",), time="t")
+
+
+def _days(spark, value, *numbers):
+    return spark.createDataFrame([(n, datetime(2026, 1, n), value) for n in numbers], DAYS.schema)
+
+
+def _held(spark, path):
+    return rows(tables.read_table(spark, path, DAYS), "k", "v")
+
+
+def _stop_after(monkeypatch, moves):
+    """The writer dies after so many of its moves, in the middle of the next."""
+    plain, left = tables._move_day, [moves]
+
+    def move(spark, source, target):
+        if not left[0]:
+            fs, old = tables._folder(spark, target)
+            fs.delete(old, True)
+            raise RuntimeError("died")
+        left[0] -= 1
+        plain(spark, source, target)
+
+    monkeypatch.setattr(tables, "_move_day", move)
+    return lambda: monkeypatch.setattr(tables, "_move_day", plain)
+
+
+@pytest.mark.parametrize("moves", [0, 1, 2])
+@pytest.mark.parametrize("then", ["read", "replace", "append"])
+def test_a_writer_that_dies_between_two_moves_loses_no_day(spark, tmp_path, monkeypatch, moves, then):
+    path = str(tmp_path / "table")
+    tables.append(_days(spark, "old", 1, 2, 3, 4), path, DAYS)
+    heal = _stop_after(monkeypatch, moves)
+    with pytest.raises(RuntimeError, match="died"):
+        tables.replace_days(_days(spark, "new", 1, 2, 3, 5), path, DAYS)
+    heal()
+    new = [(1, "new"), (2, "new"), (3, "new"), (4, "old"), (5, "new")]
+    assert _held(spark, path) == new
+    assert rows(tables.read_table(spark, path, DAYS, days=[date(2026, 1, 2), date(2026, 1, 4)]), "k", "v") == [(2, "new"), (4, "old")]
+    if then == "replace":  # computed from what waits
+        later = tables.read_table(spark, path, DAYS, days=[date(2026, 1, 1)]).withColumn("v", F.concat("v", F.lit("er")))
+        tables.replace_days(later, path, DAYS)
+        new[0] = (1, "newer")
+    if then == "append":
+        tables.append(_days(spark, "more", 2), path, DAYS)
+        new.append((2, "more"))
+    assert _held(spark, path) == sorted(new, key=repr)
+    if then != "read":
+        assert tables._waiting(spark, path) == []
+
+
+def test_new_days_that_were_never_complete_count_for_nothing(spark, tmp_path):
+    path = str(tmp_path / "table")
+    tables.append(_days(spark, "old", 1, 2), path, DAYS)
+    part = tmp_path / "table" / "_replacing" / "000001-x" / "day=2026-01-01"
+    part.mkdir(parents=True)
+    assert _held(spark, path) == [(1, "old"), (2, "old")]
+    tables.replace_days(_days(spark, "new", 2), path, DAYS)
+    assert _held(spark, path) == [(1, "old"), (2, "new")]
+    assert not part.exists()
