@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import timedelta
+from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,13 +15,14 @@ from rungworks.catalog import roles
 from rungworks.catalog.roles import AS_OF, EVENTS_AS_OF, MATCH_DAYS, read
 from rungworks.functions import filenames
 from rungworks.functions.scalars import moment
-from rungworks.operators import changes, contracts, daily, flatten, inference, latest, merge, pairs
+from rungworks.operators import changes, contracts, daily, flatten, inference, latest, matching, merge, pairs
 from rungworks.operators.asof import asof_lookup
 from rungworks.operators.hotkeys import heavy_keys
 from rungworks.plans import bronze, gold, silver, worklists
-from rungworks.session import scratch_path
-from rungworks.sources import documents, listing, tables
+from rungworks.session import scratch_path, stage
+from rungworks.sources import arrays, documents, listing, tables
 from rungworks.streaming import ingest as streams
+from rungworks.streaming import state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,6 +70,18 @@ def flatten_members(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("q03_split_array")
+def split_array(spark: SparkSession, sf: str) -> DataFrame:
+    """All member documents as one array in one file, read back by several tasks and flattened."""
+    root = scratch_path(spark, "one-array")
+    docs = roles.legacy_documents(spark, sf)
+    named = F.concat(F.lit('{"file_name": "'), "file_name", F.lit('", "document": '), "payload", F.lit("}"))
+    documents.land_files(docs.select(F.lit("all_members.json").alias("file"), named.alias("element")), root, "file", "element")
+    found = arrays.split_documents(spark, root, bytes_per_task=256 * 1024)
+    parsed = F.from_json("payload", f"file_name STRING, document STRUCT<{schemas.LEGACY_LADDER_DOCUMENT}>")
+    return flatten.legacy_ladder_members(found.select(parsed.alias("d")).select("d.document.*", "d.file_name"))
+
+
 @query("q04_flatten_matches")
 def flatten_matches(spark: SparkSession, sf: str) -> DataFrame:
     docs = roles.match_documents(spark, sf).drop("ts")
@@ -395,6 +410,15 @@ def reconstructed_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.matched(_games(spark, sf))
 
 
+@query("q21_assigned_games")
+def assigned_games(spark: SparkSession, sf: str) -> DataFrame:
+    """Each player of an order in one pair at most, by the least difference of the parts' prices."""
+    reports = pairs.game_reports(roles.match_reports(spark, sf), F.lit(True))
+    prices = read(spark, sf, "part").select(F.col("p_partkey").alias("profile_id"), F.floor("p_retailprice").alias("rating"))
+    found = matching.assigned(matching.rated_players(reports, prices), small=14)
+    return found.select("p1_id", "p2_id", "match_date", "map", "cost")
+
+
 @query("q22_unmatched")
 def unmatched(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.unmatched(_games(spark, sf)).select("p1_id", "match_date", "map", "type", "p1_decision")
@@ -454,6 +478,19 @@ def _values(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "events").select("user_id", F.col("ts").alias("seen"), "value")
 
 
+@query("q24_retracted_matches")
+def retracted_matches(spark: SparkSession, sf: str) -> DataFrame:
+    """The match table after two runs: in the first a third of the players have not reported yet."""
+    root, table = scratch_path(spark, "retracted"), None
+    reports = roles.match_reports(spark, sf)
+    for came in (reports.where("profile_id % 3 <> 0"), reports):
+        found = gold.match_facts(came, roles.rating_track(spark, sf), roles.known_races(spark, sf), AS_OF, MATCH_DAYS)
+        table = table or schemas.Table("matches", found.schema.simpleString()[7:-1], ("match_id",), ("match_id",))
+        held = tables.read_version(spark, root, table)
+        tables.write_version(gold.merge_matches(held, stage(found, "retracted-run"), retract=True), root)
+    return tables.read_version(spark, root, table)
+
+
 @query("q25_asof_lookup")
 def asof(spark: SparkSession, sf: str) -> DataFrame:
     events = read(spark, sf, "events")
@@ -630,6 +667,34 @@ def load_flows(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(found, "name STRING, run INT, processed BIGINT, inserted BIGINT, held BIGINT")
 
 
+@query("q30_ingest_files")
+def ingest_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole files listed, read, flattened, loaded and noted, in four runs.
+
+    At first the files of leagues below 10 are there; then nothing new; then all; then a lost table is loaded
+    anew from the newest file of each league, the ledger being lost too.
+    """
+    root = scratch_path(spark, "ingest-files")
+    docs = roles.legacy_documents(spark, sf)
+    flow, small = silver.LEGACY, filenames.league_id("file_name") < 10
+    tables.ensure_table(spark, f"{root}/silver/{flow.table.name}", flow.table)
+    runs = []
+
+    def turn(target: str, **options: int) -> None:
+        done = silver.ingest_window(spark, flow, f"{root}/bronze", f"{root}/{target}", AS_OF, **options)
+        held = tables.read_table(spark, f"{root}/{target}/{flow.table.name}", flow.table).count()
+        noted = tables.read_table(spark, f"{root}/{target}/{schemas.PROCESSED_FILES.name}", schemas.PROCESSED_FILES).count()
+        runs.append(done.select(F.lit(len(runs) + 1).alias("run"), "*", F.lit(held).alias("held"), F.lit(noted).alias("noted")))
+
+    documents.land_files(docs.where(small), f"{root}/bronze", "file_name", "payload")
+    turn("silver", files_at_once=7)
+    turn("silver")
+    documents.land_files(docs.where(~small), f"{root}/bronze", "file_name", "payload")
+    turn("silver")
+    turn("again", window=1)
+    return reduce(DataFrame.unionByName, runs)
+
+
 @query("q30_stream_ingest")
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Match documents landed by day, worked off as a stream and inserted by key."""
@@ -715,3 +780,92 @@ def stream_lookup(spark: SparkSession, sf: str) -> DataFrame:
     running, found = streams.lookup_streams(_asked(_stream(spark, sf, "events")), values, root, f"{root}/progress", **_LOOKUP)
     running.awaitTermination()
     return tables.read_table(spark, f"{root}/{found.name}", found)
+
+
+# ------------------------------------------- streams with watermarks and state
+
+
+def _arrive(table: DataFrame, arrived: Column, first: str, days: int, slices: int, path: str) -> Iterator[int]:
+    """Append a table to a folder in slices of ``days`` by the time its rows arrive; what is later comes last."""
+    since = F.datediff(arrived.cast("date"), F.lit(first).cast("date"))
+    number = F.greatest(F.least(F.floor(since / days), F.lit(slices - 1)), F.lit(0))
+    for n in range(slices):
+        table.where(number == n).write.mode("append").parquet(path)
+        yield n
+
+
+def _later(time: str, minutes: Column) -> Column:
+    return F.col(time) + F.make_dt_interval(mins=minutes.cast("int"))
+
+
+@query("q34_interval_join")
+def interval_join(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``q34_stream_lookup``, by a join of two streams; probes come up to 5 hours late, evidence up to 6.
+
+    A last row of each stream, a month on, says that nothing more will come.
+    """
+    root = scratch_path(spark, "interval-join")
+    events = read(spark, sf, "events")
+    values = events.select("event_id", "user_id", F.col("ts").alias("seen"), "value")
+    batches = [
+        _arrive(events.select("event_id", "user_id", "ts"), _later("ts", F.col("event_id") * 37 % 300), "2024-01-01", 11, 3, f"{root}/probes"),
+        _arrive(values, _later("seen", F.col("event_id") * 101 % 360), "2024-01-01", 11, 3, f"{root}/evidence"),
+    ]
+
+    def work_off() -> None:
+        probes, evidence = (spark.readStream.schema(t.schema).parquet(f"{root}/{n}") for t, n in ((events.select("event_id", "user_id", "ts"), "probes"), (values, "evidence")))
+        found = state.interval_lookup(probes, evidence, **_LOOKUP, lateness=timedelta(hours=6))
+        state.append_stream(found, f"{root}/found", f"{root}/progress").awaitTermination()
+
+    for _ in zip(*batches, strict=True):
+        work_off()
+    end = _day("2024-03-01 00:00:00")
+    for name, time, table in (("probes", "ts", events.select("event_id", "user_id", "ts")), ("evidence", "seen", values)):
+        last = table.limit(1).withColumns({"user_id": F.lit(-1).cast("long"), time: end})
+        last.write.mode("append").parquet(f"{root}/{name}")
+    work_off()
+    return spark.read.schema("user_id BIGINT, ts TIMESTAMP_NTZ, value DOUBLE, evidence_ts TIMESTAMP_NTZ").parquet(f"{root}/found")
+
+
+@query("q32_state_changes")
+def state_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Counters that go up and down, in five batches, held in the state store.
+
+    The third batch fails in the sink at first and is repeated; customers without a counter for 400 days are forgotten.
+    """
+    root = scratch_path(spark, "state-changes")
+    level = F.floor(F.col("o_totalprice") / 50000).cast("long")
+    counters = read(spark, sf, "orders").select("o_orderkey", "o_custkey", level.alias("games"), F.col("o_orderdate").alias("seen"))
+    late = F.make_dt_interval(days=(F.col("o_orderkey") % 50).cast("int"))
+    collect = _collector(f"{root}/changed")
+
+    def fail(_: DataFrame, number: int) -> None:
+        raise RuntimeError("the sink is down")
+
+    for n in _arrive(counters, F.col("seen") + late, "1995-01-01", 482, 5, f"{root}/in"):
+        for handle in [fail, collect] if n == 2 else [collect]:
+            stream = spark.readStream.schema(counters.schema).parquet(f"{root}/in")
+            changes = state.changed_counters(stream, ["o_custkey"], counter="games", at="seen", lateness=timedelta(days=60), keep=timedelta(days=400))
+            running = state.hand_over(changes, handle, f"{root}/progress")
+            try:
+                running.awaitTermination()
+            except StreamingQueryException:
+                if handle is collect:
+                    raise
+    written = "o_custkey BIGINT, previous BIGINT, games BIGINT, seen TIMESTAMP"
+    return spark.read.schema(written).parquet(f"{root}/changed").select("o_custkey", "previous", "games", F.col("seen").cast("timestamp_ntz").alias("seen"))
+
+
+@query("q31_bounded_sightings")
+def bounded_sightings(spark: SparkSession, sf: str) -> DataFrame:
+    """First sightings of rows that may come 60 days late, and the rows that came later."""
+    root = scratch_path(spark, "bounded-sightings")
+    keys = ["o_custkey", "o_orderpriority", "o_orderdate"]
+    rows = read(spark, sf, "orders").select("o_orderkey", *keys)
+    days = F.when(F.col("o_orderkey") % 10 == 0, 400).otherwise(F.col("o_orderkey") % 30)
+    for _ in _arrive(rows, F.col("o_orderdate") + F.make_dt_interval(days=days.cast("int")), "1995-01-01", 810, 3, f"{root}/in"):
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+        state.first_sightings_within(stream, keys, "o_orderdate", timedelta(days=60), root)
+    kind = "o_orderkey BIGINT, o_custkey BIGINT, o_orderpriority STRING, o_orderdate TIMESTAMP_NTZ"
+    seen = state.sightings(spark, root, kind).select(F.lit(False).alias("late"), *keys)
+    return seen.unionByName(state.late_rows(spark, root, kind).select(F.lit(True).alias("late"), *keys))
