@@ -19,6 +19,7 @@ from rungworks.operators import changes, contracts, daily, flatten, inference, l
 from rungworks.operators.asof import asof_lookup
 from rungworks.operators.hotkeys import heavy_keys
 from rungworks.plans import bronze, gold, silver, worklists
+from rungworks.plans.folded import fold_distinct, fold_latest
 from rungworks.session import scratch_path, stage
 from rungworks.sources import arrays, documents, listing, tables
 from rungworks.streaming import ingest as streams
@@ -309,6 +310,23 @@ def latest_per_character(spark: SparkSession, sf: str) -> DataFrame:
     return latest.latest_per_key(roles.snapshots(spark, sf), ["character_id"], "snapshot_ts")
 
 
+@query("q16_folded_latest")
+def folded_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``q16_latest_per_race``, in three runs that each read the days that changed; some rows come 12 days late."""
+    root = scratch_path(spark, "folded-latest")
+    rows = roles.snapshots(spark, sf)
+    table = schemas.Table("snapshots", rows.schema.simpleString()[7:-1], ("character_id",), ("character_id",), time="snapshot_ts")
+    late = F.when(F.col("ladder_id") % 7 == 0, 12).otherwise(0)
+    day = F.datediff(F.col("snapshot_ts").cast("date"), F.lit("2024-01-01").cast("date")) + late
+    found = rows
+    for first, last in ((-1000, 10), (10, 20), (20, 1000)):
+        came = stage(rows.where((day >= first) & (day < last)), "folded-came")
+        tables.note_days(spark, f"{root}/snapshots", tables.touched_days(came, "snapshot_ts"))
+        tables.append(came, f"{root}/snapshots", table)
+        found = fold_latest(spark, f"{root}/snapshots", table, f"{root}/newest", lambda df: df, ["character_id", "race"], "snapshot_ts")
+    return found
+
+
 @query("q16_latest_rating")
 def latest_rating(spark: SparkSession, sf: str) -> DataFrame:
     return inference.latest_ratings(roles.rating_track(spark, sf))
@@ -319,6 +337,21 @@ def race_counts(spark: SparkSession, sf: str) -> DataFrame:
     return inference.race_counts(roles.rating_track(spark, sf))
 
 
+@query("q17_folded_race_counts")
+def folded_race_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``q17_race_counts``, from the distinct races kept over three runs; orders arrive by key, not by time."""
+    root = scratch_path(spark, "folded-races")
+    rows = roles.rating_track(spark, sf).select("character_id", "race", F.date_trunc("year", "snapshot_ts").cast("timestamp_ntz").alias("year"))
+    table = schemas.Table("races", rows.schema.simpleString()[7:-1], ("character_id",), ("character_id",), time="year")
+    found = rows
+    for part in range(3):
+        came = rows.where(F.pmod(F.xxhash64("character_id", "race", "year"), F.lit(3)) == part)
+        tables.note_days(spark, f"{root}/races", tables.touched_days(came, "year"))
+        tables.append(came, f"{root}/races", table)
+        found = fold_distinct(spark, f"{root}/races", table, f"{root}/distinct", lambda df: df.select("character_id", "race"))
+    return inference.race_counts(found)
+
+
 @query("q18_max_counter_first_seen")
 def max_counter(spark: SparkSession, sf: str) -> DataFrame:
     return changes.max_counter_first_seen(
@@ -561,7 +594,7 @@ def league_contract(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("o_orderstatus") == "O", F.lit('{"key": [], "tier": []}'))
         .otherwise(F.lit("not json"))
     )
-    orders = read(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    orders = roles.dealt(read(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"), "o_orderkey")
     docs = orders.select("o_orderkey", payload.alias("payload"))
     return contracts.check_payloads(docs, "payload", "league").select("o_orderkey", "violation")
 
@@ -590,7 +623,7 @@ def list_contracts(spark: SparkSession, sf: str) -> DataFrame:
         .when(event == "signup", instead('"team": null, "matches": $1'))
         .otherwise(F.concat(F.lit("["), props, F.lit("]")))
     )
-    events = read(spark, sf, "events").select("event_id", "event_type", "props")
+    events = roles.dealt(read(spark, sf, "events").select("event_id", "event_type", "props"), "event_id")
     docs = events.select("event_id", damaged.alias("payload"))
     return docs.select(
         "event_id",
@@ -603,7 +636,7 @@ def list_contracts(spark: SparkSession, sf: str) -> DataFrame:
 @query("q29_request_wrapping")
 def request_wrapping(spark: SparkSession, sf: str) -> DataFrame:
     """Raw payloads wrapped with the ids they were asked for, then read back typed."""
-    events = read(spark, sf, "events").select(
+    events = roles.dealt(read(spark, sf, "events").select("event_id", "user_id", "props"), "event_id").select(
         "event_id", F.col("user_id").alias("profile_id"), F.col("props").alias("payload")
     )
     with_ids = documents.with_request_ids(events, ["profile_id"], "payload")

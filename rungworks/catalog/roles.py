@@ -23,6 +23,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt over the shuffle's partitions, as documents of a large lake are over its files.
+
+    The given tables are one file each, whose documents would all be built and parsed by one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def floor_long(value: Column) -> Column:
     return F.floor(value).cast("bigint")
 
@@ -128,7 +136,8 @@ def modern_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.lit(".json"),
     )
-    orders = read(spark, sf_dir, "orders")
+    told = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_totalprice"]
+    orders = dealt(read(spark, sf_dir, "orders").select(told), "o_orderkey")
     return orders.select(
         file_name.alias("file_name"),
         F.to_json(
@@ -193,7 +202,7 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     decision = F.when(event == "purchase", "WIN").when(event == "error", "LOSS").otherwise("TIE")
     undated = match(F.lit(0).cast("bigint"), F.lit("WIN"))
     stamp = F.date_format("ts", filenames.STAMP_FORMAT)
-    events = read(spark, sf_dir, "events").select("user_id", "event_type", "ts")
+    events = dealt(read(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts"), "event_id")
     return events.select(
         F.concat(F.lit("matches_all_history_"), stamp, F.lit(".json")).alias("file_name"),
         F.col("ts"),

@@ -31,27 +31,26 @@ INFERRED_COLUMNS = (
 )
 
 
-def current_players(modern: DataFrame, legacy: DataFrame) -> DataFrame:
-    """Newest tags and names of each (character, race); legacy names win over modern ones."""
-    by_race = latest_per_key(
-        modern.where(F.col("primary_race").isNotNull() & F.col("character_id").isNotNull()).select(
-            "character_id",
-            F.col("primary_race").alias("race"),
-            "battle_tag",
-            "character_name",
-            "snapshot_ts",
-        ),
-        ["character_id", "race"],
-        "snapshot_ts",
-    )
-    names = latest_per_key(
-        legacy.where(F.col("character_id").isNotNull()).select(
-            "character_id", "display_name", "clan_tag", "snapshot_ts"
-        ),
-        ["character_id"],
-        "snapshot_ts",
-    ).drop("snapshot_ts")
-    return by_race.join(names, "character_id", "left").select(
+#: By what the newest tags, and the newest names, are found.
+TAG_KEY = ("character_id", "race")
+NAME_KEY = ("character_id",)
+
+
+def tag_rows(modern: DataFrame) -> DataFrame:
+    """What a snapshot of a ladder says of a character's race."""
+    sound = modern.where(F.col("primary_race").isNotNull() & F.col("character_id").isNotNull())
+    race = F.col("primary_race").alias("race")
+    return sound.select("character_id", race, "battle_tag", "character_name", "snapshot_ts")
+
+
+def name_rows(legacy: DataFrame) -> DataFrame:
+    """What a snapshot of the members says of a character's name."""
+    return legacy.where(F.col("character_id").isNotNull()).select("character_id", "display_name", "clan_tag", "snapshot_ts")
+
+
+def named_players(tags: DataFrame, names: DataFrame) -> DataFrame:
+    """The newest tags (:func:`tag_rows`) with the newest names, which win over those of the ladder."""
+    return tags.join(names.drop("snapshot_ts"), "character_id", "left").select(
         "character_id",
         "race",
         "battle_tag",
@@ -60,6 +59,12 @@ def current_players(modern: DataFrame, legacy: DataFrame) -> DataFrame:
     )
 
 
+def current_players(modern: DataFrame, legacy: DataFrame) -> DataFrame:
+    """Newest tags and names of each (character, race); legacy names win over modern ones."""
+    tags = latest_per_key(tag_rows(modern), TAG_KEY, "snapshot_ts")
+    return named_players(tags, latest_per_key(name_rows(legacy), NAME_KEY, "snapshot_ts"))
+
+
 def merge_players(dimension: DataFrame, current: DataFrame, as_of: str) -> DataFrame:
     """The dimension after a run: current values replaced, former names and clans remembered.
 

@@ -7,6 +7,7 @@ for the days a run touches.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from rungworks.functions.scalars import since_days_date
 from rungworks.operators import daily, pairs
 from rungworks.operators.merge import rows_to_insert
 from rungworks.plans import gold
+from rungworks.plans.folded import fold_latest
 from rungworks.plans.silver import set_aside
 from rungworks.session import stage, staging
 from rungworks.sources import tables
@@ -31,13 +33,16 @@ def _first_day(as_of: str, days: int) -> date:
 
 
 def build_players(spark: SparkSession, silver: str, gold_root: str, as_of: str) -> None:
+    """The player dimension from the newest tags and names, which are kept; only changed days are read."""
+
+    def newest(table: schemas.Table, rows: Callable[[DataFrame], DataFrame], keys: tuple[str, ...]) -> DataFrame:
+        return fold_latest(spark, f"{silver}/{table.name}", table, f"{gold_root}/newest_{table.name}", rows, keys, "snapshot_ts")
+
+    tags = newest(schemas.MODERN_LADDER_TEAMS, gold.tag_rows, gold.TAG_KEY)
+    names = newest(schemas.LEGACY_LADDER_MEMBERS, gold.name_rows, gold.NAME_KEY)
     root = f"{gold_root}/{schemas.DIM_PLAYERS.name}"
-    current = gold.current_players(
-        _silver(spark, silver, schemas.MODERN_LADDER_TEAMS),
-        _silver(spark, silver, schemas.LEGACY_LADDER_MEMBERS),
-    )
     held = tables.read_version(spark, root, schemas.DIM_PLAYERS)
-    tables.write_version(gold.merge_players(held, current, as_of), root)
+    tables.write_version(gold.merge_players(held, gold.named_players(tags, names), as_of), root)
 
 
 def build_track(

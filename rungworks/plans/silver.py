@@ -106,10 +106,12 @@ def load(flow: Flow, docs: DataFrame, silver: str, as_of: str) -> tuple[int, int
         sound, aside = split(checked)
         n = checked.agg(F.count("*").alias("rows"), F.count("violation").alias("broken")).first()
         sound = table.conform(sound)
-        target = tables.read_table(spark, path, table, tables.touched_days(sound, table.time))
+        days = tables.touched_days(sound, table.time)
+        target = tables.read_table(spark, path, table, days)
         fresh = stage(rows_to_insert(target, sound, table.key).withColumn(table.audit, moment(as_of)), f"new-{table.name}")
         inserted = fresh.count()
         if inserted:
+            tables.note_days(spark, path, days)
             tables.append(fresh, path, table)
         if n["broken"]:
             set_aside(aside, table.name, F.col("violation"), table.payload, silver, as_of)

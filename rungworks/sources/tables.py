@@ -167,6 +167,32 @@ def append(df: DataFrame, path: str, table: Table) -> None:
         df.write.mode("append").parquet(path)
 
 
+#: Days that may have got rows, and the number of the change that brought them.
+CHANGES = Table("changes", "day DATE, change BIGINT", (), ())
+
+
+def _changes(spark: SparkSession, path: str) -> DataFrame:
+    return read_table(spark, f"{path}-changes", CHANGES)
+
+
+def note_days(spark: SparkSession, path: str, days: Sequence[date]) -> None:
+    """Note the days of a table that rows are about to be added to, as its next change.
+
+    Before the rows are written: a writer that dies then leaves days noted in vain, which does no
+    harm, and notes them again when it is repeated.
+    """
+    if days:
+        change = (_changes(spark, path).agg(F.max("change")).first()[0] or 0) + 1
+        noted = spark.createDataFrame([(d, change) for d in days], CHANGES.schema)
+        noted.coalesce(1).write.mode("append").parquet(f"{path}-changes")
+
+
+def changed_days(spark: SparkSession, path: str, since: int) -> dict[date, int]:
+    """The days noted after the change ``since``, each with its last change."""
+    newer = _changes(spark, path).where(F.col("change") > since)
+    return {r["day"]: r["last"] for r in newer.groupBy("day").agg(F.max("change").alias("last")).collect()}
+
+
 def replace_days(df: DataFrame, path: str, table: Table) -> None:
     """Replace the day folders that ``df`` has rows in.
 
