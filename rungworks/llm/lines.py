@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rungworks.llm.common import collapsed, free_name
+from rungworks.session import stage
 
 #: Sites on which a line must occur to be boilerplate.
 MIN_SITES = 10
@@ -38,15 +39,19 @@ def _key(line: Column) -> Column:
     return F.trim(collapsed(line))
 
 
-def _occurrences(df: DataFrame, text: str, *more: Column) -> DataFrame:
-    """One row per line with a word: its place ``pos`` and its hash ``a, b``."""
-    lines = df.select(*more, F.posexplode(F.transform(_lines(F.col(text)), _key)).alias("pos", "line")).where("line <> ''")
+def _occurrences(df: DataFrame, text: str, **more: Column) -> DataFrame:
+    """One row per line with a word: its place ``pos``, its hash ``a, b``, and ``more`` of its row.
+
+    What is told of the row is worked out before its lines are exploded, once and not per line.
+    """
+    rows = df.select(F.col(text).alias("whole text"), *[c.alias(name) for name, c in more.items()])
+    lines = rows.select(*more, F.posexplode(F.transform(_lines(F.col("whole text")), _key)).alias("pos", "line")).where("line <> ''")
     return lines.withColumns({"a": F.xxhash64("line"), "b": F.xxhash64(F.lit(1), "line")}).drop("line")
 
 
 def spread(df: DataFrame, text: str = "text", site: str = "source", lg_k: int = LG_K) -> DataFrame:
     """``a, b, sites``: the estimated number of sites of every line."""
-    found = _occurrences(df, text, F.col(site).cast("string").alias("site"))
+    found = _occurrences(df, text, site=F.col(site).cast("string"))
     return found.groupBy("a", "b").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("sites"))
 
 
@@ -56,7 +61,7 @@ def boilerplate(df: DataFrame, text: str = "text", site: str = "source", min_sit
     candidates = spread(df, text, site, lg_k).where(F.col("sites") >= min_sites - slack)
     sure = candidates.where(F.col("sites") > min_sites + slack).select("a", "b")
     close = candidates.where(F.col("sites") <= min_sites + slack).select("a", "b")
-    each = _occurrences(df, text, F.col(site).cast("string").alias("site")).where("site IS NOT NULL").join(close, ["a", "b"], "left_semi")
+    each = _occurrences(df, text, site=F.col(site).cast("string")).where("site IS NOT NULL").join(close, ["a", "b"], "left_semi")
     counted = each.groupBy("a", "b", "site").agg(F.lit(1)).groupBy("a", "b").agg(F.count("*").alias("sites"))
     return sure.unionByName(counted.where(F.col("sites") >= min_sites).select("a", "b"))
 
@@ -67,8 +72,9 @@ def remove_boilerplate(df: DataFrame, text: str = "text", site: str = "source",
     x, y, bad, lines, keep = free_name(base, "_x", "_y", "_bad", "_lines", "_keep")
     # A row is known by the hash of its id and text: what is removed from it depends on no more.
     rows = F.xxhash64(doc_id, text), F.xxhash64(F.lit(1), text, doc_id)
-    shared = boilerplate(df, text, site, **options)  # type: ignore[arg-type]
-    places = _occurrences(df, text, rows[0].alias(x), rows[1].alias(y)).join(shared, ["a", "b"], "left_semi").groupBy(x, y).agg(F.collect_set("pos").alias(bad))
+    # Staged, so that it is joined by its size, and the rows of a line that a third of them hold can be split.
+    shared = stage(boilerplate(df, text, site, **options), "lines-shared")  # type: ignore[arg-type]
+    places = _occurrences(df, text, **{x: rows[0], y: rows[1]}).join(shared, ["a", "b"], "left_semi").groupBy(x, y).agg(F.collect_set("pos").alias(bad))
     met = base.withColumns({x: rows[0], y: rows[1]}).join(places, [x, y], "left")
     cut = met.withColumn(lines, _lines(F.col(text))).withColumn(keep, F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.coalesce(bad, F.array().cast("array<int>"))))
     kept = F.when(F.col(bad).isNull(), F.col(text)).otherwise(F.array_join(F.transform(keep, lambda i: F.get(F.col(lines), i)), "\n"))
