@@ -11,7 +11,7 @@ The chain is followed by pointer jumping.  Neighbours that succeed each other fo
 points to the run that holds its last record's successor, and doubling these pointers
 reaches all runs from the first in a number of rounds that is the logarithm of the runs of a
 file (none, where no payload holds magic).  Windows are over one archive, a file of
-bounded size, whose pieces are shuffled once with their payloads.
+``RECORDS`` records at most, whose pieces are shuffled once with their payloads.
 
 Everything is built-in column code; staged tables go to the shared folder.  Defined
 results: a null payload is empty; a null url has no header; line breaks in urls are
@@ -34,6 +34,8 @@ GAP = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Payloads of at least so many bytes are stored once.
 LEAST_REVISITED = 0
+#: Records of an archive at most; a task that writes more begins another.
+RECORDS = 2048
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
@@ -81,7 +83,7 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
         _header("WARC-Profile", F.when(again, F.lit(PROFILE))),
         F.lit("Content-Length: "), F.octet_length(block).cast("string"), F.lit(GAP), block,
     )
-    typed.select(record.alias("value")).write.option("lineSep", GAP).option("compression", "gzip").text(path)
+    typed.select(record.alias("value")).write.option("maxRecordsPerFile", RECORDS).option("lineSep", GAP).option("compression", "gzip").text(path)
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
