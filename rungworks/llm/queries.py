@@ -72,7 +72,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.judge(quality.metrics(_documents(spark, sf_dir)))
+    judged = quality.judge(quality.metrics(_documents(spark, sf_dir)), known=quality.METRICS)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (F.col("kept") & ~failed).alias("kept"))
 
