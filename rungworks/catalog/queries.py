@@ -15,7 +15,7 @@ from rungworks.catalog import roles
 from rungworks.catalog.roles import AS_OF, EVENTS_AS_OF, MATCH_DAYS, read
 from rungworks.functions import filenames
 from rungworks.functions.scalars import moment
-from rungworks.operators import changes, contracts, daily, flatten, inference, latest, matching, merge, pairs
+from rungworks.operators import changes, contracts, daily, flatten, inference, keyfilter, latest, matching, merge, pairs
 from rungworks.operators.asof import asof_lookup
 from rungworks.operators.hotkeys import heavy_keys
 from rungworks.plans import bronze, gold, silver, worklists
@@ -210,6 +210,24 @@ def load_summary(spark: SparkSession, sf: str) -> DataFrame:
     return merge.load_summary(batch, merge.rows_to_insert(target, batch, LINE_KEY, LINE_KEY))
 
 
+@query("q12_key_filters")
+def key_filters(spark: SparkSession, sf: str) -> DataFrame:
+    """Filters of the lines of odd number, asked for all lines: none held is missed, few others are reported."""
+    key = [*LINE_KEY, "l_shipdate"]
+    lines = read(spark, sf, "lineitem").select(*key).distinct()
+    held = F.col("l_linenumber") % 2 == 1
+    filters = stage(keyfilter.build(lines.where(held), "l_shipdate", key), "key-filters")
+    reported = keyfilter.possibly_held(lines, filters, "l_shipdate", key).drop("day").withColumn("reported", F.lit(True))
+    asked = lines.join(reported, key, "left").withColumn("reported", F.col("reported").isNotNull())
+    false, others = F.count_if(F.col("reported") & ~held), F.count_if(~held)
+    return asked.groupBy(F.year("l_shipdate").alias("year")).agg(
+        F.count("*").alias("keys"),
+        F.count_if(held).alias("held"),
+        F.count_if(F.col("reported") & held).alias("found"),
+        (100 * false <= others + 100).alias("few_false"),
+    )
+
+
 @query("q12_table_constraints")
 def table_constraints(spark: SparkSession, sf: str) -> DataFrame:
     day = F.date_trunc("day", F.col("ts")).cast("timestamp_ntz")

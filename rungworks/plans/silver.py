@@ -6,12 +6,12 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import islice
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from rungworks import schemas
 from rungworks.functions.scalars import moment
-from rungworks.operators import flatten
+from rungworks.operators import flatten, keyfilter
 from rungworks.operators.contracts import row_violation, split
 from rungworks.operators.merge import rows_to_insert
 from rungworks.session import stage, staging
@@ -96,26 +96,41 @@ def load(flow: Flow, docs: DataFrame, silver: str, as_of: str) -> tuple[int, int
     """Insert the sound rows of ``docs`` whose key the table lacks: (processed, inserted).
 
     The documents are parsed once, into a staged table, and so are the rows to insert;
-    both are counted from there.  Only the target's keys of the days in the batch are
-    read.  Broken rows go to the quarantine table, as text.
+    both are counted while they are written, in the last stage of their job, so that work
+    done again counts once.  Only days that may hold a key of the batch are read, by the
+    Bloom filters of the table's keys, and of those only the keys.  Filters are written before
+    the rows they speak of: a load that dies leaves a filter that reports too much, never too
+    little.  Rows get into a table with filters by this function only; a table that had
+    rows before it had filters does without.  Broken rows go to the quarantine table, as text.
     """
     spark, table = docs.sparkSession, flow.table
     path = f"{silver}/{table.name}"
     with staging(spark):
-        checked = stage(checked_rows(flow, docs), f"load-{table.name}")
-        sound, aside = split(checked)
-        n = checked.agg(F.count("*").alias("rows"), F.count("violation").alias("broken")).first()
+        rows = F.count(F.lit(1)).alias("rows")
+        came, went = Observation(), Observation()
+        checked = checked_rows(flow, docs).observe(came, rows, F.count("violation").alias("broken"))
+        sound, aside = split(stage(checked, f"load-{table.name}"))
+        broken = came.get["broken"]
         sound = table.conform(sound)
         days = tables.touched_days(sound, table.time)
-        target = tables.read_table(spark, path, table, days)
-        fresh = stage(rows_to_insert(target, sound, table.key).withColumn(table.audit, moment(as_of)), f"new-{table.name}")
-        inserted = fresh.count()
+        filtered = tables.has_filters(spark, path)
+        may_hold = days
+        if filtered:
+            filters = tables.read_table(spark, f"{path}-keys", keyfilter.FILTERS).where(F.col("day").isin(days))
+            may_hold = tables.touched_days(keyfilter.possibly_held(sound, filters, table.time, table.key), "day")
+        target = tables.read_table(spark, path, table, may_hold)
+        new = rows_to_insert(target, sound, table.key).withColumn(table.audit, moment(as_of))
+        fresh = stage(new.observe(went, rows), f"new-{table.name}")
+        inserted = went.get["rows"]
         if inserted:
+            if filtered:
+                built = keyfilter.build(fresh, table.time, table.key)
+                tables.append(built, f"{path}-keys", keyfilter.FILTERS)
             tables.note_days(spark, path, days)
             tables.append(fresh, path, table)
-        if n["broken"]:
+        if broken:
             set_aside(aside, table.name, F.col("violation"), table.payload, silver, as_of)
-    return n["rows"] - n["broken"], inserted
+    return came.get["rows"] - broken, inserted
 
 
 SUMMARY = "processed BIGINT, inserted BIGINT, skipped BIGINT, outside_window BIGINT, lagging BOOLEAN"

@@ -71,7 +71,7 @@ def read_table(
 
     ``days`` and ``since`` pick day folders; the others are not listed as input.
     """
-    if not exists(spark, path):
+    if not exists(spark, path) or (days is not None and not days):
         return table.empty(spark)
     if not table.time:
         return spark.read.schema(table.schema).parquet(path)
@@ -193,6 +193,13 @@ def changed_days(spark: SparkSession, path: str, since: int) -> dict[date, int]:
     return {r["day"]: r["last"] for r in newer.groupBy("day").agg(F.max("change").alias("last")).collect()}
 
 
+def has_filters(spark: SparkSession, path: str) -> bool:
+    """Whether filters speak for all keys of the table: they do from its first rows on, or never."""
+    if exists(spark, f"{path}-keys"):
+        return True
+    return not exists(spark, path) or not (_day_folders(spark, path) or _waiting(spark, path))
+
+
 def replace_days(df: DataFrame, path: str, table: Table) -> None:
     """Replace the day folders that ``df`` has rows in.
 
