@@ -8,12 +8,14 @@ what it brings, and the state holds the rows of the lateness (and tolerance) and
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator, Sequence
 from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -84,6 +86,25 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).format("parquet").outputMode("append").start(path)
 
 
+#: Groups that the keys of :func:`changed_counters` are dealt to.
+BUCKETS = 1024
+
+
+def _text_of(field: T.StructField) -> Column:
+    """A key as text that :func:`_of_text` turns into the same key."""
+    value = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.BinaryType):
+        return F.hex(value)
+    if isinstance(field.dataType, T.FractionalType):
+        value = value + F.lit(0).cast(field.dataType)  # of the two zeros the positive one
+    return value.cast("string")
+
+
+def _of_text(field: T.StructField, text: str) -> Column:
+    value = F.unhex(text) if isinstance(field.dataType, T.BinaryType) else F.col(text).cast(field.dataType)
+    return value.alias(field.name)
+
+
 def changed_counters(
     counters: DataFrame,
     keys: Sequence[str],
@@ -92,6 +113,7 @@ def changed_counters(
     at: str,
     lateness: timedelta,
     keep: timedelta,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """The keys whose counter moved, with the counter handed over ``previous``\\ ly, batch by batch.
 
@@ -99,46 +121,69 @@ def changed_counters(
     one time the greatest counter), and only if it is newer than what is held; it is handed over if
     the counter differs, up or down, or if none is held.  A key not seen for ``keep`` is
     forgotten and handed over as new when it comes back; rows later than ``lateness`` are left out.
-    Rows without a counter or time take no part; null keys are keys.
+    Rows without a counter or time take no part; null keys are keys, which are of plain types.
+
+    Keys are dealt to ``buckets`` groups by their hash, and a group's state holds its keys: Python is
+    called per bucket and batch, not per key.  The number is fixed when a stream begins; only
+    buckets that a batch brings rows for, or that hold a key to forget, are read and written.
 
     The state belongs to the batch: one that fails in the sink is repeated from the state before
     it, and gives the very same rows.
     """
+    own = counters.select(*keys).schema.fields
+    names = [f"_key{i}" for i in range(len(own))]
     moving = counters.where(F.col(counter).isNotNull() & F.col(at).isNotNull())
-    told = moving.select(*keys, F.col(counter).cast("long").alias(counter), F.col(at).cast("timestamp").alias(at)).withWatermark(at, _text(lateness))
-    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in told.select(*keys).schema.fields)
+    told = moving.select(
+        *[_text_of(f).alias(n) for f, n in zip(own, names, strict=True)],
+        F.col(counter).cast("long").alias("_counter"),
+        F.col(at).cast("timestamp").alias("_at"),
+    ).withWatermark("_at", _text(lateness))
+    dealt = told.withColumns({"_time": F.unix_micros("_at"), "_bucket": F.pmod(F.xxhash64(*names), F.lit(buckets))})
     kept_ms = keep // _MILLI
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        held = state.get if state.exists else None  # (time in microseconds, counter)
-        newest = held
-        for frame in frames:
-            times = frame[at].astype("datetime64[us]").astype("int64")
-            last = int(times.max())
-            found = (last, int(frame[counter][times == last].max()))
-            newest = found if newest is None else max(newest, found)
-        if newest is None:
-            return
-        until = newest[0] // 1000 + kept_ms
-        if until > state.getCurrentWatermarkMs():
-            state.update(newest)
-            state.setTimeoutTimestamp(until)
+    def until(held: tuple[int, int]) -> int:
+        return held[0] // 1000 + kept_ms
+
+    def step(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """The state of a bucket is {key: (time in microseconds, counter)}."""
+        held = pickle.loads(bytes(state.get[0])) if state.exists else {}
+        came: dict[tuple, tuple[int, int]] = {}
+        for frame in () if state.hasTimedOut else frames:
+            columns = [[None if v != v else v for v in frame[n]] for n in names]  # NaN stands for null
+            found = zip(frame["_time"].tolist(), frame["_counter"].tolist(), strict=True)
+            for key, newest in zip(zip(*columns, strict=True), found, strict=True):
+                if key not in came or came[key] < newest:
+                    came[key] = newest
+        moved = []
+        for key, newest in came.items():
+            was = held.get(key)
+            held[key] = newest if was is None else max(was, newest)
+            if was is None or held[key][1] != was[1]:
+                moved.append((*key, was and was[1], held[key][1], held[key][0]))
+        now = state.getCurrentWatermarkMs()
+        held = {k: h for k, h in held.items() if until(h) > now or (until(h) == now and k not in came)}
+        if held:
+            state.update((pickle.dumps(held),))
+            state.setTimeoutTimestamp(max(min(map(until, held.values())), now + 1))
         elif state.exists:
             state.remove()
-        if held is None or newest[1] != held[1]:
-            row = {**dict(zip(keys, ([k] for k in key), strict=True)), "previous": pd.array([held and held[1]], dtype="Int64"), counter: [newest[1]], at: [pd.Timestamp(newest[0], unit="us")]}
-            yield pd.DataFrame(row)
+        if moved:
+            out = pd.DataFrame(moved, columns=[*names, "previous", "_counter", "_time"])
+            yield out.astype({"previous": "Int64"} | dict.fromkeys(names, object))
 
-    return told.groupBy(*keys).applyInPandasWithState(
+    changes = dealt.groupBy("_bucket").applyInPandasWithState(
         step,
-        f"{own}, previous BIGINT, `{counter}` BIGINT, `{at}` TIMESTAMP",
-        "at BIGINT, counter BIGINT",
+        ", ".join([*[f"{n} STRING" for n in names], "previous BIGINT", "_counter BIGINT", "_time BIGINT"]),
+        "held BINARY",
         "update",
         GroupStateTimeout.EventTimeTimeout,
     )
+    return changes.select(
+        *[_of_text(f, n) for f, n in zip(own, names, strict=True)],
+        "previous",
+        F.col("_counter").alias(counter),
+        F.timestamp_micros("_time").alias(at),
+    )
 
 
 def hand_over(changes: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:

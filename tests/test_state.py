@@ -125,6 +125,36 @@ def test_counters_that_moved_are_handed_over_once(spark, tmp_path):
     assert turn((6, 1, 202)) == []
 
 
+def test_keys_share_a_bucket_and_keep_their_own_counters_and_times(spark, tmp_path):
+    """Many keys in few groups, against a model that knows every key by itself."""
+    ddl, rng = "k BIGINT, z DOUBLE, n BIGINT, t TIMESTAMP_NTZ", random.Random(11)
+    held, watermark, big = {}, None, 2**60 + 1
+    for batch in range(5):
+        keys = [(rng.choice([None, big, big + 1, *range(30 * batch, 30 * batch + 60)]), rng.choice([0.0, -0.0, None, 0.1])) for _ in range(200)]
+        values = [(*k, rng.randrange(3), _minutes(100 * batch + rng.randrange(100))) for k in keys]
+        spark.createDataFrame(values, ddl).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(ddl).parquet(str(tmp_path / "in"))
+        changes = state.changed_counters(stream, ["k", "z"], counter="n", at="t", lateness=timedelta(minutes=150), keep=timedelta(minutes=160), buckets=3)
+        got = []
+        query = state.hand_over(changes, lambda df, _: got.extend(rows(df, "k", "z", "previous", "n", "t")), str(tmp_path / "progress"))  # noqa: B023
+        query.awaitTermination()
+        newest = {}
+        for k, z, n, t in values:
+            newest[k, z] = max(newest.get((k, z), (t, n)), (t, n))
+        want = []
+        for key, came in newest.items():
+            was = held.get(key)
+            held[key] = max(was, came) if was else came
+            if was is None or held[key][1] != was[1]:
+                want.append((*key, was and was[1], held[key][1], held[key][0]))
+        assert len(got) == len(want)
+        assert set(got) == set(want)
+        passed = max(t for *_, t in values) - timedelta(minutes=150)
+        watermark = max(watermark or passed, passed)
+        held = {k: h for k, h in held.items() if h[0] + timedelta(minutes=160) >= watermark}
+        assert sum(op.numRowsTotal for op in query.lastProgress.stateOperators) <= 3
+
+
 def test_sightings_in_time_and_a_side_table_lose_no_row(spark, tmp_path):
     ddl, root = "n INT, k INT, t TIMESTAMP_NTZ", str(tmp_path / "out")
     rng, sent = random.Random(9), []
