@@ -35,8 +35,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document and where each token ends, checked by decoding."""
-    ranks = rank_file()
-    coded = bpe.decode(bpe.encode(docs, ranks), ranks)
+    coded = bpe.encode_and_decode(docs, rank_file())
     return bpe.digests(coded).drop("decoded", "text", "n_chars")
 
 

@@ -342,30 +342,48 @@ def encode_texts(texts: Sequence[str], merge: Merger) -> tuple[np.ndarray, np.nd
     return ids, tokens[np.searchsorted(first, edges)]
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], merge: Merger, place: int, names: Sequence[str], offsets: bool) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        column = batch.column(place)
+        for a, b in _chunks(pc.coalesce(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)):
+            rows = batch.slice(a, b - a)
+            ids, edges = encode_texts([t or "" for t in rows.column(place).to_pylist()], merge)
+            arrays = [ids]
+            if offsets:
+                ends = np.cumsum(merge.lengths[ids], dtype=np.int64)
+                before = np.concatenate([[0], ends])[edges[:-1]]
+                arrays.append((ends - np.repeat(before, np.diff(edges))).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(x)) for x in arrays]
+            yield pa.RecordBatch.from_arrays([*rows.columns, *lists], names=names)
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], tokens: Sequence[bytes], place: int, names: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, 256):
+            rows = batch.slice(start, 256)
+            column = rows.column(place)
+            pieces = list(map(tokens.__getitem__, column.flatten().to_numpy(zero_copy_only=False).tolist()))
+            edges = np.concatenate([[0], np.cumsum(pc.coalesce(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))]).tolist()
+            texts = [b"".join(pieces[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, type=pa.binary())], names=names)
+
+
+def _coded_schema(base: DataFrame, offsets: bool) -> T.StructType:
+    results = ["ids", "ends"] if offsets else ["ids"]
+    return T.StructType([*base.schema.fields, *[T.StructField(r, T.ArrayType(T.IntegerType(), False)) for r in results]])
+
+
 def encode(df: DataFrame, ranks: str, text: str = "text", offsets: bool = True) -> DataFrame:
     """``df`` with ``ids`` and, if wanted, ``ends``: where each token ends in the text's bytes.
 
     ``ranks`` is the path of a rank file that every task can open.
     """
-    results = ["ids", "ends"] if offsets else ["ids"]
     base = df.drop("ids", "ends")
-    schema = T.StructType([*base.schema.fields, *[T.StructField(r, T.ArrayType(T.IntegerType(), False)) for r in results]])
-    names, place = [*base.columns, *results], base.columns.index(text)
+    schema = _coded_schema(base, offsets)
+    names, place = schema.names, base.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merge = _merger(ranks)
-        for batch in batches:
-            column = batch.column(place)
-            for a, b in _chunks(pc.coalesce(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)):
-                rows = batch.slice(a, b - a)
-                ids, edges = encode_texts([t or "" for t in rows.column(place).to_pylist()], merge)
-                arrays = [ids]
-                if offsets:
-                    ends = np.cumsum(merge.lengths[ids], dtype=np.int64)
-                    before = np.concatenate([[0], ends])[edges[:-1]]
-                    arrays.append((ends - np.repeat(before, np.diff(edges))).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(x)) for x in arrays]
-                yield pa.RecordBatch.from_arrays([*rows.columns, *lists], names=names)
+        return _encoded(batches, _merger(ranks), place, names, offsets)
 
     ship(df.sparkSession)
     return base.mapInArrow(run, schema)
@@ -375,18 +393,30 @@ def decode(df: DataFrame, ranks: str, ids: str = "ids") -> DataFrame:
     """``df`` with ``decoded``, the bytes that the ids stand for."""
     base = df.drop("decoded")
     schema = T.StructType([*base.schema.fields, T.StructField("decoded", T.BinaryType())])
-    names, place = [*base.columns, "decoded"], base.columns.index(ids)
+    names, place = schema.names, base.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _merger(ranks).tokens
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                rows = batch.slice(start, 256)
-                column = rows.column(place)
-                pieces = list(map(tokens.__getitem__, column.flatten().to_numpy(zero_copy_only=False).tolist()))
-                edges = np.concatenate([[0], np.cumsum(pc.coalesce(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))]).tolist()
-                texts = [b"".join(pieces[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, type=pa.binary())], names=names)
+        return _decoded(batches, _merger(ranks).tokens, place, names)
+
+    ship(df.sparkSession)
+    return base.mapInArrow(run, schema)
+
+
+def encode_and_decode(df: DataFrame, ranks: str, text: str = "text", offsets: bool = True) -> DataFrame:
+    """:func:`encode`, then :func:`decode`, by one Python process a task instead of two.
+
+    Ids go from one to the other in chunks of ``CHUNK`` bytes of text; between two processes Spark would gather
+    them, with the texts, into batches of 10,000 rows, which is most of the memory that both take.
+    """
+    base = df.drop("ids", "ends", "decoded")
+    coded = _coded_schema(base, offsets)
+    schema = T.StructType([*coded.fields, T.StructField("decoded", T.BinaryType())])
+    between, names, place = coded.names, schema.names, base.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merge = _merger(ranks)
+        encoded = _encoded(batches, merge, place, between, offsets)
+        return _decoded(encoded, merge.tokens, between.index("ids"), names)
 
     ship(df.sparkSession)
     return base.mapInArrow(run, schema)

@@ -81,6 +81,15 @@ def test_frames_pass_other_columns_and_round_trip(spark):
         assert row.ends == [] if not row.text else row.ends[-1] == len(row.text.encode())
 
 
+def test_encoding_and_decoding_in_one_process_equals_both(spark):
+    rows = [(i, t, "old", "old") for i, t in enumerate(TEXTS)] + [(90, None, "old", "old")] + [(100 + i, "many of them", "", "") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string, decoded string").coalesce(1)
+    both, one = bpe.decode(bpe.encode(df, RANKS), RANKS), bpe.encode_and_decode(df, RANKS)
+    assert one.columns == both.columns
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, both.collect()))
+    assert one._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_query_equals_the_library(spark, own):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     got = QUERIES["op4_byte_bpe"](spark, DATA).collect()
