@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from datetime import timedelta
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.errors import StreamingQueryException
@@ -452,8 +452,15 @@ def rolling_track(spark: SparkSession, sf: str) -> DataFrame:
 # -------------------------------------------------------------------- matches
 
 
+def _reports(spark: SparkSession, sf: str) -> tuple[DataFrame, datetime | None]:
+    """The match reports, put together once, and the earliest match that the window reports."""
+    reports = stage(roles.match_reports(spark, sf), "match-reports")
+    return reports, gold.earliest_match(reports, AS_OF, MATCH_DAYS)
+
+
 def _games(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.rebuilt_games(roles.match_reports(spark, sf), AS_OF, MATCH_DAYS)
+    reports, since = _reports(spark, sf)
+    return gold.rebuilt_games(reports, AS_OF, MATCH_DAYS, history_since=since)
 
 
 @query("q21_pairs")
@@ -489,25 +496,29 @@ def rank_candidates(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("q24_match_inference")
 def match_inference(spark: SparkSession, sf: str) -> DataFrame:
+    reports, since = _reports(spark, sf)
     return gold.match_facts(
-        roles.match_reports(spark, sf),
+        reports,
         roles.rating_track(spark, sf),
         roles.known_races(spark, sf),
         AS_OF,
         MATCH_DAYS,
+        history_since=since,
     )
 
 
 @query("q24_match_inference_boosted")
 def match_inference_boosted(spark: SparkSession, sf: str) -> DataFrame:
+    reports, since = _reports(spark, sf)
     return gold.match_facts(
-        roles.match_reports(spark, sf),
+        reports,
         roles.rating_track(spark, sf),
         roles.known_races(spark, sf),
         AS_OF,
         MATCH_DAYS,
         evidence=roles.declared_races(spark, sf),
         tolerance=timedelta(days=90),
+        history_since=since,
     )
 
 
@@ -533,9 +544,11 @@ def _values(spark: SparkSession, sf: str) -> DataFrame:
 def retracted_matches(spark: SparkSession, sf: str) -> DataFrame:
     """The match table after two runs: in the first a third of the players have not reported yet."""
     root, table = scratch_path(spark, "retracted"), None
-    reports = roles.match_reports(spark, sf)
+    reports, since = _reports(spark, sf)
     for came in (reports.where("profile_id % 3 <> 0"), reports):
-        found = gold.match_facts(came, roles.rating_track(spark, sf), roles.known_races(spark, sf), AS_OF, MATCH_DAYS)
+        found = gold.match_facts(
+            came, roles.rating_track(spark, sf), roles.known_races(spark, sf), AS_OF, MATCH_DAYS, history_since=since
+        )
         table = table or schemas.Table("matches", found.schema.simpleString()[7:-1], ("match_id",), ("match_id",))
         held = tables.read_version(spark, root, table)
         tables.write_version(gold.merge_matches(held, stage(found, "retracted-run"), retract=True), root)

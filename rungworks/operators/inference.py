@@ -136,13 +136,24 @@ def high_confidence_evidence(inferred: DataFrame) -> DataFrame:
     return rows.where(sure).select("character_id", "match_date", "race")
 
 
+def _within_reach(evidence: DataFrame, games: DataFrame, tolerance: timedelta) -> DataFrame:
+    """Evidence before the last game and no older than the tolerance before the first."""
+    kind = dict(games.dtypes)["match_date"]
+    ends = (F.min("match_date") - F.lit(tolerance), F.max("match_date"))
+    since, before = games.agg(*[end.cast("string") for end in ends]).first()
+    at = F.col("match_date")
+    return evidence.where((at >= F.lit(since).cast(kind)) & (at < F.lit(before).cast(kind)))
+
+
 def boost(inferred: DataFrame, evidence: DataFrame, tolerance: timedelta = SESSION) -> DataFrame:
     """Replace LOW races by the player's newest evidence before the game.
 
-    ``evidence`` holds (character_id, match_date, race).  The games are staged once:
-    they feed the lookup and are joined to its answer twice.
+    ``evidence`` holds (character_id, match_date, race); what no game can reach, by its time, is
+    left out before any of it moves.  The games are staged once: they feed the lookup and are
+    joined to its answer twice.
     """
     games = stage(inferred, "inferred-games")
+    evidence = _within_reach(evidence, games, tolerance)
     asked = F.array(
         F.when(F.col("p1_confidence") == LOW, F.col("p1_id")),
         F.when(F.col("p2_confidence") == LOW, F.col("p2_id")),

@@ -238,6 +238,16 @@ def test_outside_evidence_boosts_low_games_only(spark):
     }
 
 
+def test_only_evidence_within_reach_of_a_game_is_moved(spark):
+    minutes = (-91, -90, -1, 0, 59, 60, 61)
+    ddl = "character_id INT, match_date TIMESTAMP_NTZ, race STRING"
+    evidence = spark.createDataFrame([(1, AT + timedelta(minutes=m), str(m)) for m in minutes], ddl)
+    played = spark.createDataFrame([(AT,), (AT + timedelta(minutes=60),)], "match_date TIMESTAMP_NTZ")
+    reach = inference._within_reach(evidence, played, inference.SESSION)
+    assert rows(reach, "race") == [("-1",), ("-90",), ("0",), ("59",)]
+    assert rows(inference._within_reach(evidence, played.where("false"), inference.SESSION)) == []
+
+
 def test_evidence_from_the_same_games_boosts_nothing(spark):
     reports = [report(p, d, at=AT + timedelta(minutes=m)) for m in (0, 20, 40) for p, d in ((1, "WIN"), (2, "LOSS"))]
     ratings = [(1, "Zerg", AT, 10), (2, "Zerg", AT, 10), (2, "Terran", AT, 12)]
