@@ -12,7 +12,8 @@ Only texts whose digest occurs more than once take part.  A count of digests fin
 a Bloom filter of those (8 MB at most) drops the others' texts before they are shuffled; what
 passes is staged, since a join by digest alone would already have brought all copies of a
 digest into one task, and the aggregates would not deal them by share any more.  Rows then look
-up the winner of their text.  A digest that stands for one text, as all do in practice, is enough
+up the winner of their text; where copies are only dropped, rows that a set of bits (2 MB)
+shows to have none are not moved for that.  A digest that stands for one text, as all do in practice, is enough
 to look it up; where one stands for several, whole texts are compared again.
 
 Everything is built-in column code.  Defined results: null counts as an empty text, and
@@ -31,8 +32,9 @@ from rungworks.llm.common import collapsed, free_name
 from rungworks.llm.minhash import _prefiltered
 from rungworks.session import stage
 
-#: Shares that the copies of one digest are dealt to.
+#: Shares that the copies of one digest are dealt to, and 64-bit words of the set of digests.
 SALTS = 64
+WORDS = 1 << 18
 
 
 def digest(text: Column) -> Column:
@@ -101,12 +103,27 @@ def mark_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id", salts
     )
 
 
+def _may_be_in(told: DataFrame, key: Column, row_id: Column) -> Column:
+    """False only where ``told`` has no row of this digest and id: the digest picks a word, the id a bit of it.
+
+    Where the bits fill up, more rows are taken for copies and the exact join sorts them out.
+    """
+    word = lambda digest: F.pmod(F.xxhash64(digest), F.lit(WORDS))
+    bit = lambda i: F.pmod(F.xxhash64(i), F.lit(64)).cast("int")
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bit(F.col("id")))
+    held = told.groupBy(word(F.col("digest")).alias("word")).agg(F.bit_or(mask).alias("bits"))
+    every = told.sparkSession.range(WORDS).toDF("word").join(held, "word", "left").select("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    bits = every.agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).getField("bits").alias("bits")).scalar()
+    return F.call_function("shiftrightunsigned", F.get(bits, word(key).cast("int")), bit(row_id)).bitwiseAND(1) == 1
+
+
 def drop_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id", salts: int = SALTS) -> DataFrame:
     """One row of each group of equal texts, with the columns it came with.
 
     The rows that go are named by digest and id, and so are rows repeated with the staying
-    row's id, of which one stays.  The rows of ``df`` are moved once, by digest and id,
-    which deals the copies of a text over all tasks.
+    row's id, of which one stays.  Rows that are surely not among these stay where they
+    are; the others are moved once, by digest and id, which deals the copies of a text
+    over all tasks.
     """
     held = copies(df, text, doc_id)
     winners = _winners(held, salts).select(F.col("digest").alias("w_digest"), F.col("norm").alias("w_norm"), "keep_id")
@@ -117,7 +134,8 @@ def drop_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id", salts
     marks = told.select(F.col("digest").alias(t_digest), F.col("id").alias(t_id), F.col("norm").alias(t_norm), F.col("stays").alias(stays))
     rows = df.withColumn(key, digest(collapsed(F.col(text))))
     own = F.col(doc_id).eqNullSafe(F.col(t_id)) & _same(marks, key, t_digest, t_norm, collapsed(F.col(text)))
-    single = rows.join(marks, own, "left_anti").select(df.columns)
+    may_go = _may_be_in(told, F.col(key), F.col(doc_id))
+    single = rows.where(~may_go).unionByName(rows.where(may_go).join(marks, own, "left_anti")).select(df.columns)
     if told.where("stays").isEmpty():
         return single
     with_copy = rows.join(marks.where(F.col(stays)), own, "left_semi").withColumn(norm, collapsed(F.col(text)))

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from rungworks.llm.common import free_name, words
+from rungworks.session import stage
 
 #: Words in a block, weights dealt to the sources in turn, words asked for per word there is,
 #: and the most copies a document may have.
@@ -126,7 +127,8 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", doc_id: str =
     size, h, s, nr, shard = "_size", "_hash", "_source", "_nr", "_shard"
     hashed = base.withColumns({size: F.size(words(F.col(text))).cast("long"), h: _seeded(seed, F.col(doc_id)), s: F.col(source)})
     narrow = hashed.select(F.col(size).alias("size"), F.col(h).alias("h"), F.col(s).alias("source"))
-    sources = _sources(narrow, block, weights, share, most, seed)
+    # staged, so that Spark knows beforehand how small it is: else texts would be moved for the join by source, too
+    sources = stage(_sources(narrow, block, weights, share, most, seed), "mixing-sources")
     place = F.pmod(_number(F.col("h")), F.col("shards")).alias("shard")
 
     with_nr = narrow.alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select("nr", place, "d.size", "quota")
