@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from rungworks.functions import filenames
 from rungworks.session import scratch_path
 
+#: Parts files read as one line: zeros stand in no JSON, and so many in no encoding of it.
+NOT_JSON = "\0" * 4
+
 
 def read_documents(
     spark: SparkSession, paths: str | Sequence[str], schema: str, glob: str | None = None
@@ -18,8 +21,11 @@ def read_documents(
 
     ``file_name`` is added.  Such a file is read by one task; land large volumes
     with :func:`land` instead, whose output splits.
+
+    A file is read as one line, by a separator that no JSON has.  The reader of several lines goes
+    back to the file for every number that is declared as text, as all numbers are here.
     """
-    reader = spark.read.schema(schema).option("multiLine", True)
+    reader = spark.read.schema(schema).option("lineSep", NOT_JSON)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.json(paths).select("*", "_metadata.file_name")
@@ -87,13 +93,14 @@ def land_files(df: DataFrame, root: str, file_name: str, payload: str) -> int:
     the driver, which moves the files into place, as they are listed; a file of that name is replaced.
     """
     spark = df.sparkSession
-    place = F.row_number().over(Window.partitionBy("name").orderBy("value"))
-    rows = df.select(F.col(file_name).alias("name"), F.col(payload).alias("value")).withColumn("place", place)
-    lines = rows.select("name", "place", F.concat(F.when(F.col("place") == 1, "[").otherwise(","), "value").alias("value"))
-    end = rows.where("place = 1").select("name", F.lit(2**31 - 1).alias("place"), F.lit("]").alias("value"))
+    # Beginning and end go with the first and the last document: rows of their own could get into another task's file.
+    order = Window.partitionBy("name").orderBy("value")
+    place, last = F.row_number().over(order), F.lead(F.lit(1)).over(order).isNull()
+    rows = df.select(F.col(file_name).alias("name"), F.col(payload).alias("value")).withColumns({"place": place, "last": last})
+    opened = F.concat(F.when(F.col("place") == 1, "[").otherwise(","), "value")
+    whole = rows.sortWithinPartitions("name", "place").select("name", F.concat(opened, F.when(F.col("last"), "\n]").otherwise("")).alias("value"))
     staged = scratch_path(spark, "land-files")
-    whole = lines.unionByName(end).repartition("name").sortWithinPartitions("name", "place")
-    whole.select("name", "value").write.partitionBy("name").text(staged)
+    whole.write.partitionBy("name").text(staged)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     fs = hadoop.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(hadoop.Path(root))
